@@ -3,7 +3,7 @@
 ``merge`` joins target and source on the key and applies ordered clauses, the
 first true one winning. Conditions and assignments name columns as ``t.col``
 and ``s.col``. NULL keys never match. A key that occurs twice in the source is
-an error if the target holds it.
+an error.
 """
 
 from __future__ import annotations
@@ -51,18 +51,15 @@ def merge(
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    grouped = (
+    # one row per key: a repeated key is an error, not a choice
+    single = (
         source.filter(keyed)
         .groupBy(*keys)
         .agg(F.any_value(F.struct(*source.columns)).alias("_s"), F.count(F.lit(1)).alias("_copies"))
+        .select("_s.*", "_copies")
     )
-    single = grouped.filter(F.col("_copies") == 1).select("_s.*", "_copies")
-    # rows of a repeated or missing key can only be inserted
-    repeated = source.filter(keyed).join(
-        grouped.filter(F.col("_copies") > 1).select(*keys, "_copies"), list(keys)
-    )
-    loose = source.filter(~keyed).withColumn("_copies", F.lit(0).cast("bigint"))
-    rows = single.unionByName(repeated).unionByName(loose)
+    loose = source.filter(~keyed).withColumn("_copies", F.lit(1).cast("bigint"))
+    rows = single.unionByName(loose)
 
     t = target.withColumn("_in", F.lit(True)).alias("t")
     s = rows.withColumn("_in", F.lit(True)).alias("s")
@@ -71,13 +68,13 @@ def merge(
         on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))
     joined = t.join(s, on, "full_outer")
     in_target, in_source = F.col("t._in").isNotNull(), F.col("s._in").isNotNull()
-    clash = in_target & in_source & (F.col("s._copies") > 1)
+    clash = F.col("s._copies") > 1
     side = {
         "matched": in_target & in_source,
         "absent": in_source & ~in_target,
         "orphan": in_target & ~in_source,
     }
-    chosen = F.when(clash, F.raise_error(F.lit("several source rows match one target row")).cast("int"))
+    chosen = F.when(clash, F.raise_error(F.lit("the merge source holds a key twice")).cast("int"))
     for number, clause in enumerate(clauses):
         test = side[clause.when]
         if clause.condition is not None:
