@@ -21,6 +21,8 @@ _SQL_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a skewed join is split even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a union that keeps its inputs' partitioning fails where their partition counts differ at run time
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 _local_scratch: str | None = None
