@@ -7,22 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import percent
+from ..session import pin
 from .timeline import Timeline
 
 
 def percentiles(
     df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], hot_rows=None
 ) -> DataFrame:
-    """Exact interpolated percentiles per group.
+    """Exact interpolated percentiles per group (at least one key).
 
     Counts equal values first and walks the counts in order, so a group of any
-    size is spread over tasks.
+    size is spread over tasks. The counts are written once: the size check, the
+    walk and the group totals all read them.
     """
     present = df.filter(F.col(value).isNotNull())
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = pin(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "counted")
     walked = Timeline(counted, keys, [value], hot_rows=hot_rows).running(_upto=F.col("_n")).rows
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    rows = walked.join(sizes, list(keys)) if keys else walked.crossJoin(sizes)
+    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    rows = walked.join(sizes, list(keys))
     found = []
     for name, share in shares.items():
         place = F.lit(share) * (F.col("_size") - 1)
@@ -66,12 +69,6 @@ def distinct_list(c: Column, separator: str = ",") -> Column:
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 2) -> DataFrame:
-    """Percent of the column total. The total is one row."""
-    from ..functions.numeric import percent
-
-    total = df.agg(F.sum(value).alias("_total"))
-    return (
-        df.crossJoin(F.broadcast(total))
-        .withColumn(name, percent(F.col(value), F.col("_total"), digits))
-        .drop("_total")
-    )
+    """Percent of the column total."""
+    total = df.agg(F.sum(value).alias("total")).scalar()
+    return df.withColumn(name, percent(F.col(value), total, digits))

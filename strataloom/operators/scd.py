@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import first_row
 from .ranking import number_rows
-from .timeline import Timeline
+from .timeline import Cuts, Timeline
 
 
 def differs(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -21,14 +21,17 @@ def differs(left: str, right: str, columns: Sequence[str]) -> Column:
 
 
 def changes_only(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str], hot_rows=None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    tracked: Sequence[str],
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Rows where a tracked column differs from the row before; the first row stays."""
-    profile = df.select(*keys, order[0])
     previous = {
         f"_was_{c}": (lambda w, c=c: F.lag(c).over(w)) for c in tracked
     }
-    walked = Timeline(df, keys, order, profile=profile, hot_rows=hot_rows).near(
+    walked = Timeline(df, keys, order, cuts=cuts).near(
         before=1, _first=lambda w: F.lag(F.lit(1)).over(w).isNull(), **previous
     )
     moved = F.col("_first")
@@ -42,7 +45,7 @@ def build_history(
     keys: Sequence[str],
     valid_from: str,
     tie: Sequence[str] = (),
-    hot_rows=None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Whole history in one pass: each version ends where the next begins."""
 
@@ -50,7 +53,7 @@ def build_history(
         return F.lead(valid_from).over(w)
 
     return (
-        Timeline(versions, keys, [valid_from, *tie], profile=versions.select(*keys, valid_from), hot_rows=hot_rows)
+        Timeline(versions, keys, [valid_from, *tie], cuts=cuts)
         .near(after=1, valid_to=following)
         .rows.withColumn("is_current", F.col("valid_to").isNull())
     )

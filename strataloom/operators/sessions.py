@@ -21,6 +21,7 @@ def number_sessions(
     end: str | None = None,
     name: str = "session_no",
     hot_rows: int | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Session number per key: a new one starts after a pause longer than the gap.
 
@@ -28,7 +29,7 @@ def number_sessions(
     NULL). The first event of a key always starts a session.
     """
     until = F.coalesce(F.col(end), F.col(at)) if end else F.col(at)
-    line = Timeline(events, keys, [at, *tie], profile=events.select(*keys, at), hot_rows=hot_rows)
+    line = Timeline(events, keys, [at, *tie], profile=profile, hot_rows=hot_rows)
     line = line.near(before=1, _before=lambda w: F.lag(until).over(w))
     starts = F.col("_before").isNull() | (seconds_between(at, "_before") > F.lit(gap_seconds))
     return line.running(**{name: starts.cast("bigint")}).rows.drop("_before")
@@ -39,7 +40,7 @@ def number_day_sessions(
     name: str = "session_no", hot_rows: int | None = None,
 ) -> DataFrame:
     """The same with the pause counted in calendar days."""
-    line = Timeline(events, keys, [at, *tie], profile=events.select(*keys, at), hot_rows=hot_rows)
+    line = Timeline(events, keys, [at, *tie], hot_rows=hot_rows)
     line = line.near(before=1, _before=lambda w: F.lag(at).over(w))
     pause = F.datediff(F.col(at).cast("date"), F.col("_before").cast("date"))
     starts = F.col("_before").isNull() | (pause > gap_days)

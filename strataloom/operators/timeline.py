@@ -16,9 +16,11 @@ Results do not depend on where the cuts fall.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..session import shuffle_width
 
@@ -27,13 +29,23 @@ HOT_ROWS = 1_000_000
 _PIECE = "_piece"
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Cut points of the hot keys: columns of the key and ``_cuts``; no table if no key is hot."""
+
+    table: DataFrame | None
+    type: DataType | None = None
+
+
 class Timeline:
     """Rows of ``df`` per ``keys`` in the order of ``order``.
 
     ``order[0]`` must be numeric, a date or a timestamp; the whole list must
-    order the rows of a key uniquely. ``profile`` may give a cheaper table with
-    the same keys and order column from which key sizes are counted. Keys with
-    at most ``hot_rows`` rows are never cut.
+    order the rows of a key uniquely. Key sizes are counted from ``profile``, a
+    cheaper table with the same keys and order column, such as the plain scan
+    the rows come from; ``cuts`` takes the finished result of ``find_cuts`` so
+    that several timelines over one key share the count. Keys with at most
+    ``hot_rows`` rows are never cut.
     """
 
     def __init__(
@@ -43,18 +55,19 @@ class Timeline:
         order: Sequence[str],
         profile: DataFrame | None = None,
         hot_rows: int | None = None,
+        cuts: Cuts | None = None,
     ):
         self.keys = list(keys)
         self.order = list(order)
-        cuts = _cuts(
-            df if profile is None else profile, self.keys, self.order[0], hot_rows or HOT_ROWS
-        )
-        self.split = cuts is not None
         if cuts is None:
+            cuts = find_cuts(df if profile is None else profile, self.keys, self.order[0], hot_rows)
+        self.split = cuts.table is not None
+        if cuts.table is None:
             self._rows = df.withColumn(_PIECE, F.lit(0))
         else:
-            joined = df.join(F.broadcast(cuts), self.keys, "left")
-            self._rows = joined.withColumn(_PIECE, _piece_of(self.order[0])).drop("_cuts")
+            # at most one row per shuffle partition
+            joined = df.join(F.broadcast(cuts.table), self.keys, "left")
+            self._rows = joined.withColumn(_PIECE, _piece_of(self.order[0], cuts.type)).drop("_cuts")
 
     @classmethod
     def _with(cls, base: "Timeline", rows: DataFrame) -> "Timeline":
@@ -183,21 +196,22 @@ class Timeline:
         return self._with(self, out)
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame | None:
-    """Cut points per hot key, or None if no key is hot.
+def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = None) -> Cuts:
+    """Cut points per hot key.
 
     Only the ``width`` largest keys can hold more than 1/width of the rows, so
     looking at these is enough, and the list collected here has at most
     ``width`` entries. The pieces of all keys together number at most
     ``2 * width``.
     """
+    hot_rows = hot_rows or HOT_ROWS
     spark = df.sparkSession
     width = shuffle_width(spark)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.orderBy(F.col("_n").desc()).limit(width).filter(F.col("_n") > hot_rows)
     hot = largest.collect()
     if not hot:
-        return None
+        return Cuts(None)
     total = sum(r["_n"] for r in hot)
     pieces = [
         (*[r[k] for k in keys], max(2, min(-(-r["_n"] // hot_rows), -(-width * r["_n"] // total))))
@@ -217,10 +231,11 @@ def _cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> Data
         lambda i: F.element_at("_all", F.ceil(i * F.lit(width) / F.col("_pieces")).cast("int")),
     )
     cut_df = quantiles.select(*keys, picked.alias("_cuts"))
-    return spark.createDataFrame(cut_df.collect(), cut_df.schema)
+    table = spark.createDataFrame(cut_df.collect(), cut_df.schema)
+    return Cuts(table, df.schema[order].dataType)
 
 
-def _piece_of(order: str) -> Column:
+def _piece_of(order: str, kind: DataType) -> Column:
     """1 + number of cuts not above the value, by bisection; 0 where the key has no cuts."""
     steps = F.array(*[F.lit(1 << b) for b in range(20, -1, -1)])
     size = F.size("_cuts")
@@ -229,7 +244,7 @@ def _piece_of(order: str) -> Column:
         F.lit(0),
         lambda at, step: F.when(
             (at + step <= size)
-            & (F.element_at("_cuts", F.least(at + step, size)) <= F.col(order)),
+            & (F.element_at("_cuts", F.least(at + step, size)) <= F.col(order).cast(kind)),
             at + step,
         ).otherwise(at),
     )

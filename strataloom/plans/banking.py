@@ -12,6 +12,7 @@ from ..functions.temporal import seconds_between
 from ..operators.aggregates import first_row
 from ..operators.changes import feed_from_versions
 from ..operators.timeline import Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio, sec
@@ -133,7 +134,8 @@ def event_transactions(t: Tables) -> DataFrame:
 
 def event_merchants(t: Tables) -> DataFrame:
     kinds = t.events.select(F.col("event_type").alias("merchant_id")).distinct()
-    return kinds.withColumn("category", F.when(F.col("merchant_id") == "purchase", "crypto").otherwise("retail"))
+    named = kinds.withColumn("category", F.when(F.col("merchant_id") == "purchase", "crypto").otherwise("retail"))
+    return pin(named, "merchants")  # a stored dimension, so its size is known to the join
 
 
 def customer_accounts(t: Tables) -> DataFrame:
@@ -224,4 +226,4 @@ SELECT from_tier, to_tier, customers, COALESCE({sql_ratio('s', 'k', 2)}, 0.0) AS
 FROM counts LEFT JOIN bal ON to_tier = tier""",
 )
 def _(t: Tables) -> DataFrame:
-    return tier_migration(tier_history(t), customer_accounts(t))
+    return tier_migration(pin(tier_history(t), "dim"), customer_accounts(t))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import money
 from ..operators import changes as C
 from ..operators import upsert as U
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, m, n
@@ -159,7 +160,7 @@ UNION ALL SELECT account_id, NULL, tier, CASE WHEN valid_from > first_from THEN
 FROM (SELECT *, MIN(valid_from) OVER (PARTITION BY account_id) AS first_from FROM tiers) WHERE is_current""",
 )
 def _(t: Tables) -> DataFrame:
-    return C.feed_from_versions(tier_history(t), ["account_id"], "tier")
+    return C.feed_from_versions(pin(tier_history(t), "dim"), ["account_id"], "tier")
 
 
 @query(

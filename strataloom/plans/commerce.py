@@ -11,6 +11,7 @@ from ..operators.aggregates import share_of_total
 from ..operators.ranking import bucket_of, number_rows
 from ..operators.sessions import number_day_sessions, number_sessions
 from ..operators.upsert import soft_delete
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, ratio as sql_ratio
@@ -222,7 +223,7 @@ SELECT {day('mon')} AS report_month, channel, o AS total_orders, {d('rev')} AS t
   COALESCE({sql_ratio('can', 'o', 4)}, 0) AS cancellation_rate, COALESCE({pct('repc', 'cust')}, 0) AS repeat_rate_pct FROM agg""",
 )
 def _(t: Tables) -> DataFrame:
-    return sales_dashboard(channel_lines(t))
+    return sales_dashboard(pin(channel_lines(t), "lines"))
 
 
 @query(
@@ -421,4 +422,4 @@ def _(t: Tables) -> DataFrame:
     brands = sales.groupBy(F.col("p_brand").alias("category")).agg(F.sum("net").alias("revenue"))
     # one row per category
     ranked = brands.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.col("revenue").desc())))
-    return share_of_total(ranked, "revenue", "pct_of_total")
+    return share_of_total(pin(ranked, "categories"), "revenue", "pct_of_total")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import month_start, shift_of_day
 from ..operators.timeline import Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio
@@ -244,7 +245,7 @@ def _(t: Tables) -> DataFrame:
         .groupBy("plant_id", "line_name", "shift_id")
         .agg(F.max("_u").alias("target_units"))
     )
-    return oee(readings, best).select(
+    return oee(readings, pin(best, "targets")).select(
         "plant_id", "line_name", "shift_date", "shift_id", "actual_units", "good_units", "availability_pct",
         "performance_pct", "quality_pct", "oee_pct",
     )

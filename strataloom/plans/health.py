@@ -11,10 +11,11 @@ from ..operators.aggregates import first_row
 from ..operators.joins import as_of
 from ..operators.ranking import ntile, rank_values
 from ..operators.timeline import Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, n, pct, ratio as sql_ratio
-from .standins import TIER_SQL, tier_history
+from .standins import TIER_SQL, account_cuts, tier_history
 
 
 def clean_admissions(raw: DataFrame, within_days: int = 30) -> DataFrame:
@@ -98,8 +99,9 @@ def _(t: Tables) -> DataFrame:
     patients = tier_history(t).withColumnRenamed("account_id", "patient_id")
     joined = as_of(
         rows, patients, ["patient_id"], "admission_date", "valid_from", "valid_to", ["tier", "valid_from"],
-        "record_id", how="left",
+        "record_id", how="left", cuts=account_cuts(t, "patient_id"),
     )
+    joined = pin(joined, "placed")
     return rank_values(joined, "total_charges", descending=True, dense_rank="cost_rank").drop("admission_date")
 
 

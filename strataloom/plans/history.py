@@ -9,11 +9,12 @@ from ..functions.numeric import money, percent
 from ..operators.joins import as_of
 from ..operators.ranking import surrogate_keys
 from ..operators.scd import apply_batch, hire_and_change, initial_load, invariant_breaks
-from ..operators.timeline import Timeline
+from ..operators.timeline import Cuts, Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, m, n, pct
-from .standins import LATER_SQL, TIER_SQL, customers_later, tier_history, tier_steps
+from .standins import LATER_SQL, TIER_SQL, account_cuts, customers_later, tier_history, tier_steps
 
 
 @query(
@@ -81,14 +82,14 @@ SELECT COUNT(*) AS versions, COUNT(DISTINCT account_id) AS accounts, COUNT(CASE
        (SELECT COUNT(*) FROM bad) AS broken_accounts FROM tiers""",
 )
 def _(t: Tables) -> DataFrame:
-    dim = tier_history(t)
+    dim = pin(tier_history(t), "dim")
     broken = invariant_breaks(dim, ["account_id"]).agg(F.count(F.lit(1)).alias("broken_accounts"))
     counts = dim.agg(
         F.count(F.lit(1)).alias("versions"),
         F.count_distinct("account_id").alias("accounts"),
         F.count(F.when(F.col("is_current"), 1)).alias("current_rows"),
     )
-    return counts.crossJoin(broken)  # one row each
+    return counts.withColumn("broken_accounts", broken.scalar())
 
 
 @query(
@@ -117,9 +118,10 @@ JOIN tiers ON o_custkey = account_id AND o_orderdate >= valid_from AND (valid_to
 )
 def _(t: Tables) -> DataFrame:
     facts = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"), "o_orderdate")
+    cuts = account_cuts(t)
     return as_of(
-        facts, tier_history(t), ["account_id"], "o_orderdate", "valid_from", "valid_to",
-        ["tier", "valid_from"], "o_orderkey",
+        facts, tier_history(t, cuts), ["account_id"], "o_orderdate", "valid_from", "valid_to",
+        ["tier", "valid_from"], "o_orderkey", cuts=cuts,
     )
 
 
@@ -145,9 +147,9 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-def version_trail(dim: DataFrame, key: str, value: str, at: str) -> DataFrame:
+def version_trail(dim: DataFrame, key: str, value: str, at: str, cuts: Cuts | None = None) -> DataFrame:
     """Versions of keys that changed at least once: number of versions, previous value, growth."""
-    line = Timeline(dim, [key], [at]).near(before=1, previous=lambda w: F.lag(value).over(w))
+    line = Timeline(dim, [key], [at], cuts=cuts).near(before=1, previous=lambda w: F.lag(value).over(w))
     sizes = dim.groupBy(key).agg(F.count(F.lit(1)).alias("total_versions")).filter("total_versions > 1")
     return line.rows.join(sizes, key).withColumn(
         "growth_pct", percent(F.col(value) - F.col("previous"), "previous")
@@ -164,7 +166,9 @@ SELECT account_id, tier, {d('spent')} AS spent, valid_from, valid_to, is_current
 FROM trail WHERE total_versions > 1""",
 )
 def _(t: Tables) -> DataFrame:
-    return version_trail(tier_history(t), "account_id", "spent", "valid_from").select(
+    cuts = account_cuts(t)
+    dim = pin(tier_history(t, cuts), "dim")
+    return version_trail(dim, "account_id", "spent", "valid_from", cuts).select(
         "account_id", "tier", "spent", "valid_from", "valid_to", "is_current", "total_versions", "previous", "growth_pct"
     )
 

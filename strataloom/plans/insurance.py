@@ -9,18 +9,23 @@ from ..functions.numeric import flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import days_between
 from ..operators.joins import as_of, with_group_stats
 from ..operators.quality import split_valid
+from ..operators.timeline import Cuts
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, n, pct, r, ratio as sql_ratio
-from .standins import TIER_SQL, tier_history
+from .standins import TIER_SQL, account_cuts, tier_history
 
 
-def enrich_claims(claims: DataFrame, policies: DataFrame, high: float = 2.5, medium: float = 1.5) -> DataFrame:
+def enrich_claims(
+    claims: DataFrame, policies: DataFrame, high: float = 2.5, medium: float = 1.5, cuts: Cuts | None = None
+) -> DataFrame:
     """Policy version at the incident, days to settle, z-score and risk tier per coverage."""
     placed = as_of(
         claims, policies, ["policy_id"], "incident_date", "valid_from", "valid_to",
-        ["coverage_type", "annual_premium", "region"], "claim_id",
+        ["coverage_type", "annual_premium", "region"], "claim_id", cuts=cuts,
     )
+    placed = pin(placed, "placed")
     amount = F.col("claim_amount").cast("double")
     stats = with_group_stats(placed, ["coverage_type"], _mean=F.avg(amount), _dev=F.stddev_samp(amount))
     risk = F.when(amount > F.col("_mean") * high, "high_risk").when(amount > F.col("_mean") * medium, "medium_risk")
@@ -91,7 +96,7 @@ def order_claims(t: Tables) -> DataFrame:
         F.col("account_id").alias("policy_id"), F.col("tier").alias("coverage_type"),
         premium.cast("decimal(18,2)").alias("annual_premium"), "region", "valid_from", "valid_to",
     )
-    return enrich_claims(raw, policies)
+    return enrich_claims(raw, policies, cuts=account_cuts(t, "policy_id"))
 
 
 CLAIMS_SQL = f"""{TIER_SQL},

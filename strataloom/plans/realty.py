@@ -9,17 +9,21 @@ from ..functions.numeric import flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import quarter_label
 from ..operators.aggregates import percentiles
 from ..operators.joins import as_of
-from ..operators.timeline import Timeline
+from ..operators.timeline import Cuts, Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, m, pct, r, ratio as sql_ratio
-from .standins import LINES_SQL, TIER_SQL, order_lines, tier_history
+from .standins import LINES_SQL, TIER_SQL, account_cuts, order_lines, tier_history
 
 
-def enrich_sales(sales: DataFrame, assessments: DataFrame, tolerance: float = 0.20) -> DataFrame:
+def enrich_sales(
+    sales: DataFrame, assessments: DataFrame, tolerance: float = 0.20, cuts: Cuts | None = None
+) -> DataFrame:
     """Assessed value at the sale, ratio to the price, outlier flag and price per area."""
     placed = as_of(
-        sales, assessments, ["parcel_id"], "sold_at", "valid_from", "valid_to", ["assessed_value", "tier"], "sale_id"
+        sales, assessments, ["parcel_id"], "sold_at", "valid_from", "valid_to", ["assessed_value", "tier"], "sale_id",
+        cuts=cuts,
     )
     raw = F.col("assessed_value").cast("double") / F.nullif(F.col("sale_price").cast("double"), F.lit(0.0))
     return placed.withColumns(
@@ -78,7 +82,7 @@ def order_sales(t: Tables) -> DataFrame:
         "parcel_id",
     )
     values = tier_history(t).withColumnsRenamed({"account_id": "parcel_id", "spent": "assessed_value"})
-    return enrich_sales(sales, values)
+    return enrich_sales(sales, values, cuts=account_cuts(t, "parcel_id"))
 
 
 SALES_SQL = f"""{TIER_SQL},
@@ -108,7 +112,7 @@ SELECT county, property_type, CAST(year(sold_at) AS VARCHAR) || '-Q' || CAST(qua
 FROM sales GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    return market_trends(order_sales(t), ["county", "property_type"])
+    return market_trends(pin(order_sales(t), "sales"), ["county", "property_type"])
 
 
 @query(
@@ -120,7 +124,7 @@ SELECT county, property_type, sale_year, COUNT(*) AS total_sales, COUNT(CASE WHE
 FROM y JOIN md USING (county, property_type, sale_year) GROUP BY 1, 2, 3, median_ratio""",
 )
 def _(t: Tables) -> DataFrame:
-    sales = order_sales(t).withColumn("sale_year", F.year("sold_at"))
+    sales = pin(order_sales(t).withColumn("sale_year", F.year("sold_at")), "sales")
     return assessment_accuracy(sales, ["county", "property_type", "sale_year"])
 
 
@@ -132,7 +136,7 @@ g AS (SELECT *, LAG(median_price) OVER (PARTITION BY county ORDER BY sale_quarte
 SELECT county, sale_quarter, median_price, previous, {pct('(median_price - previous)', 'previous')} AS momentum_pct FROM g""",
 )
 def _(t: Tables) -> DataFrame:
-    homes = order_sales(t).filter("property_type = 'HOUSEHOLD'")
+    homes = pin(order_sales(t).filter("property_type = 'HOUSEHOLD'"), "homes")
     trend = market_trends(homes, ["county"])
     # one row per county and quarter
     before = F.lag("median_price").over(Window.partitionBy("county").orderBy("sale_quarter"))
@@ -213,7 +217,7 @@ SELECT property_type, COUNT(*) AS total_sales, {sql_ratio('SUM(sale_price)', 'CO
   {sql_ratio('SUM(CAST(price_per_sqft AS DECIMAL(18,2)))', 'COUNT(*)', 2)} AS avg_price_per_sqft FROM sales GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    sales = order_sales(t)
+    sales = pin(order_sales(t).select("property_type", "sale_price", "price_per_sqft"), "sales")
     agg = sales.groupBy("property_type").agg(
         F.count(F.lit(1)).alias("total_sales"), average("sale_price").alias("avg_price"),
         average(money("price_per_sqft")).alias("avg_price_per_sqft"),

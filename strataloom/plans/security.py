@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import flag_sum, percent, ratio
 from ..functions.temporal import micros, truncated
-from ..operators.aggregates import top_category
+from ..operators.aggregates import share_of_total, top_category
 from ..operators.ranking import surrogate_keys
 from ..operators.sessions import first_per_bucket, number_sessions
+from ..session import pin
 from ..sources.tables import Tables, inline_rows
 from .registry import query
 from .sqltext import n, pct, ratio as sql_ratio
@@ -50,12 +51,16 @@ def dedupe_alerts(alerts: DataFrame, minutes: int = 5) -> DataFrame:
     return first_per_bucket(alerts, ["source_ip", "target_host", "rule_id"], "detected_at", minutes, ["alert_id"])
 
 
-def correlate_incidents(alerts: DataFrame, gap_minutes: float = 15) -> DataFrame:
+def correlate_incidents(
+    alerts: DataFrame, gap_minutes: float = 15, profile: DataFrame | None = None
+) -> DataFrame:
     """Alerts of one address without a longer pause form an incident.
 
     Target and rule come from its most severe (then earliest) alert.
     """
-    numbered = number_sessions(alerts, ["source_ip"], "detected_at", gap_minutes * 60, ["alert_id"], name="incident_no")
+    numbered = number_sessions(
+        alerts, ["source_ip"], "detected_at", gap_minutes * 60, ["alert_id"], name="incident_no", profile=profile
+    )
     worst = F.struct(-F.col("severity_score"), F.col("detected_at"), F.col("alert_id"))
     grouped = numbered.groupBy("source_ip", "incident_no").agg(
         F.min_by(F.struct("target_host", "rule_id", "severity"), worst).alias("_worst"),
@@ -182,14 +187,18 @@ def rule_dim(alerts: DataFrame, rules: DataFrame) -> DataFrame:
 # stand-ins: events as alerts of three feeds, customers as threat intelligence
 
 
+def address(number: str) -> Column:
+    n_ = F.col(number)
+    return F.concat_ws(".", F.lit("10"), F.floor(n_ / 65536) % 256, F.floor(n_ / 256) % 256, n_ % 256)
+
+
 def event_alerts(t: Tables) -> DataFrame:
     k = F.get_json_object("props", "$.k")
-    u = F.col("user_id")
     kind = F.col("event_type")
     score = F.least(F.lit(10), F.floor(F.col("value") / 20) + 1).cast("int")
     shaped = t.events.select(
         F.col("event_id").alias("alert_id"),
-        F.concat_ws(".", F.lit("10"), F.floor(u / 65536) % 256, F.floor(u / 256) % 256, u % 256).alias("source_ip"),
+        address("user_id").alias("source_ip"),
         F.when(kind == "view", F.concat(F.lit("web-prod-"), k))
         .when(kind == "click", F.concat(F.lit("api-prod-"), k))
         .when(kind == "signup", F.lit("vpn-gw-01"))
@@ -219,18 +228,21 @@ def event_alerts(t: Tables) -> DataFrame:
 
 
 def customer_intel(t: Tables) -> DataFrame:
-    u = F.col("c_custkey")
     return t.customer.select(
-        F.concat_ws(".", F.lit("10"), F.floor(u / 65536) % 256, F.floor(u / 256) % 256, u % 256).alias("ip_address"),
+        address("c_custkey").alias("ip_address"),
         F.greatest(F.lit(0), F.floor(F.col("c_acctbal") / 100)).alias("threat_score"),
         F.col("c_mktsegment").alias("threat_category"),
         (F.col("c_acctbal") > 5000).alias("is_known_bad"),
     )
 
 
+def event_incidents(t: Tables) -> DataFrame:
+    scan = t.events.select(address("user_id").alias("source_ip"), F.col("ts").alias("detected_at"))
+    return correlate_incidents(dedupe_alerts(event_alerts(t)), gap_minutes=720, profile=scan)
+
+
 def incident_facts(t: Tables) -> DataFrame:
-    incidents = correlate_incidents(dedupe_alerts(event_alerts(t)), gap_minutes=720)
-    return enrich_incidents(incidents, customer_intel(t), rule_map(t.spark))
+    return enrich_incidents(event_incidents(t), customer_intel(t), rule_map(t.spark))
 
 
 _IP = "'10.' || CAST(({u} // 65536) % 256 AS VARCHAR) || '.' || CAST(({u} // 256) % 256 AS VARCHAR) || '.' || CAST({u} % 256 AS VARCHAR)"
@@ -289,7 +301,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("incident_correlation", f"WITH {INCIDENTS_SQL} SELECT * FROM incidents")
 def _(t: Tables) -> DataFrame:
-    return correlate_incidents(dedupe_alerts(event_alerts(t)), gap_minutes=720)
+    return event_incidents(t)
 
 
 @query(
@@ -321,7 +333,7 @@ SELECT agg.h AS hour_bucket, agg.* EXCLUDE (h), a.best AS top_tactic, b.best AS
 FROM agg LEFT JOIN {_top_sql('tactic')} a ON agg.h = a.h LEFT JOIN {_top_sql('source_ip')} b ON agg.h = b.h""",
 )
 def _(t: Tables) -> DataFrame:
-    return hourly_dashboard(incident_facts(t))
+    return hourly_dashboard(pin(incident_facts(t), "facts"))
 
 
 @query(
@@ -348,9 +360,7 @@ def _(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("incidents"), F.sum("alert_count").alias("alerts"),
         F.max("combined_risk_score").alias("worst_risk"),
     )
-    from ..operators.aggregates import share_of_total
-
-    return share_of_total(by_target, "incidents", "pct_of_incidents")
+    return share_of_total(pin(by_target, "targets"), "incidents", "pct_of_incidents")
 
 
 @query(

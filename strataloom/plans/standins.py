@@ -10,36 +10,40 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import band, money
 from ..operators.scd import build_history, changes_only
-from ..operators.timeline import Timeline
+from ..operators.timeline import Cuts, Timeline, find_cuts
 from ..sources.tables import Tables
 
 TIER_EDGES = (500_000, 1_500_000)
 TIERS = ("basic", "plus", "prime")
 
 
-def tier_steps(t: Tables) -> DataFrame:
+def account_cuts(t: Tables, key: str = "account_id") -> Cuts:
+    """Cuts of customers with very many orders, counted on two columns of the orders."""
+    return find_cuts(t.orders.select(F.col("o_custkey").alias(key), "o_orderdate"), [key], "o_orderdate")
+
+
+def tier_steps(t: Tables, cuts: Cuts | None = None) -> DataFrame:
     """Customer tier by running order value: one row per customer and change of tier."""
+    cuts = cuts or account_cuts(t)
     orders = t.orders.select(
         F.col("o_custkey").alias("account_id"),
         "o_orderdate",
         "o_orderkey",
         money("o_totalprice").alias("amount"),
     )
-    running = Timeline(
-        orders, ["account_id"], ["o_orderdate", "o_orderkey"], profile=t.orders.select(
-            F.col("o_custkey").alias("account_id"), "o_orderdate")
-    ).running(spent=F.col("amount"))
+    running = Timeline(orders, ["account_id"], ["o_orderdate", "o_orderkey"], cuts=cuts).running(spent=F.col("amount"))
     daily = (
         running.rows.groupBy("account_id", F.col("o_orderdate").alias("valid_from"))
         .agg(F.max("spent").alias("spent"))
         .withColumn("tier", band(F.col("spent"), TIER_EDGES, TIERS))
     )
-    return changes_only(daily, ["account_id"], ["valid_from"], ["tier"])
+    return changes_only(daily, ["account_id"], ["valid_from"], ["tier"], cuts)
 
 
-def tier_history(t: Tables) -> DataFrame:
+def tier_history(t: Tables, cuts: Cuts | None = None) -> DataFrame:
     """account_id, tier, spent, [valid_from, valid_to), is_current."""
-    return build_history(tier_steps(t), ["account_id"], "valid_from")
+    cuts = cuts or account_cuts(t)
+    return build_history(tier_steps(t, cuts), ["account_id"], "valid_from", cuts=cuts)
 
 
 TIER_SQL = """

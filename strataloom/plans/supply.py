@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import days_between, month_start, seconds_between
 from ..operators.joins import as_of
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio, sec
@@ -283,7 +284,7 @@ def region_map(t: Tables) -> DataFrame:
 
 
 def signals(t: Tables) -> DataFrame:
-    lines = wide_lines(t)
+    lines = pin(wide_lines(t), "lines")
     return demand_signals(store_demand(lines), region_map(t), inventory_positions(stock_movements(lines)))
 
 
@@ -310,15 +311,15 @@ def lead_times(orders: DataFrame) -> DataFrame:
 
 
 def stock_facts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    lines = wide_lines(t)
+    lines = pin(wide_lines(t), "lines")
     moves = stock_movements(lines)
-    stock = inventory_positions(moves).select("warehouse_id", "sku", "on_hand")
-    orders = fulfilled(lines)
+    stock = pin(inventory_positions(moves).select("warehouse_id", "sku", "on_hand"), "stock")
+    orders = pin(fulfilled(lines).select("warehouse_id", "sku", "qty_ordered", "qty_received", "days_to_receive"), "orders")
     in_transit = moves.filter("movement_type = 'ship'").groupBy("warehouse_id", "sku").agg(
         F.sum(F.abs("quantity")).alias("in_transit")
     )
     on_order = orders.filter("qty_received = 0").groupBy("warehouse_id", "sku").agg(F.sum("qty_ordered").alias("on_order"))
-    sold = demand_signals(store_demand(lines), region_map(t), stock)
+    sold = pin(demand_signals(store_demand(lines), region_map(t), stock), "signals")
     demand = sold.groupBy(F.col("nearest_wh").alias("warehouse_id"), "sku").agg(
         ratio(F.sum("net_sold"), F.count(F.lit(1)), 4).alias("avg_demand")
     )
@@ -404,7 +405,7 @@ SELECT ful.l_orderkey, ful.l_suppkey, fill_rate, on_time, received_at, next_ship
 )
 def _(t: Tables) -> DataFrame:
     """Purchase orders with the first shipment that left their warehouse after the receipt."""
-    lines = wide_lines(t)
+    lines = pin(wide_lines(t), "lines")
     orders = fulfilled(lines)
     # time runs backwards: the next shipment is the last one before on the negated axis
     ships = (
@@ -441,7 +442,7 @@ UNION ALL SELECT 'warehouse', CAST(warehouse_id AS VARCHAR), {n('SUM(quantity)')
 UNION ALL SELECT 'store', CAST(store_id AS VARCHAR), {n('SUM(quantity)')}, {d('SUM(' + m('l_extendedprice') + ')')}, COUNT(DISTINCT sku) FROM wide GROUP BY 2""",
 )
 def _(t: Tables) -> DataFrame:
-    lines = wide_lines(t)
+    lines = pin(wide_lines(t).select("l_suppkey", "l_partkey", "warehouse_id", "store_id", "sku", "quantity", "l_extendedprice"), "lines")
     out = _rollup(lines, "l_suppkey", "supplier")
     for key, name in (("l_partkey", "product"), ("warehouse_id", "warehouse"), ("store_id", "store")):
         out = out.unionByName(_rollup(lines, key, name))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import band, flag_sum, money, percent, ratio, rounded
 from ..operators.ranking import ntile, rank_values, surrogate_keys
 from ..operators.scd import amended
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio
@@ -257,7 +258,7 @@ FROM customer LEFT JOIN s ON c_custkey = s.taxpayer_id LEFT JOIN a ON c_custkey
 )
 def _(t: Tables) -> DataFrame:
     people = t.customer.select(F.col("c_custkey").alias("taxpayer_id"))
-    return taxpayer_profiles(people, order_filings(t), return_amendments(t))
+    return taxpayer_profiles(people, pin(order_filings(t), "filings"), return_amendments(t))
 
 
 @query(

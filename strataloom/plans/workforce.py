@@ -9,6 +9,7 @@ from ..functions.numeric import flag_sum, money, percent, points, ratio, rounded
 from ..functions.temporal import days_between, quarter_label
 from ..operators.aggregates import percentiles
 from ..operators.timeline import Timeline
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio
@@ -125,7 +126,7 @@ def event_compensation(t: Tables) -> DataFrame:
         (money("value") * 5).cast("decimal(18,2)").alias("bonus"),
     )
     grades = events.groupBy("position_id").agg(F.min("base_salary").alias("grade_min"), F.max("base_salary").alias("grade_max"))
-    return compensation_events(events, grades)
+    return compensation_events(events, pin(grades, "grades"))
 
 
 def staff_of(t: Tables) -> DataFrame:
@@ -187,7 +188,7 @@ SELECT department, CAST(year(event_date) AS VARCHAR) || '-Q' || CAST(quarter(eve
 FROM fact GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
-    return workforce_kpi(compensation_facts(t), AS_OF)
+    return workforce_kpi(pin(compensation_facts(t), "facts"), AS_OF)
 
 
 @query(
