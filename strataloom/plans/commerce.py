@@ -26,9 +26,14 @@ def unify_channels(feeds: dict[str, DataFrame]) -> DataFrame:
     for channel, df in feeds.items():
         part = df.withColumn("channel", F.lit(channel))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return line_totals(out)
+
+
+def line_totals(lines: DataFrame) -> DataFrame:
+    """Line total, and cancelled lines flagged as deleted."""
     one = F.lit(1).cast("decimal(4,2)")
     total = F.col("price") * (one - F.col("discount"))
-    return soft_delete(out.withColumn("line_total", total), F.col("status") == "cancelled", F.col("updated_at"))
+    return soft_delete(lines.withColumn("line_total", total), F.col("status") == "cancelled", F.col("updated_at"))
 
 
 def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
@@ -158,8 +163,8 @@ def order_status() -> Column:
     )
 
 
-def channel_lines(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(
+def sold_lines(t: Tables) -> DataFrame:
+    return t.lineitem.join(
         t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
         F.col("l_orderkey") == F.col("o_orderkey"),
     ).select(
@@ -174,12 +179,23 @@ def channel_lines(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("updated_at"),
         "o_orderpriority",
     )
+
+
+def channel_feeds(t: Tables) -> dict[str, DataFrame]:
+    """The lines as three feeds; web and app lines carry a session, shop lines a store."""
+    lines = sold_lines(t)
     p = F.col("o_orderpriority")
     web = lines.filter(p.isin("1-URGENT", "2-HIGH")).withColumn("session_id", F.lit("web"))
     mobile = lines.filter(p == "3-MEDIUM").withColumn("session_id", F.lit("app"))
     pos = lines.filter(p.isin("4-NOT SPECIFIED", "5-LOW")).withColumn("store_id", p)
-    drop = "o_orderpriority"
-    return unify_channels({"web": web.drop(drop), "mobile": mobile.drop(drop), "pos": pos.drop(drop)})
+    return {"web": web, "mobile": mobile, "pos": pos}
+
+
+def channel_lines(t: Tables) -> DataFrame:
+    """The same table in one pass, for reports that start from stored unified lines."""
+    p = F.col("o_orderpriority")
+    channel = F.when(p.isin("1-URGENT", "2-HIGH"), "web").when(p == "3-MEDIUM", "mobile").otherwise("pos")
+    return line_totals(sold_lines(t).withColumn("channel", channel))
 
 
 CHANNEL_SQL = f"""{LINES_SQL},
@@ -202,7 +218,7 @@ SELECT order_id, customer_id, product_id, channel, quantity, {d('line_total')} A
   CASE WHEN is_deleted THEN updated_at END AS cancelled_at, store_id, session_id FROM chan""",
 )
 def _(t: Tables) -> DataFrame:
-    return channel_lines(t).select(
+    return unify_channels(channel_feeds(t)).select(
         "order_id", "customer_id", "product_id", "channel", "quantity", "line_total", "status", "is_deleted",
         "cancelled_at", "store_id", "session_id",
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.numeric import money
+from ..functions.numeric import money, rounded
 from ..functions.temporal import seconds_between
 from ..operators.evolve import add_columns, unify
 from ..operators.incremental import (
@@ -91,8 +92,6 @@ g AS (SELECT event_id, user_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY
 SELECT event_id, user_id, {r(sec('ts', 'prev'), 3)} AS seconds_since_prev FROM g WHERE event_id NOT IN (SELECT event_id FROM stored)""",
 )
 def _(t: Tables) -> DataFrame:
-    from ..functions.numeric import rounded
-
     stored = loaded_events(t)
     arrived = t.events.join(stored.select("event_id"), "event_id", "left_anti")
     # new rows see the stored history of their key
@@ -148,10 +147,33 @@ CALL_SCHEMA = (
 
 
 def unified_calls(t: Tables) -> DataFrame:
-    """One superset of the three feeds with revenue (0.01/s voice, 0.01/MB data, 0.05/SMS) and drop flag."""
-    from pyspark.sql.types import StructType
+    """One superset of the three feeds, rated."""
+    return rate_calls(unify(call_feeds(t), StructType.fromDDL(CALL_SCHEMA)))
+
+
+def stored_calls(t: Tables) -> DataFrame:
+    """The unified table in one pass, for reports that start from it."""
+    kind = F.col("event_type")
+    old, error, sms = kind.isin("view", "click"), kind == "error", kind == "signup"
+    return rate_calls(
+        t.events.select(
+            F.col("event_id").alias("call_id"),
+            F.col("user_id").alias("caller"),
+            F.col("ts").alias("start_time"),
+            F.ceil("value").cast("bigint").alias("duration_sec"),
+            F.when(sms, "sms").when(kind == "purchase", "data").otherwise("voice").alias("call_type"),
+            F.when(old, 0).otherwise(money("value")).cast("decimal(18,2)").alias("data_usage_mb"),
+            F.when(sms, 1).otherwise(0).alias("sms_count"),
+            F.when(error, F.when(F.col("value") > 50, "5G").otherwise("4G")).alias("network_type"),
+            (error & (F.col("value") > 100)).alias("roaming_flag"),
+            F.when(old, 1).when(error, 3).otherwise(2).alias("schema_version"),
+            F.get_json_object("props", "$.k").cast("bigint").alias("callee"),
+        )
+    )
+
 
-    calls = unify(call_feeds(t), StructType.fromDDL(CALL_SCHEMA))
+def rate_calls(calls: DataFrame) -> DataFrame:
+    """Revenue (0.01/s voice, 0.01/MB data, 0.05/SMS) and drop flag below ten seconds."""
     cent = F.lit("0.01").cast("decimal(4,2)")
     revenue = (
         F.when(F.col("call_type") == "sms", F.col("sms_count") * F.lit("0.05").cast("decimal(4,2)"))

@@ -35,16 +35,21 @@ def inventory_positions(movements: DataFrame) -> DataFrame:
 
 def order_fulfilment(orders: DataFrame, receipts: DataFrame) -> DataFrame:
     """Fill rate, days to receive and on-time flag of each purchase order."""
-    got = receipts.groupBy("po_id").agg(F.sum("quantity").alias("_got"), F.max("received_at").alias("received_at"))
-    joined = orders.join(got, "po_id", "left")
-    return joined.withColumns(
+    got = receipts.groupBy("po_id").agg(F.sum("quantity").alias("qty_received"), F.max("received_at").alias("received_at"))
+    return fulfilment_metrics(orders.join(got, "po_id", "left"))
+
+
+def fulfilment_metrics(orders: DataFrame) -> DataFrame:
+    """The same for orders that already carry their received quantity and time."""
+    received = F.coalesce("qty_received", F.lit(0))
+    return orders.withColumns(
         {
-            "qty_received": F.coalesce("_got", F.lit(0)),
-            "fill_rate": ratio(F.coalesce("_got", F.lit(0)), "qty_ordered", 4),
+            "qty_received": received,
+            "fill_rate": ratio(received, "qty_ordered", 4),
             "days_to_receive": days_between("received_at", "ordered_at"),
             "on_time": F.coalesce(F.col("received_at") <= F.col("expected_at"), F.lit(False)),
         }
-    ).drop("_got")
+    )
 
 
 def shipment_tracking(events: DataFrame) -> DataFrame:
@@ -220,7 +225,8 @@ ful AS (SELECT *, COALESCE(got, 0) AS qty_received, {sql_ratio('COALESCE(got, 0)
 
 
 def purchase_orders(lines: DataFrame) -> DataFrame:
-    """One purchase order per order and supplier, expected after 120 days."""
+    """One purchase order per order and supplier, expected after 120 days, with what was received."""
+    done = F.col("l_linestatus") == "F"
     orders = lines.groupBy("l_orderkey", "l_suppkey").agg(
         F.min("o_orderdate").alias("ordered_at"),
         F.sum("quantity").alias("qty_ordered"),
@@ -228,6 +234,8 @@ def purchase_orders(lines: DataFrame) -> DataFrame:
         F.bool_or(F.col("l_returnflag") == "R").alias("exception"),
         F.min("sku").alias("sku"),
         F.min("warehouse_id").alias("warehouse_id"),
+        F.sum(F.when(done, F.col("quantity"))).alias("qty_received"),
+        F.max(F.when(done, F.col("l_shipdate"))).alias("received_at"),
     )
     return orders.withColumns(
         {"po_id": F.concat_ws("-", "l_orderkey", "l_suppkey"), "expected_at": F.col("ordered_at") + F.make_dt_interval(F.lit(120))}
@@ -235,10 +243,7 @@ def purchase_orders(lines: DataFrame) -> DataFrame:
 
 
 def fulfilled(lines: DataFrame) -> DataFrame:
-    receipts = lines.filter("l_linestatus = 'F'").select(
-        F.concat_ws("-", "l_orderkey", "l_suppkey").alias("po_id"), "quantity", F.col("l_shipdate").alias("received_at")
-    )
-    return order_fulfilment(purchase_orders(lines), receipts)
+    return fulfilment_metrics(purchase_orders(lines))
 
 
 @query("inventory_position", f"WITH {WIDE_SQL} SELECT * FROM stock")
@@ -251,7 +256,13 @@ def _(t: Tables) -> DataFrame:
     f"""WITH {PO_SQL} SELECT l_orderkey, l_suppkey, qty_ordered, qty_received, fill_rate, {n('days_to_receive')} AS days_to_receive, on_time, {d('total_cost')} AS total_cost FROM ful""",
 )
 def _(t: Tables) -> DataFrame:
-    return fulfilled(wide_lines(t)).select(
+    """Orders and their receipts as two tables."""
+    lines = pin(wide_lines(t), "lines")
+    receipts = lines.filter("l_linestatus = 'F'").select(
+        F.concat_ws("-", "l_orderkey", "l_suppkey").alias("po_id"), "quantity", F.col("l_shipdate").alias("received_at")
+    )
+    orders = purchase_orders(lines).drop("qty_received", "received_at")
+    return order_fulfilment(orders, receipts).select(
         "l_orderkey", "l_suppkey", "qty_ordered", "qty_received", "fill_rate", "days_to_receive", "on_time", "total_cost"
     )
 
@@ -372,7 +383,7 @@ SELECT st.*, lead_days, CASE WHEN trend > 1 THEN 'accelerating' WHEN trend > 0 T
   CASE WHEN avg_demand > 0 THEN {sql_ratio('on_hand', 'avg_demand', 2)} END AS days_until_stockout FROM st LEFT JOIN lead ON lead.sku = st.sku""",
 )
 def _(t: Tables) -> DataFrame:
-    return demand_forecast(signals(t), lead_times(fulfilled(wide_lines(t))))
+    return demand_forecast(pin(signals(t), "signals"), pin(lead_times(fulfilled(wide_lines(t))), "lead"))
 
 
 def tracking_events(t: Tables) -> DataFrame:

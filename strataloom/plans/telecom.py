@@ -11,7 +11,7 @@ from ..operators.aggregates import distinct_list
 from ..operators.joins import either_key
 from ..operators.sessions import number_sessions
 from ..sources.tables import Tables
-from .loading import CALLS_SQL, unified_calls
+from .loading import CALLS_SQL, stored_calls
 from .registry import query
 from .sqltext import d, m, n, pct, ratio as sql_ratio
 
@@ -110,10 +110,7 @@ def network_quality(calls: DataFrame, by: list[Column]) -> DataFrame:
 
 
 def calls_with_callee(t: Tables) -> DataFrame:
-    callee = t.events.select(
-        F.col("event_id").alias("call_id"), F.get_json_object("props", "$.k").cast("bigint").alias("callee")
-    )
-    calls = unified_calls(t).join(callee, "call_id")
+    calls = stored_calls(t)
     ends = F.when(
         F.col("call_type") == "voice", F.col("start_time") + F.make_dt_interval(secs=F.col("duration_sec").cast("decimal(18,6)"))
     )
@@ -189,7 +186,7 @@ def placed_calls(t: Tables) -> DataFrame:
     regions = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
         t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return unified_calls(t).join(
+    return stored_calls(t).join(
         regions.select("c_custkey", F.col("r_name").alias("region"), "n_name", "c_mktsegment"), F.col("caller") == F.col("c_custkey")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import money, percent, ratio
 from ..functions.temporal import date_key, days_between
+from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
 from .sqltext import d, m, n, pct, ratio as sql_ratio
@@ -52,7 +53,7 @@ def _(t: Tables) -> DataFrame:
     )
     # a self join on few distinct payers: shrink the payer side first
     used = t.customer.select(F.col("c_nationkey").cast("bigint").alias("_payer")).distinct()
-    payers = payers.join(used, "_payer")
+    payers = pin(payers.join(used, "_payer"), "payers")
     wide = t.customer.join(payers, F.col("c_nationkey") == F.col("_payer"), "left")
     wide = with_place(wide, "c_nationkey", places, "delivery")
     wide = with_place(wide, "postal_key", places, "postal")
