@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ..session import shuffle_width
+from ..session import pin, shuffle_width
 
 HOT_ROWS = 1_000_000
 
@@ -83,6 +83,11 @@ class Timeline:
         """Add or drop columns; keys and order columns must stay."""
         return self._with(self, change(self._rows))
 
+    def _stored(self) -> DataFrame:
+        """The rows written once: with cut keys every step reads them twice."""
+        self._rows = pin(self._rows, "timeline")
+        return self._rows
+
     def _window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, _PIECE).orderBy(*self.order)
 
@@ -97,8 +102,9 @@ class Timeline:
         exprs = {name: fn(w) for name, fn in columns.items()}
         if not self.split:
             return self._with(self, self._rows.withColumns(exprs))
-        rows = self._rows.withColumn("_copy", F.lit(False))
-        hot = self._rows.filter(F.col(_PIECE) > 0)
+        stored = self._stored()
+        rows = stored.withColumn("_copy", F.lit(False))
+        hot = stored.filter(F.col(_PIECE) > 0)
         if before:
             rows = rows.unionByName(self._handed_over(hot, before, forward=True))
         if after:
@@ -134,7 +140,8 @@ class Timeline:
         local = {name: F.sum(c).over(so_far) for name, c in columns.items()}
         if not self.split:
             return self._with(self, self._rows.withColumns(local))
-        hot = self._rows.filter(F.col(_PIECE) > 0)
+        stored = self._stored()
+        hot = stored.filter(F.col(_PIECE) > 0)
         totals = hot.groupBy(*self.keys, _PIECE).agg(
             *[F.sum(c).alias(f"_sum_{name}") for name, c in columns.items()]
         )
@@ -147,7 +154,7 @@ class Timeline:
             *[F.sum(f"_sum_{name}").over(earlier).alias(f"_sum_{name}") for name in columns],
         )
         # one row per piece of a hot key: at most three times the shuffle width
-        rows = self._rows.withColumns(local).join(
+        rows = stored.withColumns(local).join(
             F.broadcast(carried), [*self.keys, _PIECE], "left"
         )
         both = {
@@ -169,7 +176,8 @@ class Timeline:
         local = {name: F.last(c, ignorenulls=True).over(so_far) for name, c in columns.items()}
         if not self.split:
             return self._with(self, self._rows.withColumns(local))
-        hot = self._rows.filter(F.col(_PIECE) > 0)
+        stored = self._stored()
+        hot = stored.filter(F.col(_PIECE) > 0)
         at = F.struct(*self.order)
         ends = hot.groupBy(*self.keys, _PIECE).agg(
             *[
@@ -188,7 +196,7 @@ class Timeline:
                 for name in columns
             ],
         )
-        rows = self._rows.withColumns(local).join(
+        rows = stored.withColumns(local).join(
             F.broadcast(carried), [*self.keys, _PIECE], "left"
         )
         both = {name: F.coalesce(F.col(name), F.col(f"_last_{name}")) for name in columns}
