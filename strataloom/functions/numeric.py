@@ -22,10 +22,31 @@ def rounded(c, digits: int) -> Column:
 
 
 def money(c) -> Column:
-    """Exact two-decimal amount."""
+    """Exact two-decimal amount of any number."""
     return col(c).cast("decimal(18,2)")
 
 
+def hundredths(c) -> Column:
+    """Whole hundredths, as BIGINT, of a DOUBLE column that holds two decimals."""
+    return F.floor(col(c) * F.lit(100.0) + F.lit(0.5))
+
+
+def amount(c) -> Column:
+    """``money`` for a DOUBLE column that holds two decimals.
+
+    Goes through a long integer: casting a double to a decimal prints and
+    parses it, which costs several times the rest of a scan.
+    """
+    unit = F.lit("0.01").cast("decimal(2,2)")
+    return (hundredths(c).cast("decimal(18,0)") * unit).cast("decimal(18,2)")
+
+
+def ten_thousandths(whole: Column) -> Column:
+    """A product of two ``hundredths`` as an exact four-decimal amount."""
+    unit = F.lit("0.0001").cast("decimal(4,4)")
+    return (whole.cast("decimal(18,0)") * unit).cast("decimal(18,4)")
+
+
 def ratio(numerator, denominator, digits: int, scale: float = 1.0, default=None) -> Column:
     """``scale * numerator / denominator``, NULL (or ``default``) where it is zero."""
     num, den = col(numerator).cast("double"), col(denominator).cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, points, ratio, rounded
+from ..functions.numeric import amount, flag_sum, money, percent, points, ratio, rounded
 from ..functions.temporal import seconds_between
 from ..operators.aggregates import first_row
 from ..operators.changes import feed_from_versions
@@ -66,11 +66,11 @@ def score_transactions(
     )
 
 
-def daily_volumes(facts: DataFrame, at: str, amount: str, flagged: Column, rows: int = 7) -> DataFrame:
+def daily_volumes(facts: DataFrame, at: str, value, flagged: Column, rows: int = 7) -> DataFrame:
     """Per day: volume, amount, share of flagged rows and moving averages over days."""
     daily = facts.groupBy(F.col(at).cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("total_txns"),
-        F.sum(money(amount)).alias("total_amount"),
+        F.sum(money(value)).alias("total_amount"),
         flag_sum(flagged).alias("flagged_count"),
     )
     # one row per calendar day from here on
@@ -125,7 +125,7 @@ def event_transactions(t: Tables) -> DataFrame:
         F.col("user_id").alias("account_id"),
         F.col("event_type").alias("merchant_id"),
         F.col("ts").alias("transaction_date"),
-        money("value").alias("amount"),
+        amount("value").alias("amount"),
         F.when(F.col("event_type") == "signup", "credit").otherwise("debit").alias("transaction_type"),
         (F.col("event_type") == "error").alias("is_suspicious"),
         F.col("ts").alias("ingested_at"),
@@ -139,7 +139,7 @@ def event_merchants(t: Tables) -> DataFrame:
 
 
 def customer_accounts(t: Tables) -> DataFrame:
-    return t.customer.select(F.col("c_custkey").alias("account_id"), money("c_acctbal").alias("current_balance"))
+    return t.customer.select(F.col("c_custkey").alias("account_id"), amount("c_acctbal").alias("current_balance"))
 
 
 SCORED_SQL = f"""
@@ -203,7 +203,7 @@ FROM daily"""
 
 @query("daily_kpi_moving_avg", "WITH " + _daily_sql("orders", "o_orderdate", "o_totalprice", "o_totalprice > 300000"))
 def _(t: Tables) -> DataFrame:
-    return daily_volumes(t.orders, "o_orderdate", "o_totalprice", F.col("o_totalprice") > 300000)
+    return daily_volumes(t.orders, "o_orderdate", amount("o_totalprice"), F.col("o_totalprice") > 300000)
 
 
 @query(

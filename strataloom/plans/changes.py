@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money
+from ..functions.numeric import amount, money
 from ..operators import changes as C
 from ..operators import upsert as U
 from ..session import pin
@@ -185,7 +185,7 @@ SELECT c_custkey, CASE WHEN c.c_mktsegment <> l.c_mktsegment THEN 'segment_chang
 FROM customer c JOIN later l USING (c_custkey) WHERE c.c_mktsegment <> l.c_mktsegment OR c.c_acctbal <> l.c_acctbal""",
 )
 def _(t: Tables) -> DataFrame:
-    exact = {"c_acctbal": money("c_acctbal")}
+    exact = {"c_acctbal": amount("c_acctbal")}
     return C.column_changes(
         t.customer.withColumns(exact), customers_later(t).withColumns(exact), ["c_custkey"],
         {"c_mktsegment": "segment_change", "c_acctbal": "balance_change"},
@@ -278,9 +278,9 @@ UNION ALL SELECT 'returns', 'AMENDMENT', CAST(l_orderkey AS VARCHAR), 'Returned=
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey""",
 )
 def _(t: Tables) -> DataFrame:
-    orders = t.orders.withColumn("gross", money("o_totalprice"))
+    orders = t.orders.withColumn("gross", amount("o_totalprice"))
     returns = t.lineitem.filter("l_returnflag = 'R'").groupBy("l_orderkey").agg(
-        F.sum(money("l_extendedprice")).alias("returned"), F.count(F.lit(1)).alias("lines")
+        F.sum(amount("l_extendedprice")).alias("returned"), F.count(F.lit(1)).alias("lines")
     )
     return C.audit_rows(
         orders, "orders", "INSERT", "o_orderkey", [("Gross=", "gross"), (" Status=", "o_orderstatus")]

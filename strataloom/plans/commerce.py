@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio
+from ..functions.numeric import amount, flag_sum, percent, ratio
 from ..functions.temporal import days_between, month_start
 from ..operators.aggregates import share_of_total
 from ..operators.ranking import bucket_of, number_rows
@@ -110,20 +110,37 @@ def funnel_kpi(sessions: DataFrame, by: Column, name: str) -> DataFrame:
 
 def sales_dashboard(lines: DataFrame) -> DataFrame:
     """Month and channel: orders, revenue, order value, cancellations and repeat customers."""
+    by = ["report_month", "channel"]
     kept = ~F.col("is_deleted")
-    orders_of = lines.filter(kept).select("customer_id", "order_id").distinct()
-    repeat = orders_of.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1")
-    marked = lines.join(repeat.select("customer_id", F.lit(True).alias("_repeat")), "customer_id", "left")
-    orders = F.count_distinct("order_id")
-    cancelled = F.count_distinct(F.when(F.col("status") == "cancelled", F.col("order_id")))
-    customers = F.count_distinct(F.when(kept, F.col("customer_id")))
-    repeating = F.count_distinct(F.when(kept & F.col("_repeat"), F.col("customer_id")))
-    agg = marked.groupBy(month_start("order_date").alias("report_month"), "channel").agg(
-        orders.alias("total_orders"),
-        F.sum(F.when(kept, F.col("line_total")).otherwise(0)).alias("total_revenue"),
-        cancelled.alias("cancelled_orders"),
-        customers.alias("unique_customers"),
-        repeating.alias("repeat_customers"),
+    # one row per order and customer, read four times below
+    orders = pin(
+        lines.groupBy(month_start("order_date").alias("report_month"), "channel", "order_id", "customer_id").agg(
+            F.sum(F.when(kept, F.col("line_total")).otherwise(0)).alias("revenue"),
+            F.bool_or(F.col("status") == "cancelled").alias("cancelled"),
+            F.bool_or(kept).alias("kept"),
+        ),
+        "orders",
+    )
+    bought = orders.filter("kept")
+    repeat = bought.select("customer_id", "order_id").distinct().groupBy("customer_id").agg(F.count(F.lit(1)).alias("_k"))
+    repeat = repeat.filter("_k > 1").select("customer_id", F.lit(True).alias("_repeat"))
+    sums = orders.groupBy(*by).agg(F.sum("revenue").alias("total_revenue"))
+    counts = (
+        orders.groupBy(*by, "order_id")
+        .agg(F.bool_or("cancelled").alias("cancelled"))
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("total_orders"), flag_sum(F.col("cancelled")).alias("cancelled_orders"))
+    )
+    buyers = (
+        bought.select(*by, "customer_id")
+        .distinct()
+        .join(repeat, "customer_id", "left")
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("unique_customers"), flag_sum(F.col("_repeat")).alias("repeat_customers"))
+    )
+    zero = F.lit(0)
+    agg = sums.join(counts, by).join(buyers, by, "left").withColumns(
+        {c: F.coalesce(c, zero) for c in ("unique_customers", "repeat_customers")}
     )
     return agg.withColumns(
         {
@@ -172,8 +189,8 @@ def sold_lines(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
+        amount("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        amount("l_discount").cast("decimal(4,2)").alias("discount"),
         F.col("o_orderdate").alias("order_date"),
         order_status().alias("status"),
         F.col("l_shipdate").alias("updated_at"),
@@ -239,7 +256,7 @@ SELECT {day('mon')} AS report_month, channel, o AS total_orders, {d('rev')} AS t
   COALESCE({sql_ratio('can', 'o', 4)}, 0) AS cancellation_rate, COALESCE({pct('repc', 'cust')}, 0) AS repeat_rate_pct FROM agg""",
 )
 def _(t: Tables) -> DataFrame:
-    return sales_dashboard(pin(channel_lines(t), "lines"))
+    return sales_dashboard(channel_lines(t))
 
 
 @query(
@@ -271,7 +288,7 @@ def customer_rfm(t: Tables) -> DataFrame:
     customers = t.customer.select(F.col("c_custkey").alias("customer_id"))
     orders = t.orders.select(
         F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("order_id"),
-        money("o_totalprice").alias("amount"), F.col("o_orderdate").alias("order_date"),
+        amount("o_totalprice").alias("amount"), F.col("o_orderdate").alias("order_date"),
     )
     return rfm_segments(customers, orders, AS_OF)
 
@@ -400,9 +417,9 @@ FROM lines JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3 ORDER BY SUM(net)
 )
 def _(t: Tables) -> DataFrame:
     sums = order_lines(t).groupBy("l_partkey").agg(
-        F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("units"), F.sum("net").alias("revenue")
+        F.sum(F.col("l_quantity").cast("bigint")).cast("decimal(18,0)").alias("units"), F.sum("net").alias("revenue")
     )
-    cost = F.col("units") * F.col("p_retailprice").cast("decimal(12,2)")
+    cost = F.col("units") * amount("p_retailprice")
     top = sums.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("gross_profit", F.col("revenue") - cost)
     top = top.orderBy(F.col("revenue").desc(), "p_partkey").limit(5)
     return top.select(
@@ -421,7 +438,7 @@ def _(t: Tables) -> DataFrame:
     monthly = t.orders.groupBy(
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
         F.date_format("o_orderdate", "MMMM").alias("month_name"),
-    ).agg(F.count(F.lit(1)).alias("monthly_orders"), F.sum(money("o_totalprice")).alias("monthly_revenue"))
+    ).agg(F.count(F.lit(1)).alias("monthly_orders"), F.sum(amount("o_totalprice")).alias("monthly_revenue"))
     # one row per month
     so_far = Window.orderBy("year", "month")
     return monthly.withColumn("cumulative_revenue", F.sum("monthly_revenue").over(so_far))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio, rounded
+from ..functions.numeric import amount, flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import month_start, shift_of_day
 from ..operators.timeline import Timeline
 from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
-from .sqltext import d, day, m, n, pct, r, ratio as sql_ratio
+from .sqltext import day, m, n, pct, r, ratio as sql_ratio
 
 # fixed values: valid range by sensor type
 RANGES = {"temperature": (-50, 500), "pressure": (0, 200), "vibration": (0, 50000), "rpm": (0, 20000)}
@@ -62,7 +62,7 @@ def smooth_readings(readings: DataFrame, rows: int = 5, sigmas: float = 2.0) ->
         readings, ["sensor_id"], ["reading_time", "reading_id"], profile=readings.select("sensor_id", "reading_time")
     ).near(
         before=rows - 1,
-        _sum=lambda w: F.sum(money("value")).over(frame(w)),
+        _sum=lambda w: F.sum(amount("value")).over(frame(w)),
         _n=lambda w: F.count(F.lit(1)).over(frame(w)),
         _dev=lambda w: F.stddev_samp("value").over(frame(w)),
     )
@@ -209,7 +209,7 @@ SELECT plant_id, line_name, {day('reading_time')} AS reading_date, {sql_ratio('S
 def _(t: Tables) -> DataFrame:
     whole = F.count(F.lit(1))
     return smoothed_events(t).groupBy("plant_id", "line_name", F.col("reading_time").cast("date").alias("reading_date")).agg(
-        ratio(F.sum(money("value")), whole, 2).alias("avg_value"),
+        ratio(F.sum(amount("value")), whole, 2).alias("avg_value"),
         ratio(F.sum(money("moving_avg")), whole, 2).alias("avg_smoothed"),
         flag_sum(F.col("anomaly")).alias("anomalies"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio
+from ..functions.numeric import amount, flag_sum, percent, ratio
 from ..functions.temporal import days_between, quarter_label
 from ..operators.aggregates import first_row
 from ..operators.joins import as_of
@@ -55,7 +55,7 @@ def order_admissions(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("department"),
         F.col("o_orderdate").alias("admission_date"),
         (F.col("o_orderdate") + F.make_dt_interval(F.coalesce("_lines", F.lit(0)))).alias("discharge_date"),
-        money("o_totalprice").alias("total_charges"),
+        amount("o_totalprice").alias("total_charges"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("ingested_at"),
     )
     return clean_admissions(raw)

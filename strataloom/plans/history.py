@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money, percent
+from ..functions.numeric import amount, percent
 from ..operators.joins import as_of
 from ..operators.ranking import surrogate_keys
 from ..operators.scd import apply_batch, hire_and_change, initial_load, invariant_breaks
@@ -188,6 +188,6 @@ def _(t: Tables) -> DataFrame:
         .groupBy("tier", F.year("valid_from").cast("string").alias("since_year"), "is_current")
         .agg(
             F.count(F.lit(1)).alias("versions"), F.sum("spent").alias("spent"),
-            F.sum(money("c_acctbal")).alias("balance"),
+            F.sum(amount("c_acctbal")).alias("balance"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio, rounded
+from ..functions.numeric import amount, flag_sum, percent, ratio, rounded
 from ..functions.temporal import days_between
 from ..operators.joins import as_of, with_group_stats
 from ..operators.quality import split_valid
@@ -26,10 +26,10 @@ def enrich_claims(
         ["coverage_type", "annual_premium", "region"], "claim_id", cuts=cuts,
     )
     placed = pin(placed, "placed")
-    amount = F.col("claim_amount").cast("double")
-    stats = with_group_stats(placed, ["coverage_type"], _mean=F.avg(amount), _dev=F.stddev_samp(amount))
-    risk = F.when(amount > F.col("_mean") * high, "high_risk").when(amount > F.col("_mean") * medium, "medium_risk")
-    z = F.when(F.col("_dev") > 0, (amount - F.col("_mean")) / F.col("_dev")).otherwise(0.0)
+    value = F.col("claim_amount").cast("double")
+    stats = with_group_stats(placed, ["coverage_type"], _mean=F.avg(value), _dev=F.stddev_samp(value))
+    risk = F.when(value > F.col("_mean") * high, "high_risk").when(value > F.col("_mean") * medium, "medium_risk")
+    z = F.when(F.col("_dev") > 0, (value - F.col("_mean")) / F.col("_dev")).otherwise(0.0)
     return stats.withColumns(
         {
             "days_to_settle": days_between("settlement_date", "incident_date"),
@@ -74,7 +74,7 @@ def adjuster_kpi(claims: DataFrame) -> DataFrame:
 def order_claims(t: Tables) -> DataFrame:
     shipped = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("_settled"))
     status = F.col("o_orderstatus")
-    amount = money("o_totalprice")
+    claimed = amount("o_totalprice")
     settled = F.when(F.col("_settled") >= F.col("o_orderdate"), F.col("_settled"))
     raw = t.orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("claim_id"),
@@ -82,8 +82,8 @@ def order_claims(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("adjuster_id"),
         F.col("o_orderdate").alias("incident_date"),
         (F.col("o_orderdate") + F.make_dt_interval(F.length("o_orderpriority"))).alias("reported_date"),
-        amount.alias("claim_amount"),
-        F.when(status == "F", (amount * F.lit("0.8").cast("decimal(2,1)")).cast("decimal(18,2)")).alias("approved_amount"),
+        claimed.alias("claim_amount"),
+        F.when(status == "F", (claimed * F.lit("0.8").cast("decimal(2,1)")).cast("decimal(18,2)")).alias("approved_amount"),
         F.when(status == "F", "settled").when(status == "P", "denied").otherwise("filed").alias("status"),
         settled.alias("settlement_date"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import rounded
+from ..functions.numeric import amount, rounded
 from ..functions.temporal import date_key, weekday_from_sunday
 from ..operators.ranking import bucket_of, number_rows, rank_values, surrogate_keys
 from ..sources.tables import Tables, date_series
@@ -117,7 +117,7 @@ def _(t: Tables) -> DataFrame:
 FROM (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1)""",
 )
 def _(t: Tables) -> DataFrame:
-    totals = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"))
+    totals = t.orders.groupBy("o_custkey").agg(F.sum(amount("o_totalprice")).alias("total"))
     ranked = rank_values(totals, "total", percent_rank="_share")
     return ranked.select("o_custkey", "total", rounded("_share", 5).alias("contribution_rank"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.numeric import money, rounded
+from ..functions.numeric import amount, rounded
 from ..functions.temporal import seconds_between
 from ..operators.evolve import add_columns, unify
 from ..operators.incremental import (
@@ -70,7 +70,7 @@ def _(t: Tables) -> DataFrame:
 
 def user_totals(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("events"), F.sum(money("value")).alias("total"), F.max("ts").alias("last_seen")
+        F.count(F.lit(1)).alias("events"), F.sum(amount("value")).alias("total"), F.max("ts").alias("last_seen")
     )
 
 
@@ -124,12 +124,12 @@ def call_feeds(t: Tables) -> list:
     v2 = e.filter("event_type IN ('signup', 'purchase')").select(
         *base, seconds.alias("duration_sec"),
         F.when(F.col("event_type") == "signup", "sms").otherwise("data").alias("call_type"),
-        money("value").alias("data_usage_mb"),
+        amount("value").alias("data_usage_mb"),
         F.when(F.col("event_type") == "signup", 1).otherwise(0).alias("sms_count"),
     )
     v3 = e.filter("event_type = 'error'").select(
         *base, seconds.cast("bigint").alias("duration_sec"), F.lit("voice").alias("call_type"),
-        money("value").alias("data_usage_mb"), F.lit(0).alias("sms_count"),
+        amount("value").alias("data_usage_mb"), F.lit(0).alias("sms_count"),
         F.when(F.col("value") > 50, "5G").otherwise("4G").alias("network_type"),
         (F.col("value") > 100).alias("roaming_flag"),
     )
@@ -162,7 +162,7 @@ def stored_calls(t: Tables) -> DataFrame:
             F.col("ts").alias("start_time"),
             F.ceil("value").cast("bigint").alias("duration_sec"),
             F.when(sms, "sms").when(kind == "purchase", "data").otherwise("voice").alias("call_type"),
-            F.when(old, 0).otherwise(money("value")).cast("decimal(18,2)").alias("data_usage_mb"),
+            F.when(old, 0).otherwise(amount("value")).cast("decimal(18,2)").alias("data_usage_mb"),
             F.when(sms, 1).otherwise(0).alias("sms_count"),
             F.when(error, F.when(F.col("value") > 50, "5G").otherwise("4G")).alias("network_type"),
             (error & (F.col("value") > 100)).alias("roaming_flag"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, haversine_km, money, percent, planar_km, ratio, rounded
+from ..functions.numeric import amount, flag_sum, haversine_km, percent, planar_km, ratio, rounded
 from ..functions.temporal import days_between, seconds_between
 from ..operators.timeline import Timeline
 from ..operators.upsert import insert_absent
@@ -95,7 +95,7 @@ _CONTRACT_SQL = ", ".join(f"('{a}', '{b}', {c}, {e})" for a, b, c, e in CONTRACT
 
 def order_shipments(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.max("l_shipdate").alias("_last"), F.sum(money("l_extendedprice")).alias("revenue"),
+        F.max("l_shipdate").alias("_last"), F.sum(amount("l_extendedprice")).alias("revenue"),
         F.sum("l_quantity").cast("bigint").alias("weight"),
     )
     days = days_between("_last", "o_orderdate")
@@ -106,7 +106,7 @@ def order_shipments(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("service_level"),
         F.col("o_orderdate").alias("ship_date"),
         F.when(days >= 0, days).alias("transit_days"),
-        money("o_totalprice").alias("cost"),
+        amount("o_totalprice").alias("cost"),
         "revenue",
         "weight",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio, rounded
+from ..functions.numeric import amount, flag_sum, money, percent, ratio, rounded
 from ..functions.temporal import quarter_label
 from ..operators.aggregates import percentiles
 from ..operators.joins import as_of
@@ -76,7 +76,7 @@ def order_sales(t: Tables) -> DataFrame:
     ).join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     sales = t.orders.select(
         F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("parcel_id"), F.col("o_orderdate").alias("sold_at"),
-        money("o_totalprice").alias("sale_price"),
+        amount("o_totalprice").alias("sale_price"),
     ).join(
         parcels.select("parcel_id", "sqft", F.col("c_mktsegment").alias("property_type"), F.col("n_regionkey").alias("county")),
         "parcel_id",
@@ -154,7 +154,7 @@ SELECT sale_id, parcel_id, {d('p')} AS sale_price, {d('pp')} AS previous_price,
 def _(t: Tables) -> DataFrame:
     sales = t.orders.select(
         F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("parcel_id"),
-        F.col("o_orderdate").alias("sold_at"), money("o_totalprice").alias("sale_price"),
+        F.col("o_orderdate").alias("sold_at"), amount("o_totalprice").alias("sale_price"),
     )
     again = sales.groupBy("parcel_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select("parcel_id")
     line = Timeline(sales, ["parcel_id"], ["sold_at", "sale_id"]).near(
@@ -181,7 +181,7 @@ def _(t: Tables) -> DataFrame:
     sums = order_lines(t).groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("deals"), F.sum("net").alias("volume"), average("net").alias("avg_price"),
         average(F.col("l_quantity").cast("bigint"), 1).alias("avg_quantity"),
-        average(F.col("l_discount").cast("decimal(4,2)"), 4).alias("avg_discount"),
+        average(amount("l_discount"), 4).alias("avg_discount"),
     )
     people = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return sums.join(people, F.col("l_suppkey") == F.col("s_suppkey")).select(
@@ -196,7 +196,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nat
 )
 def _(t: Tables) -> DataFrame:
     # totals per customer first: nations are few and would be hot join keys
-    totals = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_k"), F.sum(money("o_totalprice")).alias("_s"))
+    totals = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_k"), F.sum(amount("o_totalprice")).alias("_s"))
     people = (
         t.customer.select("c_custkey", "c_nationkey")
         .join(totals, F.col("c_custkey") == F.col("o_custkey"), "left")

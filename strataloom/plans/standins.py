@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import band, money
+from ..functions.numeric import amount, band, hundredths, ten_thousandths, money
 from ..operators.scd import build_history, changes_only
 from ..operators.timeline import Cuts, Timeline, find_cuts
 from ..sources.tables import Tables
@@ -29,7 +29,7 @@ def tier_steps(t: Tables, cuts: Cuts | None = None) -> DataFrame:
         F.col("o_custkey").alias("account_id"),
         "o_orderdate",
         "o_orderkey",
-        money("o_totalprice").alias("amount"),
+        amount("o_totalprice").alias("amount"),
     )
     running = Timeline(orders, ["account_id"], ["o_orderdate", "o_orderkey"], cuts=cuts).running(spent=F.col("amount"))
     daily = (
@@ -95,17 +95,13 @@ later AS (
 
 def order_lines(t: Tables) -> DataFrame:
     """Line items with exact amounts."""
-    price, discount, tax = (
-        F.col("l_extendedprice").cast("decimal(12,2)"),
-        F.col("l_discount").cast("decimal(4,2)"),
-        F.col("l_tax").cast("decimal(4,2)"),
-    )
+    price, discount, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
     return t.lineitem.withColumns(
         {
-            "price": price,
-            "discount_amount": price * discount,
-            "net": price * (F.lit(1).cast("decimal(4,2)") - discount),
-            "tax_amount": price * tax,
+            "price": amount("l_extendedprice"),
+            "discount_amount": ten_thousandths(price * discount),
+            "net": ten_thousandths(price * (F.lit(100) - discount)),
+            "tax_amount": ten_thousandths(price * tax),
         }
     )
 

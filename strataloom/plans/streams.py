@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money
+from ..functions.numeric import amount
 from ..sources.tables import Tables
 from ..streaming import events as S
 from .registry import query
@@ -46,7 +46,7 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_PASSED} GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
     hourly = S.tumbling(
-        stream(t), "ts", "1 hour", DELAY, ["event_type"], events=F.count(F.lit(1)), total=F.sum(money("value"))
+        stream(t), "ts", "1 hour", DELAY, ["event_type"], events=F.count(F.lit(1)), total=F.sum(amount("value"))
     )
     return S.run_append(hourly, "stream-hourly")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, ratio, rounded
+from ..functions.numeric import amount, flag_sum, percent, ratio, rounded
 from ..functions.temporal import days_between, month_start, seconds_between
 from ..operators.joins import as_of
 from ..session import pin
@@ -230,7 +230,7 @@ def purchase_orders(lines: DataFrame) -> DataFrame:
     orders = lines.groupBy("l_orderkey", "l_suppkey").agg(
         F.min("o_orderdate").alias("ordered_at"),
         F.sum("quantity").alias("qty_ordered"),
-        F.sum(money("l_extendedprice")).alias("total_cost"),
+        F.sum(amount("l_extendedprice")).alias("total_cost"),
         F.bool_or(F.col("l_returnflag") == "R").alias("exception"),
         F.min("sku").alias("sku"),
         F.min("warehouse_id").alias("warehouse_id"),
@@ -283,7 +283,7 @@ def store_demand(lines: DataFrame) -> DataFrame:
     sold = F.sum(F.when(returned, 0).otherwise(F.col("quantity")))
     back = F.sum(F.when(returned, F.col("quantity")).otherwise(0))
     return lines.groupBy("store_id", "sku", month_start("l_shipdate").alias("period")).agg(
-        sold.alias("qty_sold"), back.alias("qty_returned"), F.sum(money("l_extendedprice")).alias("revenue")
+        sold.alias("qty_sold"), back.alias("qty_returned"), F.sum(amount("l_extendedprice")).alias("revenue")
     ).withColumn("net_sold", F.col("qty_sold") - F.col("qty_returned"))
 
 
@@ -440,7 +440,7 @@ def mirrored(at) -> Column:
 
 def _rollup(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(F.col(key).cast("string").alias("member")).agg(
-        F.sum("quantity").alias("units"), F.sum(money("l_extendedprice")).alias("amount"),
+        F.sum("quantity").alias("units"), F.sum(amount("l_extendedprice")).alias("amount"),
         F.count_distinct("sku").alias("products"),
     ).withColumn("dimension", F.lit(name))
 
@@ -471,7 +471,7 @@ def _(t: Tables) -> DataFrame:
         F.sum("on_hand").alias("on_hand"), F.count(F.lit(1)).alias("sku_count")
     )
     room = t.supplier.groupBy("s_nationkey").agg(
-        F.sum(F.when(F.col("s_acctbal") > 0, money("s_acctbal")).otherwise(0)).alias("capacity")
+        F.sum(F.when(F.col("s_acctbal") > 0, amount("s_acctbal")).otherwise(0)).alias("capacity")
     )
     rows = t.nation.join(held, F.col("n_nationkey") == F.col("warehouse_id"), "left").join(
         room, F.col("n_nationkey") == F.col("s_nationkey"), "left"

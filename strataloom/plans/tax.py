@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import band, flag_sum, money, percent, ratio, rounded
+from ..functions.numeric import amount, band, flag_sum, money, percent, ratio, rounded
 from ..operators.ranking import ntile, rank_values, surrogate_keys
 from ..operators.scd import amended
 from ..session import pin
@@ -171,7 +171,7 @@ def order_filings(t: Tables) -> DataFrame:
             F.col("o_orderpriority").alias("preparer"),
             F.year("o_orderdate").alias("fiscal_year"),
             F.col("o_orderdate").alias("filing_date"),
-            money("o_totalprice").alias("gross_income"),
+            amount("o_totalprice").alias("gross_income"),
             F.coalesce(money("_d") * 10, F.lit(0)).cast("decimal(18,2)").alias("deductions"),
             F.coalesce(money("_t"), F.lit(0)).cast("decimal(18,2)").alias("tax_owed"),
             F.when(status == "F", "Accepted").when(status == "P", "Filed").otherwise("Audited").alias("filing_status"),

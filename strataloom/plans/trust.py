@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import privacy as P
-from ..functions.numeric import money
+from ..functions.numeric import amount
 from ..operators import quality as Q
 from ..sources.tables import Tables
 from .loading import loaded_events
@@ -109,8 +109,8 @@ SELECT (SELECT COUNT(*) FROM a) AS groups, (SELECT CAST(SUM(k) AS BIGINT) FROM a
 )
 def _(t: Tables) -> DataFrame:
     """Totals of a KPI table against the same totals from the base rows."""
-    kpi = t.orders.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("s"), F.count(F.lit(1)).alias("k"))
-    base_sum = t.orders.agg(F.sum(money("o_totalprice")).alias("s")).scalar()
+    kpi = t.orders.groupBy("o_custkey").agg(F.sum(amount("o_totalprice")).alias("s"), F.count(F.lit(1)).alias("k"))
+    base_sum = t.orders.agg(F.sum(amount("o_totalprice")).alias("s")).scalar()
     base_rows = t.orders.agg(F.count(F.lit(1)).alias("k")).scalar()
     again = kpi.agg(F.count(F.lit(1)).alias("groups"), F.sum("s").alias("s"), F.sum("k").alias("k"))
     return again.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money, percent, ratio
+from ..functions.numeric import amount, percent, ratio
 from ..functions.temporal import date_key, days_between
 from ..session import pin
 from ..sources.tables import Tables
@@ -77,7 +77,7 @@ def sale_lines(t: Tables) -> DataFrame:
     rows = order_lines(t).join(
         t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey")
     ).join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"), "left")
-    cost = F.col("l_quantity").cast("decimal(12,2)") * money("p_retailprice")
+    cost = F.col("l_quantity").cast("bigint") * amount("p_retailprice")
     days = days_between("l_shipdate", "o_orderdate")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("customer_key"),
@@ -115,8 +115,8 @@ def _(t: Tables) -> DataFrame:
     rows = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.groupBy("l_orderkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
-        F.sum(money("l_extendedprice")).alias("order_total"),
-        F.sum(F.when(done, money("l_extendedprice")).otherwise(0)).alias("received_total"),
+        F.sum(amount("l_extendedprice")).alias("order_total"),
+        F.sum(F.when(done, amount("l_extendedprice")).otherwise(0)).alias("received_total"),
         percent(F.sum(F.when(done, units).otherwise(0)), F.sum(units)).alias("fulfilment_pct"),
         days_between(F.max(F.when(done, F.col("l_shipdate"))), F.min("o_orderdate")).alias("days_to_deliver"),
         F.bool_and(done).alias("is_finalized"),
@@ -147,8 +147,8 @@ FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY 1, 2""",
 def _(t: Tables) -> DataFrame:
     zero = F.lit(0)
     sums = t.lineitem.groupBy("l_suppkey").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).alias("amount"),
-        F.sum(F.when(F.col("l_linestatus") == "O", money("l_extendedprice"))).alias("outstanding"),
+        F.count(F.lit(1)).alias("lines"), F.sum(amount("l_extendedprice")).alias("amount"),
+        F.sum(F.when(F.col("l_linestatus") == "O", amount("l_extendedprice"))).alias("outstanding"),
         ratio(F.sum(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)), F.count(F.lit(1)), 4).alias("finalized_share"),
     )
     return t.supplier.join(sums, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag_sum, money, percent, points, ratio, rounded
+from ..functions.numeric import amount, flag_sum, money, percent, points, ratio, rounded
 from ..functions.temporal import days_between, quarter_label
 from ..operators.aggregates import percentiles
 from ..operators.timeline import Timeline
@@ -122,8 +122,8 @@ def event_compensation(t: Tables) -> DataFrame:
         F.when(kind == "signup", "hire").when(kind == "purchase", "promotion").when(kind == "click", "salary_adjustment")
         .when(kind == "error", "termination").otherwise("bonus").alias("event_type"),
         kind.alias("position_id"),
-        (F.lit(30000) + money("value") * 100).cast("decimal(18,2)").alias("base_salary"),
-        (money("value") * 5).cast("decimal(18,2)").alias("bonus"),
+        (F.lit(30000) + amount("value") * 100).cast("decimal(18,2)").alias("base_salary"),
+        (amount("value") * 5).cast("decimal(18,2)").alias("bonus"),
     )
     grades = events.groupBy("position_id").agg(F.min("base_salary").alias("grade_min"), F.max("base_salary").alias("grade_max"))
     return compensation_events(events, pin(grades, "grades"))
@@ -216,7 +216,7 @@ SELECT department, head_budget, {d('budget')} AS budget, COUNT(DISTINCT employee
 )
 def _(t: Tables) -> DataFrame:
     budgets = t.customer.groupBy(F.col("c_mktsegment").alias("department")).agg(
-        F.count(F.lit(1)).alias("head_budget"), F.sum(money("c_acctbal")).alias("budget")
+        F.count(F.lit(1)).alias("head_budget"), F.sum(amount("c_acctbal")).alias("budget")
     )
     actual = compensation_facts(t).groupBy("department").agg(
         F.count_distinct("employee_id").alias("headcount"), F.sum("base_salary").alias("salary_spend")
@@ -237,7 +237,7 @@ def _(t: Tables) -> DataFrame:
     )
     return line.rows.select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_day"), "o_totalprice", "previous",
-        percent(money("o_totalprice") - money("previous"), money("previous")).alias("change_pct"),
+        percent(amount("o_totalprice") - money("previous"), money("previous")).alias("change_pct"),
     )
 
 
