@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import pin, shuffle_width
+from ..session import pin
 
 _PART = "_part"
 
@@ -17,9 +17,12 @@ def _ordering(order: Sequence) -> list[Column]:
 
 
 def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows in globally sorted ranges; the range number is fixed by writing it."""
-    width = shuffle_width(df.sparkSession)
-    placed = df.repartitionByRange(width, *order).withColumn(_PART, F.spark_partition_id())
+    """Rows in globally sorted ranges; the range number is fixed by writing it.
+
+    The number of ranges is the shuffle width; adaptive execution joins
+    neighbouring ones where the table is small.
+    """
+    placed = df.repartitionByRange(*order).withColumn(_PART, F.spark_partition_id())
     return pin(placed, "ranges")
 
 

@@ -48,26 +48,34 @@ def take(*columns: str) -> dict[str, Column]:
 def merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Sequence[Clause]
 ) -> DataFrame:
-    keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(k).isNotNull()
+    def keyed(df: DataFrame) -> Column:
+        test = F.lit(True)
+        for k in keys:
+            test = test & df[k].isNotNull()
+        return test
+
+    def side_of(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        marks = [F.col(k).alias(f"_{name}{i}") for i, k in enumerate(keys)]
+        return df.select(*marks, F.struct(*columns).alias(name))
+
     # one row per key: a repeated key is an error, not a choice
     single = (
-        source.filter(keyed)
+        source.filter(keyed(source))
         .groupBy(*keys)
         .agg(F.any_value(F.struct(*source.columns)).alias("_s"), F.count(F.lit(1)).alias("_copies"))
         .select("_s.*", "_copies")
     )
-    loose = source.filter(~keyed).withColumn("_copies", F.lit(1).cast("bigint"))
-    rows = single.unionByName(loose)
-
-    t = target.withColumn("_in", F.lit(True)).alias("t")
-    s = rows.withColumn("_in", F.lit(True)).alias("s")
+    loose = source.filter(~keyed(source)).withColumn("_copies", F.lit(1).cast("bigint"))
+    t = side_of(target.filter(keyed(target)), target.columns, "t")
+    s = side_of(single, [*source.columns, "_copies"], "s")
     on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))
-    joined = t.join(s, on, "full_outer")
-    in_target, in_source = F.col("t._in").isNotNull(), F.col("s._in").isNotNull()
+    for i in range(len(keys)):
+        on = on & (F.col(f"_t{i}") == F.col(f"_s{i}"))
+    # rows without a key match nothing; they stay out of the join, where they would meet in one task
+    lone_t = side_of(target.filter(~keyed(target)), target.columns, "t").select("t", F.lit(None).cast(s.schema["s"].dataType).alias("s"))
+    lone_s = side_of(loose, [*source.columns, "_copies"], "s").select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s")
+    joined = t.join(s, on, "full_outer").select("t", "s").unionByName(lone_t).unionByName(lone_s)
+    in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()
     clash = F.col("s._copies") > 1
     side = {
         "matched": in_target & in_source,

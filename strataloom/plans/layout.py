@@ -17,7 +17,7 @@ from .registry import query
 def _(t: Tables) -> DataFrame:
     """Many small files into one even set."""
     scattered = scratch_path(t.spark, "scattered")
-    t.events.repartition(shuffle_width(t.spark) * 4).write.parquet(scattered)
+    t.events.repartition(shuffle_width(t.spark) * 2).write.parquet(scattered)
     packed = W.compact(t.spark, scattered, scratch_path(t.spark, "packed"), shuffle_width(t.spark))
     return packed.select("event_id", "user_id", "event_type", "value")
 
