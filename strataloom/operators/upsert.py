@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffle_width
 from .aggregates import first_row
 
 
@@ -48,33 +49,29 @@ def take(*columns: str) -> dict[str, Column]:
 def merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Sequence[Clause]
 ) -> DataFrame:
-    def keyed(df: DataFrame) -> Column:
-        test = F.lit(True)
+    width = shuffle_width(target.sparkSession)
+
+    def spread(df: DataFrame) -> Column:
+        """0 for rows with a key; rows without one match nothing and are spread over the tasks."""
+        lost = F.lit(False)
         for k in keys:
-            test = test & df[k].isNotNull()
-        return test
+            lost = lost | df[k].isNull()
+        return F.when(lost, F.pmod(F.xxhash64(*df.columns), F.lit(width)) + 1).otherwise(F.lit(0))
 
     def side_of(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-        marks = [F.col(k).alias(f"_{name}{i}") for i, k in enumerate(keys)]
+        marks = [F.col(k).alias(f"_{name}{i}") for i, k in enumerate([*keys, "_lost"])]
         return df.select(*marks, F.struct(*columns).alias(name))
 
-    # one row per key: a repeated key is an error, not a choice
-    single = (
-        source.filter(keyed(source))
-        .groupBy(*keys)
-        .agg(F.any_value(F.struct(*source.columns)).alias("_s"), F.count(F.lit(1)).alias("_copies"))
-        .select("_s.*", "_copies")
-    )
-    loose = source.filter(~keyed(source)).withColumn("_copies", F.lit(1).cast("bigint"))
-    t = side_of(target.filter(keyed(target)), target.columns, "t")
-    s = side_of(single, [*source.columns, "_copies"], "s")
+    # a repeated key is an error, not a choice; the window shares its shuffle with the join
+    marked = source.withColumn("_lost", spread(source))
+    same_key = Window.partitionBy(*keys, "_lost")
+    copies = F.when(F.col("_lost") == 0, F.count(F.lit(1)).over(same_key)).otherwise(1)
+    t = side_of(target.withColumn("_lost", spread(target)), target.columns, "t")
+    s = side_of(marked.withColumn("_copies", copies), [*source.columns, "_copies"], "s")
     on = F.lit(True)
-    for i in range(len(keys)):
+    for i in range(len(keys) + 1):
         on = on & (F.col(f"_t{i}") == F.col(f"_s{i}"))
-    # rows without a key match nothing; they stay out of the join, where they would meet in one task
-    lone_t = side_of(target.filter(~keyed(target)), target.columns, "t").select("t", F.lit(None).cast(s.schema["s"].dataType).alias("s"))
-    lone_s = side_of(loose, [*source.columns, "_copies"], "s").select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s")
-    joined = t.join(s, on, "full_outer").select("t", "s").unionByName(lone_t).unionByName(lone_s)
+    joined = t.join(s, on, "full_outer").select("t", "s")
     in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()
     clash = F.col("s._copies") > 1
     side = {
