@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import mixing
+from . import bpe, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +63,15 @@ drawn AS (
 SELECT doc_id, size, source_size, target,
        CAST((FLOOR(rate) + CASE WHEN u < rate - FLOOR(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM drawn"""
+
+
+@registered
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    return bpe.decode(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
