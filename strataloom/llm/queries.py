@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, mixing
+from . import bpe, langid, mixing
+from .frames import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,3 +76,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@registered
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = langid.fit(docs, ~held_out(F.col("doc_id"), 3, 1))
+    said = langid.predict(docs.select("doc_id", "text"), model, reject=False)
+    return said.select(
+        "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "rejected"
+    )
