@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from .textscan import runs
 
 RUN_BYTES = 4 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 KNOWN_PAIRS = 400_000
 #: Fixed value: how byte-level vocabularies of this kind cut texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,9 +62,14 @@ class Coder:
         self.longest = max(map(len, self.ids))
         pairs = (tuple(p) if not isinstance(p, str) else tuple(p.split(" ")) for p in model["merges"])
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.parts: dict[int, tuple[int, int, int]] = {}
         for rank, (a, b) in enumerate(pairs):
             left, right = model["vocab"][a], model["vocab"][b]
-            self.merges.setdefault((left, right), (rank, model["vocab"][a + b]))
+            token = model["vocab"][a + b]
+            self.merges.setdefault((left, right), (rank, token))
+            self.parts.setdefault(token, (rank, left, right))
+        self.ranks = {p: rank for p, (rank, _) in self.merges.items()}
+        self.edge_of: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.special = {}
         for t in spec.get("added_tokens") or []:
             if t.get("single_word") or t.get("lstrip") or t.get("rstrip"):
@@ -74,32 +80,44 @@ class Coder:
         self.words_of = regex.compile(PATTERN).findall
         self.bytes_of = {i: w for w, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-
-    def merged(self, word: bytes) -> list[int]:
-        """Merging by rank, lowest first and leftmost among equals."""
-        ids = [self.ids[word[k : k + 1]] for k in range(len(word))]
-        while len(ids) > 1:
-            ranked = [(*self.merges[p], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
-            if not ranked:
-                break
-            _, token, k = min(ranked, key=lambda r: (r[0], r[2]))
-            ids[k : k + 2] = [token]
-        return ids
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
 
-    def stand(self, left: int, right: int) -> bool:
-        """Whether merging leaves the two tokens side by side."""
-        held = self.pairs.get((left, right))
+    def edges(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens that stand at one edge of ``token`` while it is merged, the last one first.
+
+        Beside each is the rank of the merge that ends its time there.
+        """
+        held = self.edge_of.get((token, side))
         if held is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            held = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-            self.pairs[left, right] = held
+            held, ends = [(token, len(self.merges))], self.parts.get(token)
+            while ends is not None:
+                token = ends[1 + side]
+                held.append((token, ends[0]))
+                ends = self.parts.get(token)
+            self.edge_of[(held[0][0], side)] = held
         return held
 
+    def stand(self, left: int, right: int) -> bool:
+        """Whether merging leaves the two tokens side by side.
+
+        It does unless some merge joins what stands at both edges at its time.
+        Of equal ranks the leftmost goes first: before one inside ``right``,
+        after one inside ``left``.
+        """
+        ranks = self.ranks
+        for x, until in self.edges(left, 1):
+            for y, till in self.edges(right, 0):
+                rank = ranks.get((x, y))
+                if rank is not None and rank < until and rank <= till:
+                    return False
+        return True
+
     def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
         """Ids of distinct words, in depth-first order of their trie."""
-        ids, stand, longest, size = self.ids.get, self.stand, self.longest, self.bytes_of
+        token_of, pairs, longest, size = self.ids.get, self.pairs, self.longest, self.bytes_of
+        if len(pairs) > KNOWN_PAIRS:
+            pairs.clear()
         last: list[int] = [-1]
         path = b""
         for word in sorted(words):
@@ -108,16 +126,25 @@ class Coder:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    token = ids(word[begin:end])
-                    if token is not None and (begin == 0 or stand(last[begin], token)):
-                        last.append(token)
-                        break
+                for begin in range(end - longest if end > longest else 0, end):
+                    token = token_of(word[begin:end])
+                    if token is None:
+                        continue
+                    if begin:
+                        key = last[begin] << 32 | token
+                        fits = pairs.get(key)
+                        if fits is None:
+                            fits = pairs[key] = self.stand(last[begin], token)
+                        if not fits:
+                            continue
+                    last.append(token)
+                    break
             path, found, at = word, [], len(word)
             while at:
                 found.append(last[at])
                 at -= len(size[last[at]])
-            yield word, tuple(reversed(found))
+            found.reverse()
+            yield word, tuple(found)
 
     def cut_words(self, text: str | None) -> list[str]:
         if not text:
@@ -130,19 +157,24 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         cut = [self.cut_words(t) for t in texts]
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         new = set().union(*cut).difference(known)
+        for word in new & older.keys():
+            known[word] = older[word]
+        new.difference_update(known)
         for s, i in self.special.items():
             if s in new:
                 known[s] = (i,)
                 new.discard(s)
         for word, ids in self.walk(w.encode() for w in new):
             known[word.decode()] = ids
-        counts = np.fromiter((sum(map(len, map(known.__getitem__, c))) for c in cut), np.int64, len(cut))
-        flat = chain.from_iterable(map(known.__getitem__, chain.from_iterable(cut)))
-        return np.fromiter(flat, np.int32, int(counts.sum())), counts
+        flat, ends = array("i"), [0]
+        for words in cut:
+            flat.extend(chain.from_iterable(map(known.__getitem__, words)))
+            ends.append(len(flat))
+        return np.frombuffer(flat, np.int32), np.diff(ends)
 
 
 _coders: dict[str, Coder] = {}
@@ -156,19 +188,22 @@ def coder_of(raw: bytes) -> Coder:
     return _coders[key]
 
 
-def _out(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in docs.schema.fields if f.name != name] + [T.StructField(name, kind)])
+def _out(docs: DataFrame, name: str, gone: set[str], kind: T.DataType) -> T.StructType:
+    return T.StructType([f for f in docs.schema.fields if f.name not in gone] + [T.StructField(name, kind)])
 
 
-def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    kept = [k for k, n in enumerate(batch.schema.names) if n != name]
+def _with(batch: pa.RecordBatch, name: str, gone: set[str], values: pa.Array) -> pa.RecordBatch:
+    kept = [k for k, n in enumerate(batch.schema.names) if n not in gone]
     return pa.RecordBatch.from_arrays(
         [batch.column(k) for k in kept] + [values], names=[batch.schema.names[k] for k in kept] + [name]
     )
 
 
-def encode(docs: DataFrame, path: str, column: str = "text", name: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, column: str = "text", name: str = "ids", keep_text: bool = True
+) -> DataFrame:
     """All rows with the ids of ``column`` as an array. The file at ``path`` is read by the driver."""
+    gone = {name} if keep_text else {name, column}
     with open(path, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -180,9 +215,9 @@ def encode(docs: DataFrame, path: str, column: str = "text", name: str = "ids")
                 texts = part.column(part.schema.get_field_index(column)).to_pylist()
                 flat, counts = coder.encode(texts)
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield _with(part, name, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                yield _with(part, name, gone, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
-    return docs.mapInArrow(task, _out(docs, name, T.ArrayType(T.IntegerType())))
+    return docs.mapInArrow(task, _out(docs, name, gone, T.ArrayType(T.IntegerType())))
 
 
 def decode(coded: DataFrame, path: str, column: str = "ids", name: str = "decoded") -> DataFrame:
@@ -216,7 +251,7 @@ def decode(coded: DataFrame, path: str, column: str = "ids", name: str = "decode
                 texts = [
                     data[a:b].decode("utf-8", "replace") for a, b in zip(stops[:-1], stops[1:], strict=True)
                 ]
-                yield _with(batch.slice(lo, hi - lo), name, pa.array(texts, pa.string()))
+                yield _with(batch.slice(lo, hi - lo), name, {name}, pa.array(texts, pa.string()))
                 lo = hi
 
-    return coded.mapInArrow(task, _out(coded, name, T.StringType()))
+    return coded.mapInArrow(task, _out(coded, name, {name}, T.StringType()))

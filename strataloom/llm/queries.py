@@ -69,7 +69,7 @@ FROM drawn"""
 @registered
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    coded = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path, keep_text=False)
     return bpe.decode(coded, path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
