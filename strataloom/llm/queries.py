@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, langid, mixing
-from .frames import held_out, remainder
+from . import bpe, langid, mixing, quality, rules, toxicity
+from .frames import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,32 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+
+
+@registered
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, _labels(spark, sf_dir), ~out)
+    return quality.score(docs, model, threshold=0.3).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@registered
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, _labels(spark, sf_dir), ~out)
+    return toxicity.score(docs, model, threshold=0.5).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@registered
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return rules.judge(docs.select("doc_id", "text"), rules.references(docs)).drop("text")
+
+
 @registered
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(_documents(spark, sf_dir))
