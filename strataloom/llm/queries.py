@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, fingerprints, langid, mixing, quality, rules, toxicity
+from . import bpe, fingerprints, langid, mixing, pii, quality, rules, toxicity
 from .frames import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,19 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs.select("doc_id", "text"), rules.references(docs)).drop("text")
 
 
+@registered
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(_documents(spark, sf_dir).select("doc_id", "text"))
+    of_kind = lambda k: F.size(F.filter("seeds", lambda s: s["kind"] == k)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[of_kind(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.as_text(F.col("seeds")), 256).alias("base_sha256"),
+        pii.as_text(F.concat("seeds", "added")).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"),
+    )
+
+
 @registered
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(_documents(spark, sf_dir))
