@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, fingerprints, langid, mixing, pii, quality, rules, toxicity
+from . import bpe, fingerprints, langid, mixing, neardup, pii, quality, rules, toxicity
 from .frames import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,32 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select(
         "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+@registered
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_documents(spark, sf_dir), percent=85)
+
+
+SQL["op10_near_duplicates"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, UNNEST(range(1, len(w) - 3)) AS i FROM worded WHERE len(w) >= 5)
+  UNION ALL
+  SELECT doc_id, array_to_string(w, ' ') FROM worded WHERE len(w) BETWEEN 1 AND 4),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 85 * (p.n + q.n - k)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, v.y FROM reach r JOIN ways v ON r.b = v.x),
+lowest AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN lowest ON a = d.doc_id"""
