@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, fingerprints, langid, mixing, neardup, pii, quality, rules, toxicity
+from . import bpe, fingerprints, katz, langid, mixing, neardup, pii, quality, rules, toxicity
 from .frames import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,19 @@ reach(a, b) AS (
 lowest AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN lowest ON a = d.doc_id"""
+
+
+@registered
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    teach = ~held_out(F.col("doc_id"), 10, 0)
+    model = katz.fit(docs, teach)
+    return katz.score(docs, teach, model).select(
+        "doc_id",
+        (~F.col("teach")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.unigrams.total).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
