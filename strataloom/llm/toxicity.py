@@ -43,8 +43,10 @@ def fit(docs: DataFrame, labels: DataFrame, teach: Column, label: str = "toxic",
     features = GRAMS.histograms(rows.column("text").combine_chunks())
     test = np.arange(len(y)) % 5 == 4
     learn = np.flatnonzero(~test)
+    # small samples need more rounds to take as many steps
+    epochs = min(100, max(7, -(-30_000 // len(learn))))
     table, bias = train(
-        [features[i] for i in learn], y[learn], 2, GRAMS.bits, dim=8, epochs=7, rate=0.1, scale=50.0, decay=1e-4
+        [features[i] for i in learn], y[learn], 2, GRAMS.bits, dim=8, epochs=epochs, rate=0.1, scale=50.0, decay=1e-4
     )
     weight, shift = table[:, 1] - table[:, 0], float(bias[1] - bias[0])
     logit = np.array([weight[features[i][0]] @ features[i][1] + shift for i in np.flatnonzero(test)])
