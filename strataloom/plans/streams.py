@@ -11,9 +11,8 @@ from ..streaming import events as S
 from .registry import query
 from .sqltext import d, m
 
-# windows that end after the last event minus this delay are still open
+#: How late events may come.
 DELAY = "10 minutes"
-_PASSED = "(SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)"
 
 
 def stream(t: Tables) -> DataFrame:
@@ -22,13 +21,13 @@ def stream(t: Tables) -> DataFrame:
 
 @query(
     "stream_dedup_bucket",
-    f"""WITH r AS (SELECT event_id, user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, ROW_NUMBER() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) ORDER BY ts, event_id) AS rn FROM events)
-SELECT event_id, user_id, event_type, bucket FROM r WHERE rn = 1 AND bucket + INTERVAL 5 MINUTE <= {_PASSED}""",
+    """WITH r AS (SELECT event_id, user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, ROW_NUMBER() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) ORDER BY ts, event_id) AS rn FROM events)
+SELECT event_id, user_id, event_type, bucket FROM r WHERE rn = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = stream(t).select("event_id", "user_id", "event_type", "ts")
+    rows, close = S.with_end_mark(stream(t).select("event_id", "user_id", "event_type", "ts"), "ts")
     first = S.first_per_bucket(rows, ["user_id", "event_type"], "ts", 5, "event_id", DELAY)
-    return S.run_append(first, "stream-bucket").select("event_id", "user_id", "event_type", "bucket")
+    return S.run_append(first, "stream-bucket", close).select("event_id", "user_id", "event_type", "bucket")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type, ts FROM events")
@@ -42,25 +41,27 @@ def _(t: Tables) -> DataFrame:
 @query(
     "stream_hourly",
     f"""SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) AS events, {d('SUM(' + m('value') + ')')} AS total FROM events
-WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_PASSED} GROUP BY 1, 2""",
+GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
+    rows, close = S.with_end_mark(stream(t), "ts")
     hourly = S.tumbling(
-        stream(t), "ts", "1 hour", DELAY, ["event_type"], events=F.count(F.lit(1)), total=F.sum(amount("value"))
+        rows, "ts", "1 hour", DELAY, ["event_type"], events=F.count(F.lit(1)), total=F.sum(amount("value"))
     )
-    return S.run_append(hourly, "stream-hourly")
+    return S.run_append(hourly, "stream-hourly", close)
 
 
 @query(
     "stream_sessions",
-    f"""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) < 43200000000 THEN 0 ELSE 1 END AS brk FROM events),
+    """WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) <= 43200000000 THEN 0 ELSE 1 END AS brk FROM events),
 s AS (SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM g),
 a AS (SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS session_end, COUNT(*) AS events FROM s GROUP BY user_id, no)
-SELECT * FROM a WHERE session_end + INTERVAL 12 HOUR <= {_PASSED}""",
+SELECT * FROM a""",
 )
 def _(t: Tables) -> DataFrame:
-    sessions = S.gap_sessions(stream(t), ["user_id"], "ts", "12 hours", DELAY, events=F.count(F.lit(1)))
-    return S.run_append(sessions, "stream-sessions")
+    rows, close = S.with_end_mark(stream(t), "ts")
+    sessions = S.gap_sessions(rows, ["user_id"], "ts", "12 hours", DELAY, events=F.count(F.lit(1)))
+    return S.run_append(sessions, "stream-sessions", close)
 
 
 @query(

@@ -84,11 +84,16 @@ def cluster(
     return df.sparkSession.read.parquet(path)
 
 
-def write_with_bloom(df: DataFrame, path: str, columns: Sequence[str], ndv: int = 1_000_000) -> DataFrame:
-    """Parquet with a bloom filter per row group on each named column."""
+def write_with_bloom(df: DataFrame, path: str, columns: Sequence[str]) -> DataFrame:
+    """Parquet with a bloom filter per row group on each named column.
+
+    The filters are made for as many values as the column has in all, an upper
+    bound of what a row group can hold.
+    """
+    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
     writer = df.write
     for c in columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(ndv))
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(max(1, round(1.1 * counts[c]))))
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)

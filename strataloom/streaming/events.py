@@ -2,12 +2,13 @@
 
 Streams read a table folder, run until all available data is processed and
 write to shared storage. Windowed results are final: a window is written once
-the watermark has passed its end.
+the watermark has passed its end. An end mark closes a feed: it is read after
+all data and lets the watermark pass every window that is still open.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +27,55 @@ def event_stream(
     return reader.load(folder).withColumn(at, F.col(at).cast("timestamp"))
 
 
-def run_append(stream: DataFrame, label: str) -> DataFrame:
-    """Process what is available into a Parquet folder and read it back."""
+#: Time of an end mark: later than any event and early enough to add intervals to.
+END = "9000-01-01 00:00:00"
+
+
+def with_end_mark(stream: DataFrame, at: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The stream with a second, empty source, and what puts the end mark into it.
+
+    The mark has only a time. Its own window never closes, so no result shows
+    it. Put it in before the operator that sets the watermark.
+    """
+    spark, folder = stream.sparkSession, scratch_path(stream.sparkSession, "end-mark")
+    nothing = spark.createDataFrame([], stream.schema)
+    nothing.write.parquet(folder)
+
+    def close() -> None:
+        one = spark.range(1).select(
+            *[
+                F.lit(END if f.name == at else None).cast(f.dataType).alias(f.name)
+                for f in stream.schema.fields
+            ]
+        )
+        one.write.mode("append").parquet(folder)
+
+    return stream.unionByName(spark.readStream.schema(nothing.schema).parquet(folder)), close
+
+
+def run_append(stream: DataFrame, label: str, close: Callable[[], None] | None = None) -> DataFrame:
+    """Process what is available into a Parquet folder and read it back.
+
+    ``close`` puts the end mark; the same query then goes on from its checkpoint
+    and writes the windows that were open.
+    """
     spark = stream.sparkSession
-    path = scratch_path(spark, label)
-    started = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    started.awaitTermination()
+    path, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+
+    def go() -> None:
+        started = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", state)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        started.awaitTermination()
+
+    go()
+    if close is not None:
+        close()
+        go()
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -99,8 +137,7 @@ def tumbling(stream: DataFrame, at: str, width: str, delay: str | None, by: Sequ
 
 
 def gap_sessions(stream: DataFrame, keys: Sequence[str], at: str, gap: str, delay: str | None, **aggs: Column) -> DataFrame:
-    """Sessions that end after a pause of ``gap``; sessions merge within each task first."""
-    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    """Sessions that end after a pause longer than ``gap``, as the batch form numbers them."""
     grouped = _marked(stream, at, delay).groupBy(*keys, F.session_window(at, gap).alias("_w"))
     out = grouped.agg(F.min(at).alias("session_start"), F.max(at).alias("session_end"), *[c.alias(n) for n, c in aggs.items()])
     return out.select(*keys, "session_start", "session_end", *aggs)

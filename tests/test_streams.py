@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strataloom.operators.sessions import first_per_bucket
+from strataloom.operators.sessions import first_per_bucket, number_sessions
 from strataloom.session import scratch_path
 from strataloom.streaming import events as S
 
@@ -40,13 +40,33 @@ def test_dedup(spark, feed):
 
 def test_bucket_first(spark, feed):
     raw, _ = feed
-    rows = S.dedup_within(stream(spark, feed), ["event_id"], "ts", "12 days")
-    first = S.first_per_bucket(rows, ["user_id"], "ts", 60, "event_id", None)
-    got = S.run_append(first, "t-bucket")
-    end = raw.agg(F.max("ts")).first()[0]
-    batch = first_per_bucket(raw, ["user_id"], "ts", 60, ["event_id"])
-    closed = batch.filter(F.col("bucket") + F.expr("INTERVAL 1 HOUR") <= F.lit(end) - F.expr("INTERVAL 12 DAYS"))
-    assert ids(got) == ids(closed)
+    rows, close = S.with_end_mark(stream(spark, feed), "ts")
+    once = S.dedup_within(rows, ["event_id"], "ts", "12 days")
+    first = S.first_per_bucket(once, ["user_id"], "ts", 60, "event_id", None)
+    got = S.run_append(first, "t-bucket", close)
+    assert ids(got) == ids(first_per_bucket(raw, ["user_id"], "ts", 60, ["event_id"]))
+
+
+def test_open_windows_wait_for_the_end_mark(spark, feed):
+    raw, _ = feed
+    rows, close = S.with_end_mark(stream(spark, feed), "ts")
+    hourly = S.tumbling(rows, "ts", "1 hour", "12 days", [], events=F.count(F.lit(1)))
+    open_ = S.run_append(hourly, "t-open")
+    whole = S.run_append(hourly, "t-whole", close)
+    twice = raw.filter(F.dayofmonth("ts") == 20).count()  # the feed has these rows twice
+    assert open_.count() < whole.count() and whole.agg(F.sum("events")).first()[0] == raw.count() + twice
+
+
+def test_sessions_split_as_in_batch(spark):
+    folder = scratch_path(spark, "pauses")
+    times = ["2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 02:00:00.000001"]
+    raw = spark.createDataFrame([(1, k, t) for k, t in enumerate(times)], "u int, e int, t string")
+    raw = raw.withColumn("ts", F.col("t").cast("timestamp")).drop("t")
+    raw.coalesce(1).write.parquet(folder)
+    rows, close = S.with_end_mark(S.event_stream(spark, folder, "*.parquet", raw.schema, "ts"), "ts")
+    found = S.run_append(S.gap_sessions(rows, ["u"], "ts", "1 hour", "1 minute", n=F.count(F.lit(1))), "t-pause", close)
+    batch = number_sessions(raw, ["u"], "ts", 3600, ["e"]).groupBy("session_no").count()
+    assert sorted(r["n"] for r in found.collect()) == sorted(r["count"] for r in batch.collect()) == [1, 2]
 
 
 def test_latest_status(spark, feed):
