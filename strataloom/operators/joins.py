@@ -19,44 +19,55 @@ def as_of(
     valid_from: str,
     valid_to: str | None,
     take: Sequence[str],
-    fact_id: str,
     how: str = "inner",
     hot_rows: int | None = None,
     cuts: Cuts | None = None,
+    direction: str = "backward",
+    strict: bool = False,
 ) -> DataFrame:
     """Each fact with the version of its key valid at ``at``: [valid_from, valid_to).
 
     Facts and versions of a key are put on one line and every fact takes the
-    last version before it. No pair of fact and version is formed, so a key
-    with many facts and many versions stays linear. Versions of a key must not
-    overlap. ``cuts`` may come from a cheaper table, as for ``Timeline``.
+    last version before it, or with ``direction="forward"`` the first one after
+    it. A version at the very time of a fact counts unless ``strict``. No pair
+    of fact and version is formed, so a key with many facts and many versions
+    stays linear. Versions of a key must not overlap. ``cuts`` may come from a
+    cheaper table, as for ``Timeline``; forward joins find their own.
     """
+    if direction not in ("backward", "forward"):
+        raise ValueError("direction is backward or forward")
+    ahead = direction == "forward"
+    if ahead and (valid_to or cuts):
+        raise ValueError("a forward join takes no valid_to and no cuts")
+
+    def axis(c):
+        moment = F.col(c).cast("timestamp")
+        # time runs backwards: the next version is the last one before
+        return -F.unix_micros(moment) if ahead else moment
+
     held = [valid_from, *([valid_to] if valid_to else [])]
     carried = [*held, *[c for c in take if c not in held]]
-    fact_columns = facts.columns
+    # at equal times the smaller kind is seen first
+    fact_kind, version_kind = (0, 1) if strict else (1, 0)
     left = facts.select(
-        *keys,
-        F.col(at).cast("timestamp").alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.col(fact_id).cast("string").alias("_id"),
-        F.struct(*fact_columns).alias("_fact"),
+        *keys, axis(at).alias("_at"), F.lit(fact_kind).alias("_kind"), F.struct(*facts.columns).alias("_fact")
     )
     right = versions.select(
-        *keys,
-        F.col(valid_from).cast("timestamp").alias("_at"),
-        F.lit(0).alias("_kind"),
-        F.lit("").alias("_id"),
-        F.struct(*carried).alias("_version"),
+        *keys, axis(valid_from).alias("_at"), F.lit(version_kind).alias("_kind"), F.struct(*carried).alias("_version")
     )
     line = left.unionByName(right, allowMissingColumns=True)
     if cuts is None:
         both = left.select(*keys, "_at").unionByName(right.select(*keys, "_at"))
         cuts = find_cuts(both, keys, "_at", hot_rows)
+    # facts at one time need no order among them: they have no version to give
     filled = (
-        Timeline(line, keys, ["_at", "_kind", "_id"], cuts=cuts)
+        Timeline(line, keys, ["_at", "_kind"], cuts=cuts)
         .latest(_version=F.col("_version"))
-        .rows.filter(F.col("_kind") == 1)
+        .rows.filter(F.col("_kind") == fact_kind)
     )
+    if ahead:
+        # without a time of its own a fact comes first and has nothing before it
+        filled = filled.withColumn("_version", F.when(F.col("_at").isNotNull(), F.col("_version")))
     if valid_to:
         end = F.col(f"_version.{valid_to}").cast("timestamp")
         valid = end.isNull() | (F.col("_at") < end)
@@ -67,22 +78,19 @@ def as_of(
     return filled.select("_fact.*", *taken)
 
 
-def either_key(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    first: str,
-    second: str,
-    right_id: str,
-) -> DataFrame:
-    """``left JOIN right ON key = first OR key = second`` as two equi joins.
+def by_participant(rows: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """Each row once per distinct key it names in either column."""
+    named = F.array_distinct(F.array_compact(F.array(first, second)))
+    return rows.withColumn(key, F.explode(named))
+
+
+def either_key(left: DataFrame, right: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """``left JOIN right ON key = first OR key = second`` as one equi join.
 
-    A right row that names the key in both columns is returned once.
+    A right row that names the key in both columns is returned once. Where only
+    aggregates are wanted, group ``by_participant`` rows by the key first.
     """
-    both = right.filter(~F.col(second).eqNullSafe(F.col(first)))
-    one = left.join(right, left[key] == right[first])
-    two = left.join(both, left[key] == both[second])
-    return one.unionByName(two)
+    return left.join(by_participant(right, key, first, second), key)
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats) -> DataFrame:

@@ -41,6 +41,22 @@ def expect_value(
     return _report(got, name, F.col("_v"), passed, severity, message)
 
 
+def expect_top(
+    df: DataFrame, name: str, category: str, expected, weight: Column | None = None, severity="warn", message=""
+) -> DataFrame:
+    """The most frequent (or heaviest) value of a column; of equals the smaller one."""
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = df.groupBy(category).agg(size.alias("_n"))
+    top = counted.agg(F.min_by(F.col(category), F.struct(-F.col("_n"), F.col(category))).alias("_v"))
+    return _report(top, name, F.col("_v"), F.col("_v") == F.lit(expected), severity, message)
+
+
+def expect_source(df: DataFrame, name: str, severity="error", message="") -> DataFrame:
+    """Pre-flight probe as a check: does the source answer with a row? Reads one row at most."""
+    probed = df.select(F.lit(1).alias("_one")).limit(1).agg(F.count("_one").alias("_v"))
+    return _report(probed, name, F.col("_v"), F.col("_v") > 0, severity, message)
+
+
 def expect_none(df: DataFrame, violations: Mapping[str, Column], severity="error", message="") -> DataFrame:
     """Counts of rows breaking each rule, all in one pass over the table."""
     counted = df.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in violations.items()])

@@ -16,35 +16,49 @@ def _ordering(order: Sequence) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order]
 
 
+_PLACE = "_place"
+
+
 def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows in globally sorted ranges; the range number is fixed by writing it.
+    """Rows in globally sorted ranges, each with its range and its place there (from 0).
 
-    The number of ranges is the shuffle width; adaptive execution joins
-    neighbouring ones where the table is small.
+    Rows are sorted within their range and numbered as they are written; the
+    number holds the range in its upper and the place in its lower 33 bits. So
+    one exchange is all the rows go through. The number of ranges is the shuffle
+    width; adaptive execution joins neighbouring ones where the table is small.
     """
-    placed = df.repartitionByRange(*order).withColumn(_PART, F.spark_partition_id())
-    return pin(placed, "ranges")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = pin(placed.withColumn(_PLACE, F.monotonically_increasing_id()), "ranges")
+    return rows.withColumn(_PART, F.shiftrightunsigned(_PLACE, 33)).withColumn(
+        _PLACE, F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1))
+    )
 
 
-def _running(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
-    """Whole-table running sum of ``amount``, plus its grand total as ``<name>_total``."""
-    rows = _ranges(df, order)
-    sums = rows.groupBy(_PART).agg(F.sum(amount).alias("_sum"))
-    # one row per range
+def _offsets(sums: DataFrame, name: str) -> DataFrame:
+    """Per range: the sum of all ranges before it, and of all ranges. One row per range."""
     ahead = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
+    return sums.select(
         _PART,
         F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_offset"),
         F.sum("_sum").over(Window.partitionBy()).alias(f"{name}_total"),
     )
+
+
+def _running(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
+    """Whole-table running sum of ``amount``, plus its grand total as ``<name>_total``.
+
+    Used on one row per distinct value.
+    """
+    rows = _ranges(df, order)
+    offsets = _offsets(rows.groupBy(_PART).agg(F.sum(amount).alias("_sum")), name)
     local = F.sum(amount).over(
-        Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         rows.withColumn("_local", local)
         .join(F.broadcast(offsets), _PART)
         .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop(_PART, "_local", "_offset")
+        .drop(_PART, _PLACE, "_local", "_offset")
     )
 
 
@@ -52,12 +66,12 @@ def number_rows(
     df: DataFrame, order: Sequence, name: str = "row_num", total: str | None = None, start: int = 0
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)``; ``order`` must be unique."""
-    one = F.lit(1).cast("bigint")
-    out = _running(df, _ordering(order), one, "_rn")
-    out = out.withColumn(name, F.col("_rn") + F.lit(start))
+    rows = _ranges(df, _ordering(order))
+    offsets = _offsets(rows.groupBy(_PART).agg(F.count(F.lit(1)).alias("_sum")), "_all")
+    out = rows.join(F.broadcast(offsets), _PART).withColumn(name, F.col("_offset") + F.col(_PLACE) + F.lit(start + 1))
     if total is not None:
-        out = out.withColumn(total, F.col("_rn_total"))
-    return out.drop("_rn", "_rn_total")
+        out = out.withColumn(total, F.col("_all_total"))
+    return out.drop(_PART, _PLACE, "_offset", "_all_total")
 
 
 def surrogate_keys(df: DataFrame, natural: Sequence[str], name: str, start: int = 0) -> DataFrame:

@@ -36,6 +36,10 @@ class Cuts:
     table: DataFrame | None
     type: DataType | None = None
 
+    def renamed(self, old: str, new: str) -> Cuts:
+        """The same cuts for a table that names the key differently."""
+        return Cuts(None if self.table is None else self.table.withColumnRenamed(old, new), self.type)
+
 
 class Timeline:
     """Rows of ``df`` per ``keys`` in the order of ``order``.

@@ -96,10 +96,11 @@ SELECT record_id, a.patient_id, {d('total_charges')} AS total_charges, {n('DENSE
 )
 def _(t: Tables) -> DataFrame:
     rows = order_admissions(t).select("record_id", "patient_id", "total_charges", "admission_date")
-    patients = tier_history(t).withColumnRenamed("account_id", "patient_id")
+    cuts = account_cuts(t)
+    patients = tier_history(t, cuts).withColumnRenamed("account_id", "patient_id")
     joined = as_of(
         rows, patients, ["patient_id"], "admission_date", "valid_from", "valid_to", ["tier", "valid_from"],
-        "record_id", how="left", cuts=account_cuts(t, "patient_id"),
+        how="left", cuts=cuts.renamed("account_id", "patient_id"),
     )
     joined = pin(joined, "placed")
     return rank_values(joined, "total_charges", descending=True, dense_rank="cost_rank").drop("admission_date")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import amount, percent
 from ..operators.joins import as_of
 from ..operators.ranking import surrogate_keys
-from ..operators.scd import apply_batch, hire_and_change, initial_load, invariant_breaks
+from ..functions.text import clean_code
+from ..operators.scd import apply_batch, build_history, changes_only, hire_and_change, initial_load, invariant_breaks
 from ..operators.timeline import Cuts, Timeline
 from ..session import pin
 from ..sources.tables import Tables
@@ -36,6 +37,33 @@ def _(t: Tables) -> DataFrame:
     return loaded.select("account_id", "tier", "valid_from", "valid_to", "is_current")
 
 
+@query(
+    "clean_text_history",
+    f"""WITH dirty AS (SELECT o_custkey, o_orderdate, CASE o_orderkey % 3 WHEN 0 THEN '  ' || lower(o_orderpriority) WHEN 1 THEN upper(o_orderpriority) || '   ' ELSE o_orderpriority END AS label FROM orders),
+daily AS (SELECT o_custkey AS account_id, o_orderdate AS valid_from, MAX(NULLIF(lower(trim(label)), '')) AS label FROM dirty GROUP BY 1, 2),
+steps AS (SELECT * FROM (SELECT *, LAG(label) OVER w AS was, ROW_NUMBER() OVER w AS no FROM daily WINDOW w AS (PARTITION BY account_id ORDER BY valid_from)) WHERE no = 1 OR label IS DISTINCT FROM was)
+SELECT account_id, label, valid_from, LEAD(valid_from) OVER (PARTITION BY account_id ORDER BY valid_from) AS valid_to FROM steps""",
+)
+def _(t: Tables) -> DataFrame:
+    """Labels that differ only in case and white space are one version, not several."""
+    kind, label = F.col("o_orderkey") % 3, F.col("o_orderpriority")
+    dirty = (
+        F.when(kind == 0, F.concat(F.lit("  "), F.lower(label)))
+        .when(kind == 1, F.concat(F.upper(label), F.lit("   ")))
+        .otherwise(label)
+    )
+    daily = (
+        t.orders.select(F.col("o_custkey").alias("account_id"), F.col("o_orderdate").alias("valid_from"), dirty.alias("label"))
+        .withColumn("label", clean_code("label"))
+        .groupBy("account_id", "valid_from")
+        .agg(F.max("label").alias("label"))
+    )
+    cuts = account_cuts(t)
+    steps = changes_only(daily, ["account_id"], ["valid_from"], ["label"], cuts)
+    found = build_history(steps, ["account_id"], "valid_from", cuts=cuts)
+    return found.select("account_id", "label", "valid_from", "valid_to")
+
+
 def customer_versions(t: Tables) -> DataFrame:
     """The customer dimension with surrogate keys, all versions current."""
     dim = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal").withColumns(
@@ -121,7 +149,7 @@ def _(t: Tables) -> DataFrame:
     cuts = account_cuts(t)
     return as_of(
         facts, tier_history(t, cuts), ["account_id"], "o_orderdate", "valid_from", "valid_to",
-        ["tier", "valid_from"], "o_orderkey", cuts=cuts,
+        ["tier", "valid_from"], cuts=cuts,
     )
 
 
@@ -138,7 +166,7 @@ def _(t: Tables) -> DataFrame:
         (F.col("ts") - F.make_dt_interval(F.lit(9000))).alias("at"),
     )
     joined = as_of(
-        facts, tier_history(t), ["account_id"], "at", "valid_from", "valid_to", ["tier"], "event_id", how="left"
+        facts, tier_history(t), ["account_id"], "at", "valid_from", "valid_to", ["tier"], how="left"
     )
     return joined.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("facts"),

@@ -23,7 +23,7 @@ def enrich_claims(
     """Policy version at the incident, days to settle, z-score and risk tier per coverage."""
     placed = as_of(
         claims, policies, ["policy_id"], "incident_date", "valid_from", "valid_to",
-        ["coverage_type", "annual_premium", "region"], "claim_id", cuts=cuts,
+        ["coverage_type", "annual_premium", "region"], cuts=cuts,
     )
     placed = pin(placed, "placed")
     value = F.col("claim_amount").cast("double")
@@ -92,11 +92,12 @@ def order_claims(t: Tables) -> DataFrame:
         t.nation.select("n_nationkey", F.col("n_regionkey").cast("string").alias("region")),
         F.col("c_nationkey") == F.col("n_nationkey"),
     )
-    policies = tier_history(t).join(people.select("account_id", "region"), "account_id").select(
+    cuts = account_cuts(t)
+    policies = tier_history(t, cuts).join(people.select("account_id", "region"), "account_id").select(
         F.col("account_id").alias("policy_id"), F.col("tier").alias("coverage_type"),
         premium.cast("decimal(18,2)").alias("annual_premium"), "region", "valid_from", "valid_to",
     )
-    return enrich_claims(raw, policies, cuts=account_cuts(t, "policy_id"))
+    return enrich_claims(raw, policies, cuts=cuts.renamed("account_id", "policy_id"))
 
 
 CLAIMS_SQL = f"""{TIER_SQL},

@@ -51,6 +51,30 @@ def _(t: Tables) -> DataFrame:
     return stored.select("o_orderkey", "o_orderpriority", "o_orderstatus")
 
 
+@query("full_refresh", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def _(t: Tables) -> DataFrame:
+    """A table made anew from a select, twice; the second time it replaces the first."""
+    path = scratch_path(t.spark, "refresh")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    W.overwrite(rows.withColumn("o_orderstatus", F.lit("?")), path)
+    W.overwrite(rows, path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "truncate_insert",
+    "SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, COUNT(*) AS orders FROM orders GROUP BY 1",
+)
+def _(t: Tables) -> DataFrame:
+    """A summary emptied and filled again from itself and the orders; its types stay."""
+    path = scratch_path(t.spark, "truncate")
+    rows = t.orders.groupBy(month_start("o_orderdate").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
+    W.overwrite(rows.withColumn("orders", F.lit(0).cast("bigint")), path)
+    months = t.spark.read.parquet(path).select("month")
+    W.truncate_insert(months.join(rows.withColumn("orders", F.col("orders").cast("int")), "month"), path)
+    return t.spark.read.parquet(path)
+
+
 @query(
     "append_only_refresh",
     "SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, COUNT(*) AS orders FROM orders GROUP BY 1",

@@ -22,7 +22,7 @@ def enrich_sales(
 ) -> DataFrame:
     """Assessed value at the sale, ratio to the price, outlier flag and price per area."""
     placed = as_of(
-        sales, assessments, ["parcel_id"], "sold_at", "valid_from", "valid_to", ["assessed_value", "tier"], "sale_id",
+        sales, assessments, ["parcel_id"], "sold_at", "valid_from", "valid_to", ["assessed_value", "tier"],
         cuts=cuts,
     )
     raw = F.col("assessed_value").cast("double") / F.nullif(F.col("sale_price").cast("double"), F.lit(0.0))
@@ -81,8 +81,9 @@ def order_sales(t: Tables) -> DataFrame:
         parcels.select("parcel_id", "sqft", F.col("c_mktsegment").alias("property_type"), F.col("n_regionkey").alias("county")),
         "parcel_id",
     )
-    values = tier_history(t).withColumnsRenamed({"account_id": "parcel_id", "spent": "assessed_value"})
-    return enrich_sales(sales, values, cuts=account_cuts(t, "parcel_id"))
+    cuts = account_cuts(t)
+    values = tier_history(t, cuts).withColumnsRenamed({"account_id": "parcel_id", "spent": "assessed_value"})
+    return enrich_sales(sales, values, cuts=cuts.renamed("account_id", "parcel_id"))
 
 
 SALES_SQL = f"""{TIER_SQL},

@@ -369,6 +369,26 @@ def _(t: Tables) -> DataFrame:
     return share_of_total(pin(by_target, "targets"), "incidents", "pct_of_incidents")
 
 
+@query(
+    "threat_by_geography",
+    f"""WITH {FACTS_SQL}, place AS (SELECT {_IP.format(u='c_custkey')} AS ip, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT n_name AS country, COUNT(*) AS incidents, {n('SUM(alert_count)')} AS total_alerts, {sql_ratio('SUM(threat_score)', 'COUNT(*)', 1)} AS avg_threat_score,
+  COUNT(CASE WHEN is_known_bad THEN 1 END) AS known_bad_incidents FROM facts JOIN place ON source_ip = ip GROUP BY 1""",
+)
+def _(t: Tables) -> DataFrame:
+    """Incidents by the country that the address belongs to."""
+    place = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        address("c_custkey").alias("ip"), F.col("n_name").alias("country")
+    )
+    found = incident_facts(t).join(place, F.col("source_ip") == F.col("ip"))
+    return found.groupBy("country").agg(
+        F.count(F.lit(1)).alias("incidents"),
+        F.sum("alert_count").alias("total_alerts"),
+        ratio(F.sum("threat_score"), F.count(F.lit(1)), 1).alias("avg_threat_score"),
+        F.count(F.when(F.col("is_known_bad"), 1)).alias("known_bad_incidents"),
+    )
+
+
 @query(
     "tactic_chain",
     f"""WITH {FACTS_SQL}

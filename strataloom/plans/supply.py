@@ -193,6 +193,18 @@ def wide_lines(t: Tables) -> DataFrame:
     )
 
 
+def stock_lines(t: Tables) -> DataFrame:
+    """Lines with their warehouse and product: what stock alone needs."""
+    return (
+        t.lineitem.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            "l_orderkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("quantity"), "l_returnflag", "l_linestatus",
+            "l_shipdate", F.col("s_nationkey").alias("warehouse_id"), F.col("p_type").alias("sku"),
+        )
+    )
+
+
 def stock_movements(lines: DataFrame) -> DataFrame:
     """Finished lines are receipts, accepted ones picks, returned open ones adjustments, others ships."""
     flag = F.col("l_returnflag")
@@ -217,28 +229,27 @@ stock AS (SELECT warehouse_id, sku, CAST(SUM(q) AS BIGINT) AS on_hand, CAST(SUM(
   CAST(SUM(CASE WHEN kind = 'pick' THEN abs(q) ELSE 0 END) AS BIGINT) AS total_picked, CAST(SUM(CASE WHEN kind = 'ship' THEN abs(q) ELSE 0 END) AS BIGINT) AS total_shipped,
   CAST(SUM(CASE WHEN kind = 'adjustment' THEN q ELSE 0 END) AS BIGINT) AS total_adjusted, MAX(l_shipdate) AS last_movement FROM moves GROUP BY 1, 2)"""
 PO_SQL = f"""{WIDE_SQL},
-po AS (SELECT l_orderkey, l_suppkey, MIN(o_orderdate) AS ordered_at, CAST(SUM(quantity) AS BIGINT) AS qty_ordered, SUM({m('l_extendedprice')}) AS total_cost, bool_or(l_returnflag = 'R') AS exception,
-  MIN(sku) AS sku, MIN(warehouse_id) AS warehouse_id,
-  CAST(SUM(CASE WHEN l_linestatus = 'F' THEN quantity END) AS BIGINT) AS got, MAX(CASE WHEN l_linestatus = 'F' THEN l_shipdate END) AS received_at FROM wide GROUP BY 1, 2),
+po AS (SELECT l_orderkey, l_suppkey, sku, MIN(o_orderdate) AS ordered_at, CAST(SUM(quantity) AS BIGINT) AS qty_ordered, SUM({m('l_extendedprice')}) AS total_cost, bool_or(l_returnflag = 'R') AS exception,
+  MIN(warehouse_id) AS warehouse_id,
+  CAST(SUM(CASE WHEN l_linestatus = 'F' THEN quantity END) AS BIGINT) AS got, MAX(CASE WHEN l_linestatus = 'F' THEN l_shipdate END) AS received_at FROM wide GROUP BY 1, 2, 3),
 ful AS (SELECT *, COALESCE(got, 0) AS qty_received, {sql_ratio('COALESCE(got, 0)', 'qty_ordered', 4)} AS fill_rate, date_diff('day', ordered_at, received_at) AS days_to_receive,
   COALESCE(received_at <= ordered_at + INTERVAL 120 DAY, FALSE) AS on_time FROM po)"""
 
 
 def purchase_orders(lines: DataFrame) -> DataFrame:
-    """One purchase order per order and supplier, expected after 120 days, with what was received."""
+    """One purchase order per order, supplier and product, expected after 120 days, with what was received."""
     done = F.col("l_linestatus") == "F"
-    orders = lines.groupBy("l_orderkey", "l_suppkey").agg(
+    orders = lines.groupBy("l_orderkey", "l_suppkey", "sku").agg(
         F.min("o_orderdate").alias("ordered_at"),
         F.sum("quantity").alias("qty_ordered"),
         F.sum(amount("l_extendedprice")).alias("total_cost"),
         F.bool_or(F.col("l_returnflag") == "R").alias("exception"),
-        F.min("sku").alias("sku"),
         F.min("warehouse_id").alias("warehouse_id"),
         F.sum(F.when(done, F.col("quantity"))).alias("qty_received"),
         F.max(F.when(done, F.col("l_shipdate"))).alias("received_at"),
     )
     return orders.withColumns(
-        {"po_id": F.concat_ws("-", "l_orderkey", "l_suppkey"), "expected_at": F.col("ordered_at") + F.make_dt_interval(F.lit(120))}
+        {"po_id": F.concat_ws("-", "l_orderkey", "l_suppkey", "sku"), "expected_at": F.col("ordered_at") + F.make_dt_interval(F.lit(120))}
     )
 
 
@@ -248,22 +259,23 @@ def fulfilled(lines: DataFrame) -> DataFrame:
 
 @query("inventory_position", f"WITH {WIDE_SQL} SELECT * FROM stock")
 def _(t: Tables) -> DataFrame:
-    return inventory_positions(stock_movements(wide_lines(t)))
+    return inventory_positions(stock_movements(stock_lines(t)))
 
 
 @query(
     "fulfilment",
-    f"""WITH {PO_SQL} SELECT l_orderkey, l_suppkey, qty_ordered, qty_received, fill_rate, {n('days_to_receive')} AS days_to_receive, on_time, {d('total_cost')} AS total_cost FROM ful""",
+    f"""WITH {PO_SQL} SELECT l_orderkey, l_suppkey, sku, qty_ordered, qty_received, fill_rate, {n('days_to_receive')} AS days_to_receive, on_time, {d('total_cost')} AS total_cost FROM ful""",
 )
 def _(t: Tables) -> DataFrame:
     """Orders and their receipts as two tables."""
     lines = pin(wide_lines(t), "lines")
     receipts = lines.filter("l_linestatus = 'F'").select(
-        F.concat_ws("-", "l_orderkey", "l_suppkey").alias("po_id"), "quantity", F.col("l_shipdate").alias("received_at")
+        F.concat_ws("-", "l_orderkey", "l_suppkey", "sku").alias("po_id"), "quantity", F.col("l_shipdate").alias("received_at")
     )
     orders = purchase_orders(lines).drop("qty_received", "received_at")
     return order_fulfilment(orders, receipts).select(
-        "l_orderkey", "l_suppkey", "qty_ordered", "qty_received", "fill_rate", "days_to_receive", "on_time", "total_cost"
+        "l_orderkey", "l_suppkey", "sku", "qty_ordered", "qty_received", "fill_rate", "days_to_receive", "on_time",
+        "total_cost",
     )
 
 
@@ -409,42 +421,27 @@ def _(t: Tables) -> DataFrame:
 @query(
     "lifecycle_fact",
     f"""WITH {PO_SQL},
-g AS (SELECT warehouse_id, sku, l_orderkey, l_suppkey, l_shipdate FROM moves WHERE kind = 'ship'),
-s AS (SELECT warehouse_id, sku, l_shipdate, MIN(ROW(l_orderkey, l_suppkey)) AS first_key FROM g GROUP BY 1, 2, 3),
-x AS (SELECT ful.l_orderkey, ful.l_suppkey, MIN(s.l_shipdate) AS next_ship FROM ful JOIN s ON s.warehouse_id = ful.warehouse_id AND s.sku = ful.sku AND s.l_shipdate > ful.received_at GROUP BY 1, 2)
-SELECT ful.l_orderkey, ful.l_suppkey, fill_rate, on_time, received_at, next_ship, {n("date_diff('day', received_at, next_ship)")} AS days_on_shelf FROM ful LEFT JOIN x USING (l_orderkey, l_suppkey)""",
+g AS (SELECT DISTINCT warehouse_id, sku, l_shipdate FROM moves WHERE kind = 'ship'),
+x AS (SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, MIN(g.l_shipdate) AS next_ship FROM ful JOIN g ON g.warehouse_id = ful.warehouse_id AND g.sku = ful.sku AND g.l_shipdate > ful.received_at GROUP BY 1, 2, 3)
+SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, fill_rate, on_time, received_at, next_ship, {n("date_diff('day', received_at, next_ship)")} AS days_on_shelf FROM ful LEFT JOIN x USING (l_orderkey, l_suppkey, sku)""",
 )
 def _(t: Tables) -> DataFrame:
     """Purchase orders with the first shipment that left their warehouse after the receipt."""
     lines = pin(wide_lines(t), "lines")
-    orders = fulfilled(lines)
-    # time runs backwards: the next shipment is the last one before on the negated axis
     ships = (
-        stock_movements(lines).filter("movement_type = 'ship'").select("warehouse_id", "sku", "moved_at").distinct()
-        .select("warehouse_id", "sku", F.col("moved_at").alias("next_ship"), mirrored("moved_at").alias("from_axis"))
+        stock_movements(lines).filter("movement_type = 'ship'")
+        .select("warehouse_id", "sku", F.col("moved_at").alias("next_ship")).distinct()
+    )
+    placed = as_of(
+        fulfilled(lines), ships, ["warehouse_id", "sku"], "received_at", "next_ship", None, ["next_ship"], how="left",
+        direction="forward", strict=True,
     )
-    facts = orders.withColumn("axis", mirrored(F.col("received_at") + F.make_dt_interval(secs=F.lit(1).cast("decimal(18,6)"))))
-    placed = as_of(facts, ships, ["warehouse_id", "sku"], "axis", "from_axis", None, ["next_ship"], "po_id", how="left")
     return placed.select(
-        "l_orderkey", "l_suppkey", "fill_rate", "on_time", "received_at", "next_ship",
+        "l_orderkey", "l_suppkey", "sku", "fill_rate", "on_time", "received_at", "next_ship",
         days_between("next_ship", "received_at").alias("days_on_shelf"),
     )
 
 
-def mirrored(at) -> Column:
-    """Time reflected around 2000-01-01, so that "next" becomes "previous"."""
-    origin = F.lit(946684800)
-    seconds = F.unix_micros((F.col(at) if isinstance(at, str) else at).cast("timestamp")) / F.lit(1000000)
-    return F.timestamp_seconds(origin * 2 - seconds)
-
-
-def _rollup(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.groupBy(F.col(key).cast("string").alias("member")).agg(
-        F.sum("quantity").alias("units"), F.sum(amount("l_extendedprice")).alias("amount"),
-        F.count_distinct("sku").alias("products"),
-    ).withColumn("dimension", F.lit(name))
-
-
 @query(
     "rollup_dims",
     f"""WITH {WIDE_SQL} SELECT 'supplier' AS dimension, CAST(l_suppkey AS VARCHAR) AS member, {n('SUM(quantity)')} AS units, {d('SUM(' + m('l_extendedprice') + ')')} AS amount, COUNT(DISTINCT sku) AS products FROM wide GROUP BY 2
@@ -453,11 +450,20 @@ UNION ALL SELECT 'warehouse', CAST(warehouse_id AS VARCHAR), {n('SUM(quantity)')
 UNION ALL SELECT 'store', CAST(store_id AS VARCHAR), {n('SUM(quantity)')}, {d('SUM(' + m('l_extendedprice') + ')')}, COUNT(DISTINCT sku) FROM wide GROUP BY 2""",
 )
 def _(t: Tables) -> DataFrame:
-    lines = pin(wide_lines(t).select("l_suppkey", "l_partkey", "warehouse_id", "store_id", "sku", "quantity", "l_extendedprice"), "lines")
-    out = _rollup(lines, "l_suppkey", "supplier")
-    for key, name in (("l_partkey", "product"), ("warehouse_id", "warehouse"), ("store_id", "store")):
-        out = out.unionByName(_rollup(lines, key, name))
-    return out
+    """Every line goes to its four members and is summed there by product first."""
+    names = {"supplier": "l_suppkey", "product": "l_partkey", "warehouse": "warehouse_id", "store": "store_id"}
+    members = F.array(
+        *[F.struct(F.lit(k).alias("dimension"), F.col(c).cast("string").alias("member")) for k, c in names.items()]
+    )
+    by_sku = (
+        wide_lines(t)
+        .select(F.explode(members).alias("_m"), "sku", "quantity", amount("l_extendedprice").alias("price"))
+        .groupBy("_m.dimension", "_m.member", "sku")
+        .agg(F.sum("quantity").alias("units"), F.sum("price").alias("amount"))
+    )
+    return by_sku.groupBy("dimension", "member").agg(
+        F.sum("units").alias("units"), F.sum("amount").alias("amount"), F.count("sku").alias("products")
+    )
 
 
 @query(
@@ -467,7 +473,7 @@ SELECT {n('n_nationkey')} AS warehouse_id, n_name, {n('COALESCE(SUM(on_hand), 0)
 FROM nation LEFT JOIN stock ON n_nationkey = warehouse_id LEFT JOIN cap ON w = n_nationkey GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
-    held = inventory_positions(stock_movements(wide_lines(t))).groupBy("warehouse_id").agg(
+    held = inventory_positions(stock_movements(stock_lines(t))).groupBy("warehouse_id").agg(
         F.sum("on_hand").alias("on_hand"), F.count(F.lit(1)).alias("sku_count")
     )
     room = t.supplier.groupBy("s_nationkey").agg(

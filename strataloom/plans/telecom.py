@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import flag_sum, money, percent, points, ratio
 from ..functions.temporal import days_between
 from ..operators.aggregates import distinct_list
-from ..operators.joins import either_key
+from ..operators.joins import by_participant
 from ..operators.sessions import number_sessions
 from ..sources.tables import Tables
 from .loading import CALLS_SQL, stored_calls
@@ -26,8 +26,8 @@ def subscriber_profiles(subscribers: DataFrame, calls: DataFrame, as_of: str) ->
     """
     voice = F.col("call_type") == "voice"
     v3, v2 = flag_sum(F.col("schema_version") == 3), flag_sum(F.col("schema_version") == 2)
-    joined = either_key(subscribers.select("subscriber_id"), calls, "subscriber_id", "caller", "callee", "call_id")
-    usage = joined.groupBy("subscriber_id").agg(
+    # summed per number before the join: a number that is in every call is one row there
+    usage = by_participant(calls, "subscriber_id", "caller", "callee").groupBy("subscriber_id").agg(
         F.count(F.lit(1)).alias("total_calls"),
         F.sum("data_usage_mb").alias("total_data_mb"),
         F.sum("sms_count").alias("total_sms"),

@@ -45,6 +45,37 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "source_probe",
+    " UNION ALL ".join(
+        f"SELECT '{x}' AS check_name, CAST(LEAST(COUNT(*), 1) AS VARCHAR) AS observed, COUNT(*) > 0 AS passed, 'error' AS severity, 'no rows' AS message FROM {x}"
+        for x in ("customer", "orders", "lineitem", "events", "nation WHERE n_nationkey < 0")
+    ).replace("'nation WHERE n_nationkey < 0'", "'no_nation'"),
+)
+def _(t: Tables) -> DataFrame:
+    """Sources asked for one row before a load, one of them empty."""
+    names = ("customer", "orders", "lineitem", "events")
+    probes = [Q.expect_source(getattr(t, x), x, message="no rows") for x in names]
+    return Q.report(*probes, Q.expect_source(t.nation.filter("n_nationkey < 0"), "no_nation", message="no rows"))
+
+
+@query(
+    "top_value_check",
+    """SELECT 'top_status' AS check_name, (SELECT o_orderstatus FROM orders GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1) AS observed,
+  (SELECT o_orderstatus FROM orders GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1) = 'O' AS passed, 'warn' AS severity, '' AS message
+UNION ALL SELECT 'top_flag_by_quantity', (SELECT l_returnflag FROM lineitem GROUP BY 1 ORDER BY SUM(CAST(l_quantity AS BIGINT)) DESC, 1 LIMIT 1),
+  (SELECT l_returnflag FROM lineitem GROUP BY 1 ORDER BY SUM(CAST(l_quantity AS BIGINT)) DESC, 1 LIMIT 1) = 'Z', 'error', 'flags'""",
+)
+def _(t: Tables) -> DataFrame:
+    return Q.report(
+        Q.expect_top(t.orders, "top_status", "o_orderstatus", "O"),
+        Q.expect_top(
+            t.lineitem, "top_flag_by_quantity", "l_returnflag", "Z", F.col("l_quantity").cast("bigint"),
+            severity="error", message="flags",
+        ),
+    )
+
+
 @query(
     "referential_integrity",
     """SELECT 'orders' AS child, 'customer' AS parent, COUNT(*) AS orphan_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)

@@ -2,29 +2,57 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import first_row
 from ..session import pin, shuffle_width
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. The source may read ``path`` itself: it is written aside first."""
-    staged = pin(df, "refresh")
-    staged.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Full refresh. The source may read ``path`` itself.
+
+    The new table is complete beside the old one before the two change places,
+    so a refresh that fails leaves the old table as it was. If the change itself
+    is broken off, the new table lies at ``path`` plus ``.new-…`` and the old one
+    at ``.old-…``.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    df.write.partitionBy(*partition_by).parquet(fresh)
+    files = spark._jvm.org.apache.hadoop.fs
+    at, to, back = (files.Path(p) for p in (path, fresh, old))
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(at) and not system.rename(at, back):
+        raise OSError(f"{path} could not be moved")
+    if not system.rename(to, at):
+        raise OSError(f"{fresh} could not be moved to {path}")
+    system.delete(back, True)
+    spark.catalog.refreshByPath(path)
+
+
+def truncate_insert(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """All rows replaced; the columns and types of the table stay."""
+    schema = df.sparkSession.read.parquet(path).schema
+    overwrite(df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), path, partition_by)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def append_absent(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Append only rows whose key the table does not hold yet; safe to repeat."""
+def append_absent(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> None:
+    """Append only rows whose key the table does not hold yet; safe to repeat.
+
+    Of several new rows of a key the first by ``order`` counts, without one the
+    smallest by all columns.
+    """
     spark = df.sparkSession
     known = spark.read.schema(df.schema).parquet(path).select(*keys)
-    fresh = df.dropDuplicates(list(keys)).join(known, list(keys), "left_anti")
+    fresh = first_row(df, keys, order or [F.col(c) for c in df.columns]).join(known, list(keys), "left_anti")
     append(pin(fresh, "append"), path)
 
 

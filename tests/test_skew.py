@@ -102,7 +102,7 @@ def test_as_of(events, how):
     nxt = F.lead("since").over(w)
     versions = versions.withColumn("until", F.least("until", nxt))
     facts = events.select("event_id", "user_id", "ts")
-    got = as_of(facts, versions, ["user_id"], "ts", "since", "until", ["level"], "event_id", how=how, hot_rows=30)
+    got = as_of(facts, versions, ["user_id"], "ts", "since", "until", ["level"], how=how, hot_rows=30)
     on = (F.col("f.user_id") == F.col("v.user_id")) & (F.col("ts") >= F.col("since")) & (
         F.col("until").isNull() | (F.col("ts") < F.col("until"))
     )
@@ -110,6 +110,21 @@ def test_as_of(events, how):
     same(got, expected)
 
 
+def test_strictly_later(spark):
+    facts = spark.createDataFrame([(1, "k", "2024-01-01 10:00:00"), (2, "k", "2024-01-01 12:00:00"), (3, "q", None)], "id int, k string, t string")
+    ships = spark.createDataFrame([("k", "2024-01-01 10:00:00"), ("k", "2024-01-01 10:00:00.5"), ("k", "2024-01-01 12:00:00")], "k string, s string")
+    facts, ships = facts.withColumn("t", F.col("t").cast("timestamp")), ships.withColumn("s", F.col("s").cast("timestamp"))
+
+    def found(strict):
+        got = as_of(facts, ships, ["k"], "t", "s", None, ["s"], how="left", direction="forward", strict=strict)
+        return {r["id"]: str(r["s"])[11:21] for r in got.collect()}
+
+    assert found(True) == {1: "10:00:00.5", 2: "", 3: ""}
+    assert found(False) == {1: "10:00:00", 2: "12:00:00", 3: ""}
+    back = as_of(facts, ships, ["k"], "t", "s", None, ["s"], how="left", strict=True)
+    assert {r["id"]: str(r["s"])[11:21] for r in back.collect()} == {1: "", 2: "10:00:00.5", 3: ""}
+
+
 @pytest.mark.parametrize("hot_rows", [None, 25])
 def test_percentiles(events, hot_rows):
     got = percentiles(events, ["user_id"], "cents", {"mid": 0.5, "high": 0.9}, hot_rows=hot_rows)
@@ -157,7 +172,7 @@ def test_ranks(events, descending):
 def test_either_key(spark):
     people = spark.createDataFrame([(1,), (2,), (3,)], "who long")
     calls = spark.createDataFrame([(10, 1, 2), (11, 2, 2), (12, None, 1), (13, 9, 8), (14, 1, None)], "id long, a long, b long")
-    got = either_key(people, calls, "who", "a", "b", "id").select("who", "id")
+    got = either_key(people, calls, "who", "a", "b").select("who", "id")
     expected = people.join(calls, (F.col("who") == F.col("a")) | (F.col("who") == F.col("b"))).select("who", "id")
     same(got, expected)
 

@@ -219,10 +219,23 @@ def test_sources_and_writers(spark):
     W.append(df, path, ["g"])
     W.overwrite(spark.read.parquet(path).filter("id < 50"), path, ["g"])  # reads and replaces the same folder
     assert spark.read.parquet(path).count() == 50
+    broken = df.withColumn("g", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        W.overwrite(broken, path)
+    assert spark.read.parquet(path).count() == 50
+    W.truncate_insert(df.withColumn("id", F.col("id").cast("string")), path)
+    assert spark.read.parquet(path).count() == 100 and dict(spark.read.parquet(path).dtypes)["id"] == "bigint"
     bloomed = W.write_with_bloom(df, scratch_path(spark, "b"), ["id"])
     assert bloomed.filter("id = 7").count() == 1
 
 
+def test_zorder_box_needs_few_files(spark):
+    df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"))
+    stored = W.cluster(df, scratch_path(spark, "z"), {"a": (0, 63), "b": (0, 63)}, files=16)
+    box = stored.filter("a < 16 and b < 16").select(F.input_file_name().alias("f")).distinct().count()
+    assert stored.count() == 4096 and box <= 4 < stored.select(F.input_file_name().alias("f")).distinct().count()
+
+
 def test_zorder_key_interleaves(spark):
     df = spark.createDataFrame([(0b101, 0b010)], "a long, b long")
     assert df.select(W.interleaved_key([F.col("a"), F.col("b")], 3).alias("z")).first()["z"] == 0b011001
