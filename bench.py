@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strataloom.plans import load_all  # noqa: E402
-from strataloom.session import local_session  # noqa: E402
+from strataloom.session import local_session, scratch_run  # noqa: E402
 
 HEADLINE = [
     "daily_kpi_moving_avg", "star_fact_sales", "fraud_score", "scd2_build", "pit_join_orders",
@@ -28,9 +28,10 @@ HEADLINE = [
 
 
 def timed(query, spark, folder: str) -> float:
-    start = time.perf_counter()
-    query(spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scratch_run(spark):
+        start = time.perf_counter()
+        query(spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:

@@ -93,6 +93,16 @@ def either_key(left: DataFrame, right: DataFrame, key: str, first: str, second:
     return left.join(by_participant(right, key, first, second), key)
 
 
+def through_history(facts: DataFrame, history: DataFrame, key: str, target: str) -> DataFrame:
+    """Facts with the ``target`` that their key has had in the history.
+
+    A key with several targets gives a row for each, one without any gives NULL.
+    The history is reduced to its distinct pairs before anything is joined.
+    """
+    pairs = history.filter(F.col(target).isNotNull()).select(key, target).distinct()
+    return facts.join(pairs, key, "left")
+
+
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats) -> DataFrame:
     """Rows with aggregates of their group, joined back.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import amount, flag_sum, percent, ratio, rounded
 from ..functions.temporal import days_between, month_start, seconds_between
-from ..operators.joins import as_of
+from ..operators.joins import as_of, through_history
 from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
@@ -333,15 +333,22 @@ def lead_times(orders: DataFrame) -> DataFrame:
     return orders.groupBy("sku").agg(ratio(F.sum("days_to_receive"), F.count("days_to_receive"), 2).alias("lead_days"))
 
 
+def open_orders(orders: DataFrame, moves: DataFrame) -> DataFrame:
+    """Units not received yet, at the warehouses that got earlier orders of the supplier."""
+    receipts = moves.filter("movement_type = 'receipt'")
+    placed = through_history(orders.filter("qty_received = 0"), receipts, "l_suppkey", "warehouse_id")
+    return placed.groupBy("warehouse_id", "sku").agg(F.sum("qty_ordered").alias("on_order"))
+
+
 def stock_facts(t: Tables) -> tuple[DataFrame, DataFrame]:
     lines = pin(wide_lines(t), "lines")
     moves = stock_movements(lines)
     stock = pin(inventory_positions(moves).select("warehouse_id", "sku", "on_hand"), "stock")
-    orders = pin(fulfilled(lines).select("warehouse_id", "sku", "qty_ordered", "qty_received", "days_to_receive"), "orders")
+    orders = pin(fulfilled(lines).select("l_suppkey", "sku", "qty_ordered", "qty_received", "days_to_receive"), "orders")
     in_transit = moves.filter("movement_type = 'ship'").groupBy("warehouse_id", "sku").agg(
         F.sum(F.abs("quantity")).alias("in_transit")
     )
-    on_order = orders.filter("qty_received = 0").groupBy("warehouse_id", "sku").agg(F.sum("qty_ordered").alias("on_order"))
+    on_order = open_orders(orders, moves)
     sold = pin(demand_signals(store_demand(lines), region_map(t), stock), "signals")
     demand = sold.groupBy(F.col("nearest_wh").alias("warehouse_id"), "sku").agg(
         ratio(F.sum("net_sold"), F.count(F.lit(1)), 4).alias("avg_demand")
@@ -352,10 +359,20 @@ def stock_facts(t: Tables) -> tuple[DataFrame, DataFrame]:
     return inventory_fact(stock, in_transit, on_order, demand, lead_times(orders)), totals
 
 
+OPEN_SQL = """rec AS (SELECT DISTINCT l_suppkey, warehouse_id FROM moves WHERE kind = 'receipt'),
+oo AS (SELECT rec.warehouse_id, sku, CAST(SUM(qty_ordered) AS BIGINT) AS on_order FROM ful LEFT JOIN rec ON rec.l_suppkey = ful.l_suppkey WHERE qty_received = 0 GROUP BY 1, 2)"""
+
+
+@query("open_orders_by_history", f"WITH {PO_SQL}, {OPEN_SQL} SELECT warehouse_id, sku, on_order FROM oo")
+def _(t: Tables) -> DataFrame:
+    lines = pin(wide_lines(t), "lines")
+    return open_orders(fulfilled(lines).drop("warehouse_id"), stock_movements(lines))
+
+
 FACT_SQL = f"""{SIGNAL_SQL},
 lead AS (SELECT sku, {sql_ratio('SUM(days_to_receive)', 'COUNT(days_to_receive)', 2)} AS lead_days FROM ful GROUP BY 1),
 tr AS (SELECT warehouse_id, sku, CAST(SUM(abs(q)) AS BIGINT) AS in_transit FROM moves WHERE kind = 'ship' GROUP BY 1, 2),
-oo AS (SELECT warehouse_id, sku, CAST(SUM(qty_ordered) AS BIGINT) AS on_order FROM ful WHERE qty_received = 0 GROUP BY 1, 2),
+{OPEN_SQL},
 ad AS (SELECT nearest_wh, sku, {sql_ratio('SUM(net_sold)', 'COUNT(*)', 4)} AS avg_demand, CAST(SUM(net_sold) AS BIGINT) AS total_sold, COUNT(DISTINCT period) AS periods FROM sig GROUP BY 1, 2),
 fact AS (SELECT stock.warehouse_id, stock.sku, on_hand, COALESCE(in_transit, 0) AS in_transit, COALESCE(on_order, 0) AS on_order, COALESCE(avg_demand, 0) AS avg_demand, COALESCE(lead_days, 0) AS lead_days,
   on_hand + COALESCE(in_transit, 0) + COALESCE(on_order, 0) AS total_position, CASE WHEN avg_demand > 0 THEN {sql_ratio('on_hand', 'avg_demand', 2)} END AS days_of_supply, total_sold, periods

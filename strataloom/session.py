@@ -3,6 +3,8 @@
 Runtime settings only touch SQL options that any session may change. The
 scratch folder is the one the cluster names in ``spark.checkpoint.dir``; a
 folder of our own is made only for a local master where the setting is unset.
+What an application writes there goes when it ends, or earlier with
+``scratch_run``.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,8 @@ _SQL_OPTIONS = {
 }
 
 _local_scratch: str | None = None
+_owned: set[str] = set()
+_runs: list[str] = []
 
 
 def local_session(cores: str = "*", app: str = "strataloom", **options) -> SparkSession:
@@ -70,8 +75,38 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path as Spark sees it, and the path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """This application's part of the scratch folder; it goes when the application ends."""
+    folder = f"{scratch_root(spark)}/strataloom/{spark.sparkContext.applicationId}"
+    if folder not in _owned:
+        _owned.add(folder)
+        system, at = _file_system(spark, folder)
+        system.deleteOnExit(at)
+    return folder
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/strataloom/{label}-{uuid.uuid4().hex}"
+    run = f"/{_runs[-1]}" if _runs else ""
+    return f"{_own_folder(spark)}{run}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """What is written to scratch inside goes at the end; results must be stored or read by then."""
+    _runs.append(f"run-{uuid.uuid4().hex}")
+    folder = f"{_own_folder(spark)}/{_runs[-1]}"
+    try:
+        yield folder
+    finally:
+        _runs.pop()
+        system, at = _file_system(spark, folder)
+        system.delete(at, True)
 
 
 def pin(df: DataFrame, label: str = "pin") -> DataFrame:

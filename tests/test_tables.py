@@ -229,6 +229,18 @@ def test_sources_and_writers(spark):
     assert bloomed.filter("id = 7").count() == 1
 
 
+def test_scratch_of_a_run_goes(spark):
+    import os
+
+    from strataloom.plans import load_all
+    from strataloom.session import scratch_run
+
+    with scratch_run(spark) as folder:
+        found = load_all()["surrogate_keys"](spark, "/root/testdata/sf0.001").count()
+        assert found and os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
 def test_zorder_box_needs_few_files(spark):
     df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"))
     stored = W.cluster(df, scratch_path(spark, "z"), {"a": (0, 63), "b": (0, 63)}, files=16)
