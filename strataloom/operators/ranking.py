@@ -16,7 +16,7 @@ def _ordering(order: Sequence) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order]
 
 
-_PLACE = "_place"
+_PLACE = "_range_place"
 
 
 def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
