@@ -71,6 +71,24 @@ def source_targets(
     return weighed.select("source", "source_size", F.least(top, F.lit(level) * F.col("_w")).alias("target"))
 
 
+def _rated(docs: DataFrame, weights: Sequence[int], share: float, most: float, seed: str) -> tuple[DataFrame, dict[str, str]]:
+    """All rows and columns, with new columns under names that are free, and these names."""
+    names = {c: fresh(c) for c in ("size", "source_size", "target", "copies")}
+    key, rate = fresh("key"), fresh("rate")
+    sizes = docs.select("source", words_of(F.col("text")).alias("size"))
+    targets = source_targets(sizes, weights, share, most).select(
+        F.col("source").alias(key),
+        F.col("source_size").alias(names["source_size"]),
+        F.col("target").alias(names["target"]),
+    )
+    joined = docs.withColumn(names["size"], words_of(F.col("text"))).join(targets, F.col("source").eqNullSafe(F.col(key)))
+    had = F.col(names["source_size"])
+    joined = joined.withColumn(rate, F.when(had > 0, F.col(names["target"]) / had).otherwise(F.lit(1.0)))
+    more = draw(F.col("doc_id"), F.col("text"), seed) < F.col(rate) - F.floor(rate)
+    copies = F.floor(rate) + F.when(more, 1).otherwise(0)
+    return joined.withColumn(names["copies"], copies).drop(key, rate), names
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -79,36 +97,20 @@ def mix(
     seed: str = "mix",
 ) -> DataFrame:
     """All rows with size, source_size, target and copies (how often the mix holds the document)."""
-    size, rate, whole = fresh("size"), fresh("rate"), fresh("whole")
-    key, source_size, target = fresh("key"), fresh("source_size"), fresh("target")
-    sizes = docs.select("source", words_of(F.col("text")).alias("size"))
-    targets = source_targets(sizes, weights, share, most).select(
-        F.col("source").alias(key), F.col("source_size").alias(source_size), F.col("target").alias(target)
-    )
-    joined = (
-        docs.withColumn(size, words_of(F.col("text")))
-        .join(targets, F.col("source").eqNullSafe(F.col(key)))
-        .withColumn(rate, F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(F.lit(1.0)))
-        .withColumn(whole, F.floor(rate))
-    )
-    more = draw(F.col("doc_id"), F.col("text"), seed) < F.col(rate) - F.col(whole)
-    held = add_columns(
-        joined,
-        {
-            "size": F.col(size),
-            "source_size": F.col(source_size),
-            "target": F.col(target),
-            "copies": F.col(whole) + F.when(more, 1).otherwise(0),
-        },
-    )
-    return held.drop(size, rate, whole, key, source_size, target)
+    rated, names = _rated(docs, weights, share, most, seed)
+    return add_columns(rated, {c: F.col(name) for c, name in names.items()}).drop(*names.values())
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
     """The mix itself: the documents' own columns, each row as often as it is taken."""
-    copies = mix(docs, **options)
+    rated, names = _rated(docs, weights, share, most, seed)
+    times, copies = fresh("time"), F.col(names["copies"])
     own = [F.col(f"`{c}`") for c in docs.columns]
-    if "copies" in docs.columns:
-        raise ValueError("rename the column copies first")
-    times = F.explode(F.expr("sequence(1L, copies)"))
-    return copies.filter("copies > 0").select(*own, times.alias("_time")).drop("_time")
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(times)
+    return rated.filter(copies > 0).select(*own, each).drop(times)

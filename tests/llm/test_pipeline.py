@@ -104,5 +104,7 @@ def test_mixing_of_odd_rows(spark):
     same = [r["copies"] for r in got.filter(F.col("doc_id") == 1).collect()]
     assert len(same) == 2 and same[0] == same[1]
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+    clash = mixing.mixed(docs.withColumn("copies", F.lit("own")).withColumn("target", F.lit(7)))
+    assert clash.columns == [*docs.columns, "copies", "target"] and clash.filter("copies = 'own' and target = 7").count() == mixing.mixed(docs).count()
     again = mixing.mixed(docs.repartition(4)).groupBy("doc_id", "text").count().collect()
     assert sorted(map(repr, again)) == sorted(map(repr, mixing.mixed(docs).groupBy("doc_id", "text").count().collect()))
