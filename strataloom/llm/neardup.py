@@ -8,8 +8,9 @@
    to the nodes named by its values at ``branches`` positions that the node
    chooses. A pair of similarity s meets in a tree's root level with probability
    s and survives a level with 1 - (1 - s) ** branches, so the trees miss a pair
-   at 0.85 with a probability below 1e-5. Nodes still large after ``depth``
-   levels agree at as many positions and are joined whole.
+   at 0.85 with a probability below 1e-5. Texts that share no more than a
+   passage part after a level or two; nodes still large after ``depth`` levels
+   agree at as many positions more and are joined whole.
 3. The pairs found this way, with a margin of four standard errors below the
    threshold, are only a net: their connected components are clusters that no
    link leaves. Each cluster gets the full shingle sets of its classes, once,
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
+from .frames import fresh
 from .groups import components
 from .textscan import Run, hash_spans, lowered, mixed, runs, spread, window_hash, words
 
@@ -252,7 +254,9 @@ def _full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 )
 
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    found = texts.join(members.select(F.col("rep").alias("_rep"), "c", "task"), F.col("doc_id") == F.col("_rep"))
+    # the members grow with the corpus, so they are never broadcast
+    wanted = members.select(F.col("rep").alias("_rep"), "c", "task").hint("merge")
+    found = texts.join(wanted, F.col("doc_id") == F.col("_rep"))
     return found.select("text", "c", "task").mapInArrow(task, "task array<string>, c binary, members binary")
 
 
@@ -296,8 +300,8 @@ def near_duplicates(
     percent: int = 85,
     trees: int = 8,
     branches: int = 2,
-    leaf: int = 1000,
-    depth: int = 8,
+    leaf: int = 2000,
+    depth: int = 3,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
     share = percent / 100
@@ -330,5 +334,6 @@ def near_duplicates(
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of the documents that are the smallest of their component, all columns."""
-    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    key = fresh("gone")
+    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
