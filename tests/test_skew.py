@@ -180,7 +180,9 @@ def test_either_key(spark):
 @pytest.mark.parametrize(
     "name",
     ["fraud_score", "scd2_build", "pit_join_orders", "incident_correlation", "funnel_stage", "fact_pit_ranked",
-     "workforce_kpi", "maintenance_signals", "market_median_quarter", "lifecycle_fact"],
+     "workforce_kpi", "maintenance_signals", "market_median_quarter", "lifecycle_fact", "running_balance", "value_trajectory",
+     "moving_anomaly_2sigma", "version_history", "pit_sale_enrichment", "zscore_outliers", "demand_signals",
+     "compensation_change", "timeline_status", "sessions_30min", "clean_text_history", "pit_join_unmatched"],
 )
 def test_queries_with_cut_keys(spark, monkeypatch, name):
     """Whole queries stay right when nearly every key counts as hot."""
