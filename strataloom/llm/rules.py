@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textscan import Run, code_points, hash_spans, lowered, mixed, runs, window_hash, words
+from .textscan import Run, Words, code_points, hash_spans, lowered, mixed, runs, window_hash, words
 
 MIN_WORDS = 50
 REPEATED = 0.5
@@ -74,23 +74,27 @@ def duplicates(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return times[back] > 1, later
 
 
+def histograms(run: Run, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Class histogram of each row, and the cell of each word."""
+    n, b = run.hi - run.lo, run.data
+    owner = np.repeat(np.arange(n), np.diff(run.offsets))
+    lead = code_points(b)
+    classes = np.bincount((owner * CLASSES + CLASS_OF[b])[lead], minlength=n * CLASSES).reshape(n, CLASSES)
+    return classes, (hash_spans(lowered(b), w.start, w.end) % np.uint64(CELLS)).astype(np.int64)
+
+
 def scan(run: Run) -> Scan:
     n, b = run.hi - run.lo, run.data
     w = words(run)
-    count = np.bincount(w.row, minlength=n)
-    lead = code_points(b)
-    upto = np.concatenate([[0], np.cumsum(lead)])
+    upto = np.concatenate([[0], np.cumsum(code_points(b))])
     owner = np.repeat(np.arange(n), np.diff(run.offsets))
-    word = hash_spans(lowered(b), w.start, w.end)
-    classes = np.bincount((owner * CLASSES + CLASS_OF[b])[lead], minlength=n * CLASSES).reshape(n, CLASSES)
     return Scan(
-        count,
+        np.bincount(w.row, minlength=n),
         np.bincount(w.row, weights=upto[w.end] - upto[w.start], minlength=n).astype(np.int64),
         np.bincount(owner[SYMBOLS[b]], minlength=n),
         _dup_lines(run, w.start, n),
         _repeated(hash_spans(b, w.start, w.end), w.row, n),
-        classes,
-        (word % np.uint64(CELLS)).astype(np.int64),
+        *histograms(run, w),
         w.row,
     )
 
@@ -146,11 +150,12 @@ def references(docs: DataFrame, languages: int = 200, common: int = 64) -> Refer
         for batch in batches:
             at = np.array([place.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
             for run in runs(batch):
-                s, own = scan_counts(run), at[run.lo : run.hi]
+                w, own = words(run), at[run.lo : run.hi]
+                classes, cell = histograms(run, w)
                 for k in set(own.tolist()) - {-1}:
                     held = sums.setdefault(k, np.zeros(CLASSES + CELLS, np.int64))
-                    held[:CLASSES] += s[0][own == k].sum(axis=0)
-                    held[CLASSES:] += np.bincount(s[1][own[s[2]] == k], minlength=CELLS)
+                    held[:CLASSES] += classes[own == k].sum(axis=0)
+                    held[CLASSES:] += np.bincount(cell[own[w.row] == k], minlength=CELLS)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
@@ -182,16 +187,6 @@ def references(docs: DataFrame, languages: int = 200, common: int = 64) -> Refer
     return out
 
 
-def scan_counts(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class histogram, word cells and rows of a run."""
-    n, b = run.hi - run.lo, run.data
-    w = words(run)
-    lead = code_points(b)
-    owner = np.repeat(np.arange(n), np.diff(run.offsets))
-    classes = np.bincount((owner * CLASSES + CLASS_OF[b])[lead], minlength=n * CLASSES).reshape(n, CLASSES)
-    return classes, (hash_spans(lowered(b), w.start, w.end) % np.uint64(CELLS)).astype(np.int64), w.row
-
-
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     """Square root of the Jensen-Shannon divergence of each row to the reference; 1 for a row of zeros."""
     total = counts.sum(axis=1, keepdims=True)
