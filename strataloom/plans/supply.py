@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,32 +179,38 @@ def demand_forecast(signals: DataFrame, lead: DataFrame) -> DataFrame:
 # stand-ins: supplier nations as warehouses, part types as products, customer nations as stores
 
 
-def wide_lines(t: Tables) -> DataFrame:
-    buyers = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(
-        t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    return (
-        t.lineitem.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "l_orderkey", "l_suppkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity"),
-            "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "o_orderpriority",
-            F.col("c_nationkey").alias("store_id"), F.col("s_nationkey").alias("warehouse_id"), F.col("p_type").alias("sku"),
-        )
+def _lines(t: Tables, columns: Sequence[str], order: bool = False, store: bool = False, warehouse: bool = False) -> DataFrame:
+    """Lines with their product, and only the other tables that are asked for."""
+    out = t.lineitem.withColumn("quantity", F.col("l_quantity").cast("bigint")).join(
+        t.part.select("p_partkey", F.col("p_type").alias("sku")), F.col("l_partkey") == F.col("p_partkey")
     )
+    if order or store:
+        heads = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+        if store:
+            buyers = t.customer.select("c_custkey", F.col("c_nationkey").alias("store_id"))
+            heads = heads.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        out = out.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    if warehouse:
+        places = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("warehouse_id"))
+        out = out.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    return out.select("l_orderkey", "l_suppkey", "quantity", "l_extendedprice", "sku", *columns)
+
+
+def wide_lines(t: Tables) -> DataFrame:
+    return _lines(t, ["l_partkey", "store_id", "warehouse_id"], store=True, warehouse=True)
 
 
 def stock_lines(t: Tables) -> DataFrame:
-    """Lines with their warehouse and product: what stock alone needs."""
-    return (
-        t.lineitem.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "l_orderkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("quantity"), "l_returnflag", "l_linestatus",
-            "l_shipdate", F.col("s_nationkey").alias("warehouse_id"), F.col("p_type").alias("sku"),
-        )
-    )
+    return _lines(t, ["l_returnflag", "l_linestatus", "l_shipdate", "warehouse_id"], warehouse=True)
+
+
+def purchase_lines(t: Tables) -> DataFrame:
+    columns = ["l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "warehouse_id"]
+    return _lines(t, columns, order=True, warehouse=True)
+
+
+def demand_lines(t: Tables) -> DataFrame:
+    return _lines(t, ["l_returnflag", "l_shipdate", "store_id"], store=True)
 
 
 def stock_movements(lines: DataFrame) -> DataFrame:
@@ -268,11 +276,11 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     """Orders and their receipts as two tables."""
-    lines = pin(wide_lines(t), "lines")
-    receipts = lines.filter("l_linestatus = 'F'").select(
+    done = _lines(t, ["l_linestatus", "l_shipdate"]).filter("l_linestatus = 'F'")
+    receipts = done.select(
         F.concat_ws("-", "l_orderkey", "l_suppkey", "sku").alias("po_id"), "quantity", F.col("l_shipdate").alias("received_at")
     )
-    orders = purchase_orders(lines).drop("qty_received", "received_at")
+    orders = purchase_orders(purchase_lines(t)).drop("qty_received", "received_at")
     return order_fulfilment(orders, receipts).select(
         "l_orderkey", "l_suppkey", "sku", "qty_ordered", "qty_received", "fill_rate", "days_to_receive", "on_time",
         "total_cost",
@@ -287,7 +295,7 @@ a AS (SELECT l_suppkey AS supplier_id, COUNT(*) AS total_orders, {sql_ratio('COU
 SELECT *, {r("0.40::DOUBLE * on_time_share + 0.30::DOUBLE * avg_fill_rate + 0.20::DOUBLE * (1.0::DOUBLE - defect_rate) + 0.10::DOUBLE * CASE WHEN avg_lead_days <= 7 THEN 1.0 WHEN avg_lead_days <= 10 THEN 0.8 WHEN avg_lead_days <= 14 THEN 0.6 ELSE 0.4 END::DOUBLE", 4)} AS composite_score FROM a""",
 )
 def _(t: Tables) -> DataFrame:
-    return supplier_scorecard(fulfilled(wide_lines(t)).withColumnRenamed("l_suppkey", "supplier_id"))
+    return supplier_scorecard(fulfilled(purchase_lines(t)).withColumnRenamed("l_suppkey", "supplier_id"))
 
 
 def store_demand(lines: DataFrame) -> DataFrame:
@@ -307,8 +315,8 @@ def region_map(t: Tables) -> DataFrame:
 
 
 def signals(t: Tables) -> DataFrame:
-    lines = pin(wide_lines(t), "lines")
-    return demand_signals(store_demand(lines), region_map(t), inventory_positions(stock_movements(lines)))
+    stock = inventory_positions(stock_movements(stock_lines(t)))
+    return demand_signals(store_demand(demand_lines(t)), region_map(t), stock)
 
 
 SIGNAL_SQL = f"""{PO_SQL},
@@ -341,15 +349,20 @@ def open_orders(orders: DataFrame, moves: DataFrame) -> DataFrame:
 
 
 def stock_facts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    lines = pin(wide_lines(t), "lines")
-    moves = stock_movements(lines)
+    # one row per warehouse, product, kind and supplier: what all sums below need
+    moves = pin(
+        stock_movements(stock_lines(t))
+        .groupBy("warehouse_id", "sku", "movement_type", "l_suppkey")
+        .agg(F.sum("quantity").alias("quantity"), F.max("moved_at").alias("moved_at")),
+        "moves",
+    )
     stock = pin(inventory_positions(moves).select("warehouse_id", "sku", "on_hand"), "stock")
-    orders = pin(fulfilled(lines).select("l_suppkey", "sku", "qty_ordered", "qty_received", "days_to_receive"), "orders")
+    orders = pin(fulfilled(purchase_lines(t)).select("l_suppkey", "sku", "qty_ordered", "qty_received", "days_to_receive"), "orders")
     in_transit = moves.filter("movement_type = 'ship'").groupBy("warehouse_id", "sku").agg(
         F.sum(F.abs("quantity")).alias("in_transit")
     )
     on_order = open_orders(orders, moves)
-    sold = pin(demand_signals(store_demand(lines), region_map(t), stock), "signals")
+    sold = pin(demand_signals(store_demand(demand_lines(t)), region_map(t), stock), "signals")
     demand = sold.groupBy(F.col("nearest_wh").alias("warehouse_id"), "sku").agg(
         ratio(F.sum("net_sold"), F.count(F.lit(1)), 4).alias("avg_demand")
     )
@@ -365,8 +378,7 @@ oo AS (SELECT rec.warehouse_id, sku, CAST(SUM(qty_ordered) AS BIGINT) AS on_orde
 
 @query("open_orders_by_history", f"WITH {PO_SQL}, {OPEN_SQL} SELECT warehouse_id, sku, on_order FROM oo")
 def _(t: Tables) -> DataFrame:
-    lines = pin(wide_lines(t), "lines")
-    return open_orders(fulfilled(lines).drop("warehouse_id"), stock_movements(lines))
+    return open_orders(fulfilled(purchase_lines(t)).drop("warehouse_id"), stock_movements(stock_lines(t)))
 
 
 FACT_SQL = f"""{SIGNAL_SQL},
@@ -412,7 +424,7 @@ SELECT st.*, lead_days, CASE WHEN trend > 1 THEN 'accelerating' WHEN trend > 0 T
   CASE WHEN avg_demand > 0 THEN {sql_ratio('on_hand', 'avg_demand', 2)} END AS days_until_stockout FROM st LEFT JOIN lead ON lead.sku = st.sku""",
 )
 def _(t: Tables) -> DataFrame:
-    return demand_forecast(pin(signals(t), "signals"), pin(lead_times(fulfilled(wide_lines(t))), "lead"))
+    return demand_forecast(pin(signals(t), "signals"), pin(lead_times(fulfilled(purchase_lines(t))), "lead"))
 
 
 def tracking_events(t: Tables) -> DataFrame:
@@ -444,13 +456,12 @@ SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, fill_rate, on_time, received_at,
 )
 def _(t: Tables) -> DataFrame:
     """Purchase orders with the first shipment that left their warehouse after the receipt."""
-    lines = pin(wide_lines(t), "lines")
     ships = (
-        stock_movements(lines).filter("movement_type = 'ship'")
+        stock_movements(stock_lines(t)).filter("movement_type = 'ship'")
         .select("warehouse_id", "sku", F.col("moved_at").alias("next_ship")).distinct()
     )
     placed = as_of(
-        fulfilled(lines), ships, ["warehouse_id", "sku"], "received_at", "next_ship", None, ["next_ship"], how="left",
+        fulfilled(purchase_lines(t)), ships, ["warehouse_id", "sku"], "received_at", "next_ship", None, ["next_ship"], how="left",
         direction="forward", strict=True,
     )
     return placed.select(
