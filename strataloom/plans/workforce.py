@@ -50,23 +50,40 @@ def pay_gap(group: Column, first: str, second: str) -> Column:
 
 
 def workforce_kpi(facts: DataFrame, as_of: str) -> DataFrame:
-    """Department and quarter: headcount, pay, turnover, promotions, tenure and pay gap."""
+    """Department and quarter: headcount, pay, turnover, promotions, tenure and pay gap.
+
+    Summed per employee first, so that heads are counted as rows.
+    """
     rows = facts.withColumn("quarter", quarter_label("event_date"))
-    who = F.col("employee_id")
-    heads = F.count_distinct(who)
+    pay, kind, gender = F.col("base_salary").cast("decimal(18,2)"), F.col("event_type"), F.col("gender")
+    measures = {
+        "salary": F.col("base_salary"),
+        "tenure": days_between(F.to_date(F.lit(as_of)), "hire_date"),
+        "compa": F.col("compa_ratio").cast("decimal(18,3)"),
+        "male": F.when(gender == "Male", pay),
+        "female": F.when(gender == "Female", pay),
+    }
+    per_head = rows.groupBy("department", "quarter", "employee_id").agg(
+        *[F.sum(v).alias(f"_sum_{k}") for k, v in measures.items()],
+        *[F.count(v).alias(f"_n_{k}") for k, v in measures.items()],
+        F.bool_or(kind == "termination").alias("_left"),
+        F.bool_or(kind == "promotion").alias("_up"),
+    )
+    heads, who = F.count("employee_id"), F.col("employee_id")
+    total = {k: F.sum(f"_sum_{k}") for k in measures}
+    count = {k: F.sum(f"_n_{k}") for k in measures}
 
-    def share(kind: str) -> Column:
-        return percent(F.count_distinct(F.when(F.col("event_type") == kind, who)), heads)
+    def average(k: str) -> Column:
+        return total[k].cast("double") / F.nullif(count[k], F.lit(0))
 
-    tenure = days_between(F.to_date(F.lit(as_of)), "hire_date")
-    agg = rows.groupBy("department", "quarter").agg(
+    agg = per_head.groupBy("department", "quarter").agg(
         heads.alias("headcount"),
-        mean(F.col("base_salary"), 2).alias("avg_salary"),
-        share("termination").alias("turnover_rate"),
-        share("promotion").alias("promotion_rate"),
-        rounded(F.sum(tenure) / F.count(tenure) / 365.25, 1).alias("avg_tenure_years"),
-        pay_gap(F.col("gender"), "Male", "Female").alias("pay_gap_pct"),
-        mean(F.col("compa_ratio").cast("decimal(18,3)"), 3).alias("avg_compa_ratio"),
+        ratio(total["salary"], count["salary"], 2).alias("avg_salary"),
+        percent(F.count(F.when(F.col("_left"), who)), heads).alias("turnover_rate"),
+        percent(F.count(F.when(F.col("_up"), who)), heads).alias("promotion_rate"),
+        rounded(total["tenure"] / count["tenure"] / 365.25, 1).alias("avg_tenure_years"),
+        percent(average("male") - average("female"), average("male")).alias("pay_gap_pct"),
+        ratio(total["compa"], count["compa"], 3).alias("avg_compa_ratio"),
     )
     middle = percentiles(rows, ["department", "quarter"], "base_salary", {"_median": 0.5})
     return agg.join(middle, ["department", "quarter"], "left").withColumn(
