@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm import bpe, mixing, neardup, pii, toxicity
-from strataloom.llm.frames import held_out
-from strataloom.session import pin, prepare
+from strataloom.llm.frames import held_out, text_session
+from strataloom.session import pin
 
 #: Documents this alike (shingles in a hundred of the union) are copies.
 ALIKE = 80
@@ -25,7 +25,7 @@ ORACLE_SQL = None
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
-    labels = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    labels = text_session(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     model = toxicity.fit(docs, labels, ~held_out(F.col("doc_id"), 5, 0))
     scored = toxicity.score(docs, model, threshold=TOXIC)
     return scored.filter("predicted = 0").select(*docs.columns)
@@ -33,25 +33,25 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    prepare(spark)
+    text_session(spark)
     return neardup.dedup(docs, percent=ALIKE)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts replaced by its kind; n_chars follows."""
-    prepare(spark)
+    text_session(spark)
     return pii.redact(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
-    prepare(spark)
+    text_session(spark)
     return mixing.mixed(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they decode to."""
-    prepare(spark)
+    text_session(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, keep_text=False)
     return bpe.decode(coded, path).select(
@@ -70,7 +70,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written once."""
-    docs = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = text_session(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):

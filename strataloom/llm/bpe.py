@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 
 from .textscan import runs
 
-RUN_BYTES = 4 << 20
-KNOWN_WORDS = 150_000
-KNOWN_PAIRS = 400_000
+RUN_BYTES = 2 << 20
+KNOWN_WORDS = 80_000
+KNOWN_PAIRS = 200_000
 #: Fixed value: how byte-level vocabularies of this kind cut texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -188,6 +188,21 @@ def coder_of(raw: bytes) -> Coder:
     return _coders[key]
 
 
+_tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def token_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Length of each id's bytes, and all of them in the order of ids; read once per process."""
+    key = hashlib.sha256(raw).hexdigest()
+    if key not in _tables:
+        spec, letters = json.loads(raw), byte_letters()
+        table = {i: bytes(letters[c] for c in word) for word, i in spec["model"]["vocab"].items()}
+        table |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or []}
+        held = [table.get(i, b"") for i in range(max(table) + 1)]
+        _tables[key] = np.array([len(w) for w in held], np.int64), np.frombuffer(b"".join(held), np.uint8)
+    return _tables[key]
+
+
 def _out(docs: DataFrame, name: str, gone: set[str], kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in docs.schema.fields if f.name not in gone] + [T.StructField(name, kind)])
 
@@ -226,12 +241,8 @@ def decode(coded: DataFrame, path: str, column: str = "ids", name: str = "decode
         held = coded.sparkSession.sparkContext.broadcast(f.read())
 
     def task(batches):
-        table = coder_of(held.value).bytes_of
-        size = np.zeros(max(table) + 1, np.int64)
-        for i, w in table.items():
-            size[i] = len(w)
+        size, body = token_bytes(held.value)
         begin = np.cumsum(size) - size
-        body = np.frombuffer(b"".join(table.get(i, b"") for i in range(len(size))), np.uint8)
         for batch in batches:
             n = len(batch)
             ids = batch.column(batch.schema.get_field_index(column)).fill_null([])

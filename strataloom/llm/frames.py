@@ -4,12 +4,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import prepare
+
 #: A word: code points other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of an Arrow batch. Rows are whole texts here, so Spark's own 10,000 would make large batches.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session with the options of this library, and small batches unless it names its own size."""
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return prepare(spark)
+
 
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; null for a null id."""

@@ -8,9 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare
 from . import bpe, fingerprints, katz, langid, mixing, neardup, pii, quality, rules, toxicity
-from .frames import held_out
+from .frames import held_out, text_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,11 +21,11 @@ def registered(build: Callable[[SparkSession, str], DataFrame]):
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return text_session(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return text_session(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
 @registered
