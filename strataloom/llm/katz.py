@@ -59,8 +59,8 @@ class Block:
     ids: pa.Array
 
 
-def blocks(batches) -> Iterator[Block]:
-    """Texts of a partition in blocks of about ``BLOCK_TOKENS`` tokens; columns are doc_id, text, teach."""
+def blocks(batches, tokens: int = BLOCK_TOKENS) -> Iterator[Block]:
+    """Texts of a partition in blocks of about ``tokens`` tokens; columns are doc_id, text, teach."""
     parts, size, n = [], 0, 0
 
     def whole():
@@ -78,7 +78,7 @@ def blocks(batches) -> Iterator[Block]:
             part = batch.slice(run.lo, run.hi - run.lo)
             parts.append((h, w.row + n, part.column(2).to_numpy(zero_copy_only=False).astype(bool), part.column(0)))
             size, n = size + len(h), n + len(part)
-            if size + n >= BLOCK_TOKENS:
+            if size + n >= tokens:
                 yield whole()
                 parts, size, n = [], 0, 0
     if parts:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, katz, langid, mixing, neardup, pii, quality, rules, toxicity
+from . import bpe, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, toxicity
 from .frames import held_out, text_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,8 +164,8 @@ FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN lowest ON a = d.d
 def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     teach = ~held_out(F.col("doc_id"), 10, 0)
-    model = katz.fit(docs, teach)
-    return katz.score(docs, teach, model).select(
+    model = katz_words.fit(docs, teach)
+    return katz_words.score(docs, teach, model).select(
         "doc_id",
         (~F.col("teach")).alias("held_out"),
         "n_tokens",
