@@ -9,6 +9,14 @@ confidence in a kind is the mean confidence of its instances (with ``doubt``
 blank instances added), and an instance that is no seed takes the best
 confidence of its patterns. Candidates outside all seeds become entities of the
 kind that a pattern of at least ``support`` sure instances is ``sure`` of.
+
+Identifiers of several words are found whole: a maximal run of digit groups
+joined by single blanks, dots, hyphens or brackets, of two words and four digits
+or more, is one candidate with the words around the whole run as its context. A
+second graph holds the runs and all candidates outside them. A run outside all
+seeds becomes an entity by its own patterns, or of the kind of a word found in
+it, and then replaces the words in it; where its words are all found they stay
+entities of their own.
 Only DataFrame functions are used.
 
 Defined cases: a null text counts as empty and has no spans; rows without an id,
@@ -36,6 +44,11 @@ FORMATS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_GROUP = (
+    r"(?:\((?=[0-9]++\)))?+[0-9]++(?:[().-]{1,2}+[0-9]++)*+(?:\)(?=\x20\(?[0-9]))?+"
+    r"""(?![^\x20\x09-\x0D"'(\[{<>)\]},.;:!?*#$%&|=])"""
+)
+_RUN = r"""(?<![^\x20\x09-\x0D"'(\[{<>,;:=])(?<![0-9][,;:=(])\+?+""" + f"{_GROUP}(?:\\x20{_GROUP})++"
 _MARKS = r"""["'(\[{<>)\]},.;:!?*#$%&|=]"""
 #: Code points of a context that patterns look at.
 REACH = 64
@@ -127,9 +140,9 @@ def _shape(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"\p{L}+", "a"), "[0-9]", "9")
 
 
-def _with_candidates(docs: DataFrame) -> DataFrame:
-    """Adds ``_candidates``: start, end, lower-cased token and its patterns."""
-    docs = _cut(docs, _CANDIDATE, "_hits", "_gaps")
+def _with_candidates(docs: DataFrame, pattern: str, marks: str, out: str) -> DataFrame:
+    """Adds ``out``: start, end, lower-cased token and its patterns; ``marks`` around a match do not belong to it."""
+    docs = _cut(docs, pattern, "_hits", "_gaps")
     docs = docs.withColumn(
         "_at", F.when(F.size("_hits") > 0, _starts("_hits", "_gaps")).otherwise(F.array().cast("array<int>"))
     )
@@ -139,8 +152,8 @@ def _with_candidates(docs: DataFrame) -> DataFrame:
 
     def one(k):
         hit = F.get("_hits", k)
-        bare = F.regexp_replace(hit, f"^{_MARKS}+", "")
-        token = F.regexp_replace(bare, f"{_MARKS}+$", "")
+        bare = F.regexp_replace(hit, f"^{marks}+", "") if marks else hit
+        token = F.regexp_replace(bare, f"{marks}+$", "") if marks else bare
         start = F.get("_at", k) + F.char_length(hit) - F.char_length(bare)
         words = F.filter(F.split(F.lower(before(k)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
         last, but_one = F.try_element_at(words, F.lit(-1)), F.try_element_at(words, F.lit(-2))
@@ -163,16 +176,17 @@ def _with_candidates(docs: DataFrame) -> DataFrame:
         F.size("_hits") > 0, F.transform(F.sequence(F.lit(0), F.size("_hits") - 1), one)
     ).otherwise(F.array())
     return docs.withColumn(
-        "_candidates",
+        out,
         F.filter(every, lambda c: (F.length(_digits(c["token"])) >= 4) | c["token"].contains("@")),
     ).drop("_hits", "_gaps", "_at")
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """doc_id, hash of the text, seeds and candidates of every row; without the texts."""
+    """doc_id, hash of the text, seeds, candidates and runs of every row; without the texts."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     text = text.withColumn("_text_hash", F.xxhash64("_text"))
-    return _with_candidates(_with_seeds(text)).drop("_text")
+    words = _with_candidates(_with_seeds(text), _CANDIDATE, _MARKS, "_candidates")
+    return _with_candidates(words, _RUN, "", "_runs").drop("_text")
 
 
 def _confidence(edges: DataFrame, seeds: DataFrame, rounds: int, doubt: float, support: int) -> DataFrame:
@@ -210,10 +224,43 @@ def spans(
 ) -> DataFrame:
     """doc_id, _text_hash, seeds and added (arrays of kind, start, end) for every row."""
     found = pin(_scan(docs), "pii")
-    one = found.filter(F.size("_candidates") > 0).select(*_KEY, "_seeds", F.explode("_candidates").alias("_c"))
+    options = (rounds, sure, support, doubt)
+    words = _bootstrapped(found, F.col("_candidates"), *options)
+    outside = F.filter("_candidates", lambda c: ~F.exists("_runs", lambda r: _overlap(c, r)))
+    whole = _bootstrapped(found, F.concat("_runs", outside), *options)
+    same = lambda t: F.col("doc_id").eqNullSafe(F.col(f"_id_{t}")) & (F.col("_text_hash") == F.col(f"_hash_{t}"))
+    named = lambda df, t: df.toDF(f"_id_{t}", f"_hash_{t}", f"_of_{t}")
+    none = F.array().cast(_SPAN)
+    both = found.join(named(words, "words"), same("words"), "left").join(named(whole, "whole"), same("whole"), "left")
+    both = both.withColumns({c: F.coalesce(c, none) for c in ("_of_words", "_of_whole")})
+
+    def entity(r):
+        """A run's entity: by its own patterns, else by a word found in it; null for none, or if its words are all found."""
+        own = F.get(F.filter("_of_whole", lambda s: (s["start"] == r["start"]) & (s["end"] == r["end"])), F.lit(0))
+        words = F.filter("_of_words", lambda s: _overlap(s, r))
+        inner = F.get(words, F.lit(0))
+        found = F.aggregate(words, F.lit(-1), lambda n, s: n + s["end"] - s["start"] + 1)
+        seeded = F.exists("_seeds", lambda s: _overlap(s, r))
+        kind = F.when(~seeded & (found < r["end"] - r["start"]), F.coalesce(own["kind"], inner["kind"]))
+        return F.struct(kind.alias("kind"), r["start"].alias("start"), r["end"].alias("end"))
+
+    both = both.withColumn("_whole", F.filter(F.transform("_runs", entity), lambda s: s["kind"].isNotNull()).cast(_SPAN))
+    apart = F.filter("_of_words", lambda s: ~F.exists("_whole", lambda r: _overlap(s, r)))
+    return both.select(*_KEY, F.col("_seeds").alias("seeds"), F.sort_array(F.concat("_whole", apart)).alias("added"))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (a["end"] > b["start"])
+
+
+def _bootstrapped(
+    found: DataFrame, candidates: Column, rounds: int, sure: float, support: int, doubt: float
+) -> DataFrame:
+    """doc_id, _text_hash and the spans that the graph of the candidates adds to the seeds, where there are any."""
+    one = found.select(*_KEY, "_seeds", F.explode(candidates).alias("_c"))
     inside = F.array_min(
         F.transform(
-            F.filter("_seeds", lambda s: (s["start"] < F.col("_c.end")) & (s["end"] > F.col("_c.start"))),
+            F.filter("_seeds", lambda s: _overlap(s, F.col("_c"))),
             lambda s: s["kind"],
         )
     )
@@ -227,7 +274,7 @@ def spans(
         .agg(F.max(F.struct("confidence", -F.col("kind"))).alias("_best"))
         .select("pattern", "_best.confidence", (-F.col("_best.col2")).alias("_kind"))
     )
-    added = (
+    return (
         each.filter("kind is null")
         .select(*_KEY, "start", "end", F.explode("patterns").alias("pattern"))
         .join(trusted, "pattern")
@@ -239,13 +286,6 @@ def spans(
                 F.collect_list(F.struct((-F.col("_best.col2")).alias("kind"), F.col("start"), F.col("end")))
             ).cast(_SPAN).alias("added")
         )
-        .select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash"), "added")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    return found.join(added, same, "left").select(
-        *_KEY,
-        F.col("_seeds").alias("seeds"),
-        F.coalesce("added", F.array().cast(_SPAN)).alias("added"),
     )
 
 
