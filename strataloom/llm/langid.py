@@ -1,8 +1,8 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
 Trained in numpy by stochastic gradient descent on a bounded sample: about
-``per_language`` documents of each language, chosen by a hash of id and text,
-and at most ``languages`` languages, the most frequent. A fifth of the sample
+``per_language`` documents of each language, chosen by a hash of id and text.
+With more than ``languages`` languages each gets fewer documents and none is left out. A fifth of the sample
 is kept from training and sets the temperature of the probabilities and the
 confidence below which an answer is rejected.
 
@@ -48,14 +48,15 @@ class Model:
 def sample(docs: DataFrame, teach: Column, per_language: int, languages: int) -> DataFrame:
     """text and lang of about ``per_language`` rows of each language."""
     known = docs.filter(teach & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not sizes:
+    sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_size"))
+    n = sizes.count()
+    if not n:
         return known.select("text", "lang").limit(0)
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], F.lit(per_language / r["count"])).otherwise(share)
+    rows = max(min(per_language, per_language * languages // n), 20)
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return known.filter(drawn < share).select("text", "lang").limit(2 * per_language * len(sizes))
+    # one row per language
+    each = known.join(F.broadcast(sizes), F.col("lang") == F.col("_lang"))
+    return each.filter(drawn < F.lit(float(rows)) / F.col("_size")).select("text", "lang").limit(2 * rows * n)
 
 
 def fit(

@@ -1,7 +1,7 @@
 """Quality rules: how far a document's letters and common words are from those of a language.
 
-References are made of all documents with a language: for each of the most
-frequent languages, a histogram of character classes and one of words hashed
+References are made of all documents with a language: for each language, however
+many there are, a histogram of character classes and one of words hashed
 into a fixed number of cells. The ``common`` fullest cells of a language hold
 its common words, all others together are one more cell. A document is compared
 with every reference by the Jensen-Shannon distance (base 2, 0 to 1); the
@@ -134,17 +134,28 @@ def _repeated(word: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 class References:
     languages: list[str]
     classes: np.ndarray
-    cell_of: np.ndarray
+    cells: np.ndarray
     words: np.ndarray
 
+    def cell_of(self, k: int) -> np.ndarray:
+        """Place of each cell among the common words of a language; all others share the last."""
+        out = np.full(CELLS, self.cells.shape[1])
+        out[self.cells[k]] = np.arange(self.cells.shape[1])
+        return out
+
 
 def references(docs: DataFrame, languages: int = 200, common: int = 64) -> References:
-    """Histograms of the most frequent languages over all their documents; of one size whatever the corpus."""
+    """Histograms of every language over all its documents; a task holds at most ``languages`` of them at a time."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    names = sorted(r["lang"] for r in top)
+    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     place = {x: k for k, x in enumerate(names)}
 
+    def packed(sums):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            names=["lang", "sums"],
+        )
+
     def gather(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -153,37 +164,47 @@ def references(docs: DataFrame, languages: int = 200, common: int = 64) -> Refer
                 w, own = words(run), at[run.lo : run.hi]
                 classes, cell = histograms(run, w)
                 for k in set(own.tolist()) - {-1}:
+                    if k not in sums and len(sums) >= languages:
+                        yield packed(sums)
+                        sums = {}
                     held = sums.setdefault(k, np.zeros(CLASSES + CELLS, np.int64))
                     held[:CLASSES] += classes[own == k].sum(axis=0)
                     held[CLASSES:] += np.bincount(cell[own[w.row] == k], minlength=CELLS)
         if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                names=["lang", "sums"],
-            )
+            yield packed(sums)
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(v, np.int64)
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                names=["lang", "sums"],
-            )
-
-    kind = "lang int, sums binary"
-    parts = known.select("text", "lang").mapInArrow(gather, kind).repartition("lang").mapInArrow(add, kind)
-    out = References(names, np.zeros((len(names), CLASSES)), np.full((len(names), CELLS), common), np.zeros((len(names), common + 1)))
-    # one row of CLASSES + CELLS counts per language
-    for r in parts.collect():
-        counts, k = np.frombuffer(r["sums"], np.int64), r["lang"]
+    def reference(k, counts):
+        """One row of a size that depends on ``common`` alone."""
         cells = counts[CLASSES:]
         full = np.argsort(-cells, kind="stable")[:common]
-        out.cell_of[k, full] = np.arange(len(full))
-        out.classes[k] = counts[:CLASSES] / max(1, counts[:CLASSES].sum())
-        out.words[k] = np.bincount(out.cell_of[k], weights=cells, minlength=common + 1) / max(1, cells.sum())
+        words = np.append(cells[full], cells.sum() - cells[full].sum()) / max(1, cells.sum())
+        values = [v.tobytes() for v in (counts[:CLASSES] / max(1, counts[:CLASSES].sum()), full.astype(np.int64), words)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k], pa.int32()), *[pa.array([v], pa.binary()) for v in values]], names=["lang", "classes", "cells", "words"]
+        )
+
+    def add(batches):
+        """Languages come one after another."""
+        at, sums = None, None
+        for batch in batches:
+            for i in range(len(batch)):
+                k, v = batch.column(0)[i].as_py(), np.frombuffer(batch.column(1)[i].as_py(), np.int64)
+                if k != at:
+                    if at is not None:
+                        yield reference(at, sums)
+                    at, sums = k, np.zeros(CLASSES + CELLS, np.int64)
+                sums += v
+        if at is not None:
+            yield reference(at, sums)
+
+    parts = known.select("text", "lang").mapInArrow(gather, "lang int, sums binary")
+    parts = parts.repartition("lang").sortWithinPartitions("lang")
+    found = parts.mapInArrow(add, "lang int, classes binary, cells binary, words binary").collect()
+    out = References(names, np.zeros((len(names), CLASSES)), np.zeros((len(names), common), np.int64), np.zeros((len(names), common + 1)))
+    for r in found:
+        k = r["lang"]
+        out.classes[k], out.words[k] = (np.frombuffer(r[c], np.float64) for c in ("classes", "words"))
+        out.cells[k] = np.frombuffer(r["cells"], np.int64)
     return out
 
 
@@ -208,7 +229,7 @@ def distances(s: Scan, ref: References) -> tuple[np.ndarray, np.ndarray, np.ndar
     which = np.full(n, -1)
     width = ref.words.shape[1]
     for k in range(len(ref.languages)):
-        counts = np.bincount(s.row * width + ref.cell_of[k][s.cell], minlength=n * width).reshape(n, width)
+        counts = np.bincount(s.row * width + ref.cell_of(k)[s.cell], minlength=n * width).reshape(n, width)
         a, b = js_distance(s.classes, ref.classes[k]), js_distance(counts, ref.words[k])
         better = a + b < best
         best[better], near[better], far[better], which[better] = (a + b)[better], a[better], b[better], k

@@ -41,3 +41,10 @@ def test_nothing_to_learn_from(spark):
     assert langid.fit(docs, F.lit(True)) is None
     assert langid.predict(docs, None).first()["lang_pred"] == "und"
     assert langid.predict(docs.limit(0), None).count() == 0
+
+
+def test_no_language_is_left_out_of_the_sample(spark):
+    rows = [(k, f"text {k}", f"l{k % 30}") for k in range(900)] + [(1000 + k, f"rare {k}", "rare") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [r["lang"] for r in langid.sample(docs, F.lit(True), 20, 5).collect()]
+    assert len(set(got)) == 31 and got.count("rare") == 3

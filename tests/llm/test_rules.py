@@ -78,3 +78,15 @@ def test_references_and_odd_rows(spark):
     empty = docs.limit(0)
     assert rules.judge(empty, rules.references(empty)).count() == 0
     assert rules.judge(docs, rules.references(empty)).filter("kept").count() == 0  # all fail the base rules
+
+
+def test_every_language_has_a_reference(spark):
+    texts = {k: " ".join(f"w{k}x{j % 7}" for j in range(100)) for k in range(230)}
+    rows = [(k, t, f"l{k:03}") for k, t in texts.items()] + [(1000 + k, texts[k], f"l{k:03}") for k in range(225)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ref = rules.references(docs)
+    assert ref.languages == [f"l{k:03}" for k in range(230)]
+    got = {r["doc_id"]: r for r in rules.judge(docs.select("doc_id", "text"), ref).collect()}
+    assert all(got[k]["nearest"] == f"l{k:03}" and got[k]["word_distance"] < 1e-6 for k in range(230))
+    few = rules.references(docs, languages=3)  # how many a task holds changes nothing
+    assert few.languages == ref.languages and np.allclose(few.words, ref.words) and (few.cells == ref.cells).all()
