@@ -87,7 +87,7 @@ def _classes_of(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, c (the class; null for the empty set) and signature of every row."""
+    """doc_id, n_shingles, c (the class; null for the empty set), signature and text hash t of every row."""
 
     def task(batches):
         for batch in batches:
@@ -102,12 +102,18 @@ def described(docs: DataFrame) -> DataFrame:
                     for k, own, values in zip(filled, _classes_of(h, begin), signatures(h, begin), strict=True):
                         c[k], sig[k] = own, values.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(run.lo, n), pa.array(count), pa.array(c, pa.binary()), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n_shingles", "c", "sig"],
+                    [batch.column(0).slice(run.lo, n), pa.array(count), pa.array(c, pa.binary()), pa.array(sig, pa.binary()),
+                     batch.column(2).slice(run.lo, n)],
+                    names=["doc_id", "n_shingles", "c", "sig", "t"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, n_shingles long, c binary, sig binary")
+    read = docs.select("doc_id", "text", _text_hash().alias("t"))
+    return read.mapInArrow(task, f"doc_id {kind}, n_shingles long, c binary, sig binary, t long")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _nodes(batches, key: str) -> Iterator[tuple[object, pa.RecordBatch]]:
@@ -304,6 +310,12 @@ def near_duplicates(
     depth: int = 3,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
+    rows = _judged(docs, percent, trees, branches, leaf, depth)
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _judged(docs: DataFrame, percent: int, trees: int, branches: int, leaf: int, depth: int) -> DataFrame:
+    """doc_id, n_shingles, t, c, component_id and first (the class that stands for the component) of every row."""
     share = percent / 100
     least = int(SIZE * share - 4 * (SIZE * share * (1 - share)) ** 0.5)
     rows = pin(described(docs), "described")
@@ -318,22 +330,51 @@ def near_duplicates(
     members = pin(reps.select("c", "rep", "n_shingles").join(clusters, "c"), "members")
     labels = components(pin(_links(docs, members, percent, least), "confirmed")).withColumnRenamed("v", "c")
     joined = reps.select("c", "rep").join(labels, "c")
-    smallest = joined.groupBy("label").agg(F.min("rep").alias("component_id"))
-    linked_classes = joined.join(smallest, "label").select("c", "component_id")
+    smallest = joined.groupBy("label").agg(F.min(F.struct("rep", "c")).alias("_least"))
+    linked_classes = joined.join(smallest, "label").select(
+        "c", F.col("_least.rep").alias("component_id"), F.col("_least.c").alias("first")
+    )
     found = reps.select("c", "rep").join(linked_classes, "c", "left").select(
-        F.col("c").alias("_c"), F.coalesce("component_id", "rep").alias("component_id")
+        F.col("c").alias("_c"), F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("first", "c").alias("first")
     )
     own = F.when(F.col("c").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return rows.join(found, F.col("c") == F.col("_c"), "left").select(
         "doc_id",
         "n_shingles",
+        "t",
+        "c",
         own.alias("component_id"),
-        F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
+        "first",
     )
 
 
-def dedup(docs: DataFrame, **options) -> DataFrame:
-    """The rows of the documents that are the smallest of their component, all columns."""
-    key = fresh("gone")
-    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
+def dedup(
+    docs: DataFrame,
+    percent: int = 85,
+    trees: int = 8,
+    branches: int = 2,
+    leaf: int = 2000,
+    depth: int = 3,
+) -> DataFrame:
+    """One row of each component, of the smallest id, and the rows that are in none; all columns.
+
+    Rows are told apart by id and text, so what is said of one text of an id
+    does not touch its others. Of rows with equal sets the smallest text hash
+    stays, of rows with equal id and text any one.
+    """
+    judged = _judged(docs, percent, trees, branches, leaf, depth).filter("doc_id is not null and c is not null")
+    texts = pin(judged.groupBy("doc_id", "t", "c", "component_id", "first").agg(F.count(F.lit(1)).alias("n")), "texts")
+    least = (
+        texts.filter("doc_id = component_id and c = first").groupBy("doc_id", "c").agg(F.min("t").alias("_t"))
+        .select(F.col("doc_id").alias("_id"), F.col("c").alias("_c"), "_t")
+    )
+    stays = (F.col("doc_id") == F.col("_id")) & (F.col("c") == F.col("_c")) & (F.col("t") == F.col("_t"))
+    key, text_hash = fresh("id"), fresh("hash")
+    named = lambda df: df.select(F.col("doc_id").alias(key), F.col("t").alias(text_hash))
+    same = (F.col("doc_id") == F.col(key)) & (_text_hash() == F.col(text_hash))
+    left = docs.join(named(texts.join(least, stays, "left_anti")), same, "left_anti")
+    again = named(texts.filter("n > 1").join(least, stays, "left_semi"))
+    if again.isEmpty():
+        return left
+    once = left.join(again, same).dropDuplicates([key, text_hash]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.join(again, same, "left_anti").unionByName(once)

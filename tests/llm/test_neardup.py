@@ -100,6 +100,16 @@ def test_odd_rows(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.dedup(docs.limit(0)).count() == 0
 
 
+def test_dedup_with_repeated_ids(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, "x y z"), (8, "x y z"), (8, "X y z"), (9, ""), (9, ""), (None, a), (None, a)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, kept string")
+    left = neardup.dedup(docs)
+    assert left.columns == docs.columns
+    got = sorted((str(r["doc_id"]), r["text"].lower()) for r in left.collect())
+    assert got == sorted([("3", a), ("5", b), ("8", "x y z"), ("9", ""), ("9", ""), ("None", a), ("None", a)])
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
