@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, toxicity
+from ..session import scratch_path
+from . import bpe, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, tokenfile, toxicity
 from .frames import held_out, text_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,10 @@ def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@registered
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    tokenfile.write(_documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return tokenfile.read(spark, folder, keep_ids=False)

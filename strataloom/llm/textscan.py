@@ -88,7 +88,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power(longest: int) -> np.ndarray:
+def power(longest: int) -> np.ndarray:
+    """Factors of the places of a span, at least ``longest`` of them."""
     global _powers
     if len(_powers) < longest:
         steps = np.full(max(longest, 1024), np.uint64(_STEP))
@@ -104,7 +105,7 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     length = end - start
     place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     at = place + np.repeat(start, length)
-    cells = (data[at].astype(np.uint64) + np.uint64(1)) * _power(int(length.max()))[place]
+    cells = (data[at].astype(np.uint64) + np.uint64(1)) * power(int(length.max()))[place]
     return mixed(np.add.reduceat(cells, np.cumsum(length) - length))
 
 
