@@ -19,9 +19,8 @@ to the list of exceptions after the packed bits, with their place (1 byte) and
 their value (4 bytes). The table of first bytes leads to any block without
 reading those before it (``ids_at``).
 
-Texts are encoded in pieces. A piece begins at a space between two characters
-that are no white space: the pattern of a byte-level vocabulary never joins
-what lies on both sides of that, so each distinct piece of a run of texts goes
+Texts are encoded in pieces, which end where the pattern of a byte-level
+vocabulary cuts for certain, so each distinct piece of a run of texts goes
 through the library once. Vocabularies of other kinds get whole texts.
 
 Defined cases: a null or empty text has only the end id; documents without an
@@ -47,6 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
+from .bpe import byte_letters
 from .textscan import Run, mixed, power, runs
 
 MARK = b"PFR1"
@@ -58,7 +58,8 @@ FILE_IDS = 1 << 22
 _PATCH = 5
 _BLOCKS_AT_ONCE = 2048
 
-KNOWN_PIECES = 150_000
+RUN_BYTES = 4 << 20
+KNOWN_PIECES = 250_000
 LONGEST_KNOWN = 64
 
 
@@ -199,21 +200,37 @@ class Encoder:
             for t in spec.get("added_tokens") or []
         )
         self.in_pieces = bool(plain and lone and spec["model"]["type"] == "BPE" and not spec.get("normalizer"))
+        self.special = [t["content"].encode() for t in spec.get("added_tokens") or []]
+        self.model = self.tokenizer.model
+        self.letters = str.maketrans({chr(b): c for c, b in byte_letters().items()})
         self.known: dict[bytes, tuple[int, ...]] = {}
         self.older: dict[bytes, tuple[int, ...]] = {}
 
-    def ids_of(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[tuple[int, ...]]:
+        """Ids of each piece. Words go to the library's merges directly, as they would be cut as they are."""
         if len(self.known) > KNOWN_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        found = [known.get(p) or older.get(p) for p in pieces]
-        new = [k for k, ids in enumerate(found) if ids is None]
-        done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in new], add_special_tokens=False) if new else []
-        for k, one in zip(new, done, strict=True):
-            found[k] = tuple(one.ids)
-        for p, ids in zip(pieces, found, strict=True):
-            if len(p) <= LONGEST_KNOWN:
-                known[p] = ids
+        found = [known.get(p) for p in pieces]
+        rest = []
+        for k, ids in enumerate(found):
+            if ids is None:
+                p = pieces[k]
+                ids = older.get(p)
+                if ids is None:
+                    if not words[k]:
+                        rest.append(k)
+                        continue
+                    ids = tuple([t.id for t in self.model.tokenize(p.decode("latin-1").translate(self.letters))])
+                found[k] = ids
+                if len(p) <= LONGEST_KNOWN:
+                    known[p] = ids
+        if rest:
+            done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in rest], add_special_tokens=False)
+            for k, one in zip(rest, done, strict=True):
+                found[k] = tuple(one.ids)
+                if len(pieces[k]) <= LONGEST_KNOWN:
+                    known[pieces[k]] = found[k]
         return found
 
     def encode(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
@@ -221,17 +238,22 @@ class Encoder:
         data, n_rows = run.data, run.hi - run.lo
         if len(data) == 0:
             return np.empty(0, np.int64), np.zeros(n_rows, np.int64)
+        body = data.tobytes()
         first = np.zeros(len(data) + 1, bool)
         first[run.offsets] = True
+        letter = np.zeros(len(data), bool)
         if self.in_pieces:
-            first[:-1] |= _spaces_between(data)
+            cut, letter = _cuts(data, any(s in body for s in self.special))
+            first[:-1] |= cut
         start = np.flatnonzero(first[:-1])
         end = np.append(start[1:], len(data))
+        letter[start] |= (data[start] == 32) & (end - start > 1)
+        word = np.logical_and.reduceat(letter, start)
         chosen, which = _distinct(data, start, end)
-        body = data.tobytes()
-        found = self.ids_of([body[a:b] for a, b in zip(start[chosen].tolist(), end[chosen].tolist(), strict=True)])
+        spans = zip(start[chosen].tolist(), end[chosen].tolist(), strict=True)
+        found = self.ids_of([body[a:b] for a, b in spans], word[chosen].tolist())
         size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
         each = size[which]
         at = np.repeat((np.cumsum(size) - size)[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
         row = np.searchsorted(run.offsets, start, side="right") - 1
@@ -239,14 +261,49 @@ class Encoder:
         return flat[at], counts
 
 
-def _spaces_between(data: np.ndarray) -> np.ndarray:
-    """Spaces beside which no white space can be: Unicode has it below U+0021 and where UTF-8 begins with C2, E1, E2 or E3."""
+#: Kinds of characters as the pattern of a byte-level vocabulary has them; 0 is any other.
+_LETTER, _DIGIT, _SIGN, _APOSTROPHE = 1, 2, 3, 4
+
+
+def _kind_table() -> np.ndarray:
+    kind = np.zeros(256, np.uint8)
+    kind[33:127] = _SIGN
+    kind[48:58] = _DIGIT
+    kind[65:91] = kind[97:123] = _LETTER
+    kind[ord("'")] = _APOSTROPHE
+    kind[0xC3] = _LETTER
+    return kind
+
+
+_KIND = _kind_table()
+
+
+def _cuts(data: np.ndarray, only_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes where the pattern cuts for certain, and the bytes of Latin letters.
+
+    It cuts before a space between two characters that are no white space
+    (Unicode has white space below U+0021 and where UTF-8 begins with C2, E1,
+    E2 or E3), and where letters, digits and signs of ASCII meet, but for a
+    letter after an apostrophe. Strings of special tokens may hold such places,
+    so where one occurs only spaces count.
+    """
     own = np.where((data & 0xC0) != 0x80, np.arange(len(data)), 0)
-    lead = data[np.maximum.accumulate(own)]
+    own = np.maximum.accumulate(own)
+    lead = data[own]
     solid = ((lead > 32) & (lead < 127)) | ((lead > 0xC2) & ((lead < 0xE1) | (lead > 0xE3)))
-    out = np.zeros(len(data), bool)
-    out[1:-1] = (data[1:-1] == 32) & solid[:-2] & solid[2:]
-    return out
+    kind = _KIND[lead]
+    # the signs of multiplication and division stand among the letters that begin with C3
+    odd = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    kind[odd] = kind[odd + 1] = 0
+    cut = np.zeros(len(data), bool)
+    cut[1:-1] = (data[1:-1] == 32) & solid[:-2] & solid[2:]
+    if not only_spaces:
+        before, after = kind[:-1], kind[1:]
+        cut[1:] |= (
+            (before > 0) & (after > 0) & (before != after) & ((before < _SIGN) | (after < _SIGN))
+            & ~((before == _APOSTROPHE) & (after == _LETTER))
+        )
+    return cut, kind == _LETTER
 
 
 def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,7 +313,7 @@ def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.
     pieces that share the hash but not the bytes stay on their own.
     """
     length = end - start
-    place = np.arange(len(data)) - np.repeat(start, length)
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(start.astype(np.int32), length)
     cells = (data.astype(np.uint64) + np.uint64(1)) * power(int(length.max()))[place]
     _, chosen, which = np.unique(mixed(np.add.reduceat(cells, start)), return_index=True, return_inverse=True)
     model = chosen[which]
@@ -293,7 +350,7 @@ def _files(batches: Iterator[pa.RecordBatch], coder: Encoder, end_id: int, file_
 
     for batch in batches:
         keys = batch.column(0)
-        for run in runs(batch):
+        for run in runs(batch, size=RUN_BYTES):
             flat, count = coder.encode(run)
             stops = np.cumsum(count)
             own = keys.slice(run.lo, run.hi - run.lo)
