@@ -38,6 +38,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -59,7 +60,7 @@ _PATCH = 5
 _BLOCKS_AT_ONCE = 2048
 
 RUN_BYTES = 4 << 20
-KNOWN_PIECES = 250_000
+KNOWN_PIECES = 1_000_000
 LONGEST_KNOWN = 64
 
 
@@ -203,34 +204,21 @@ class Encoder:
         self.special = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for c, b in byte_letters().items()})
-        self.known: dict[bytes, tuple[int, ...]] = {}
-        self.older: dict[bytes, tuple[int, ...]] = {}
+        self.known = Known()
 
-    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[tuple[int, ...]]:
+    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[list[int]]:
         """Ids of each piece. Words go to the library's merges directly, as they would be cut as they are."""
-        if len(self.known) > KNOWN_PIECES:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = [known.get(p) for p in pieces]
+        found: list[list[int]] = [[]] * len(pieces)
         rest = []
-        for k, ids in enumerate(found):
-            if ids is None:
-                p = pieces[k]
-                ids = older.get(p)
-                if ids is None:
-                    if not words[k]:
-                        rest.append(k)
-                        continue
-                    ids = tuple([t.id for t in self.model.tokenize(p.decode("latin-1").translate(self.letters))])
-                found[k] = ids
-                if len(p) <= LONGEST_KNOWN:
-                    known[p] = ids
+        for k, (piece, word) in enumerate(zip(pieces, words, strict=True)):
+            if word:
+                found[k] = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
+            else:
+                rest.append(k)
         if rest:
             done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in rest], add_special_tokens=False)
             for k, one in zip(rest, done, strict=True):
-                found[k] = tuple(one.ids)
-                if len(pieces[k]) <= LONGEST_KNOWN:
-                    known[pieces[k]] = found[k]
+                found[k] = one.ids
         return found
 
     def encode(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
@@ -249,13 +237,20 @@ class Encoder:
         end = np.append(start[1:], len(data))
         letter[start] |= (data[start] == 32) & (end - start > 1)
         word = np.logical_and.reduceat(letter, start)
-        chosen, which = _distinct(data, start, end)
-        spans = zip(start[chosen].tolist(), end[chosen].tolist(), strict=True)
-        found = self.ids_of([body[a:b] for a, b in spans], word[chosen].tolist())
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
+        spans = _distinct(data, start, end)
+        place, hit = self.known.find(spans, data)
+        new = np.flatnonzero(~hit)
+        lo, hi = start[spans.chosen[new]], end[spans.chosen[new]]
+        found = self.ids_of([body[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], word[spans.chosen[new]].tolist())
+        n_new = np.fromiter(map(len, found), np.int64, len(found))
+        new_flat = np.fromiter(chain.from_iterable(found), np.int32, int(n_new.sum()))
+        size, begin, which = np.empty(len(hit), np.int64), np.empty(len(hit), np.int64), spans.which
+        size[hit], begin[hit] = self.known.n[place[hit]], self.known.to[place[hit]]
+        size[new], begin[new] = n_new, len(self.known.flat) + np.cumsum(n_new) - n_new
+        flat = np.concatenate([self.known.flat, new_flat])
+        self.known.add(spans, new, data, n_new, new_flat)
         each = size[which]
-        at = np.repeat((np.cumsum(size) - size)[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
+        at = np.repeat(begin[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
         row = np.searchsorted(run.offsets, start, side="right") - 1
         counts = np.bincount(row, weights=each, minlength=n_rows).astype(np.int64)
         return flat[at], counts
@@ -306,16 +301,31 @@ def _cuts(data: np.ndarray, only_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
     return cut, kind == _LETTER
 
 
-def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each distinct piece, and for every piece the number of its place.
+@dataclass
+class Spans:
+    """Distinct pieces of a run: their hashes in order, one place of each and the place of every piece among them.
 
-    Pieces lie side by side over all of ``data``. They are sorted by a hash;
-    pieces that share the hash but not the bytes stay on their own.
+    Pieces whose hash but not whose bytes agree with another one come last and have no hash.
     """
+
+    hashes: np.ndarray
+    chosen: np.ndarray
+    which: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+
+
+def _steps(length: np.ndarray) -> np.ndarray:
+    """0, 1, … of each span, one after the other."""
+    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+
+
+def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Spans:
+    """Pieces lie side by side over all of ``data``; hashes sort them, bytes decide."""
     length = end - start
     place = np.arange(len(data), dtype=np.int32) - np.repeat(start.astype(np.int32), length)
     cells = (data.astype(np.uint64) + np.uint64(1)) * power(int(length.max()))[place]
-    _, chosen, which = np.unique(mixed(np.add.reduceat(cells, start)), return_index=True, return_inverse=True)
+    hashes, chosen, which = np.unique(mixed(np.add.reduceat(cells, start)), return_index=True, return_inverse=True)
     model = chosen[which]
     same = length == length[model]
     there = np.repeat(np.where(same, start[model], 0), length) + place
@@ -325,7 +335,51 @@ def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.
     if len(odd):
         which[odd] = len(chosen) + np.arange(len(odd))
         chosen = np.concatenate([chosen, odd])
-    return chosen, which
+    return Spans(hashes, chosen, which, start[chosen], length[chosen])
+
+
+class Known:
+    """Ids of pieces met before: columns sorted by hash beside the pieces' bytes and ids."""
+
+    def __init__(self):
+        self.hash = np.empty(0, np.uint64)
+        self.length, self.at, self.n, self.to = (np.empty(0, np.int64) for _ in range(4))
+        self.text, self.flat = np.empty(0, np.uint8), np.empty(0, np.int32)
+
+    def find(self, spans: Spans, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each distinct piece and whether it is there, byte for byte."""
+        hit = np.zeros(len(spans.chosen), bool)
+        place = np.zeros(len(spans.chosen), np.int64)
+        if len(self.hash):
+            n = len(spans.hashes)
+            place[:n] = np.minimum(np.searchsorted(self.hash, spans.hashes), len(self.hash) - 1)
+            hit[:n] = (self.hash[place[:n]] == spans.hashes) & (self.length[place[:n]] == spans.length[:n])
+            own = np.flatnonzero(hit)
+            if len(own):
+                length = spans.length[own]
+                step = _steps(length)
+                same = data[np.repeat(spans.start[own], length) + step] == self.text[np.repeat(self.at[place[own]], length) + step]
+                hit[own] = np.logical_and.reduceat(same, np.cumsum(length) - length)
+        return place, hit
+
+    def add(self, spans: Spans, new: np.ndarray, data: np.ndarray, n_new: np.ndarray, ids: np.ndarray) -> None:
+        fit = (new < len(spans.hashes)) & (spans.length[new] <= LONGEST_KNOWN)
+        if not fit.any():
+            return
+        if len(self.hash) + len(new) > KNOWN_PIECES:
+            self.__init__()
+        own, begin = new[fit], (np.cumsum(n_new) - n_new)[fit]
+        length, n = spans.length[own], n_new[fit]
+        text = data[np.repeat(spans.start[own], length) + _steps(length)]
+        flat = ids[np.repeat(begin, n) + _steps(n)]
+        columns = {
+            "hash": spans.hashes[own], "length": length, "at": len(self.text) + np.cumsum(length) - length,
+            "n": n, "to": len(self.flat) + np.cumsum(n) - n,
+        }
+        order = np.argsort(np.concatenate([self.hash, columns["hash"]]), kind="stable")
+        for name, values in columns.items():
+            setattr(self, name, np.concatenate([getattr(self, name), values])[order])
+        self.text, self.flat = np.concatenate([self.text, text]), np.concatenate([self.flat, flat])
 
 
 _encoders: dict[str, Encoder] = {}
