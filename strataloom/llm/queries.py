@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, tokenfile, toxicity
+from . import (
+    bpe, divergence, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, spelling, tokenfile, toxicity,
+)
 from .frames import held_out, text_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +184,85 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     tokenfile.write(_documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return tokenfile.read(spark, folder, keep_ids=False)
+
+
+@registered
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir).select("lang", "source", "text"))
+
+
+SQL["op11_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+         translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+found AS (
+  SELECT d, lang, source, UNNEST(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, COUNT(*) AS n FROM found GROUP BY ALL),
+kept AS (SELECT lang, term, COUNT(*) AS n FROM found GROUP BY ALL HAVING COUNT(DISTINCT d) >= 10),
+langs AS (SELECT lang, COUNT(*) AS v, SUM(n) AS total FROM kept GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT s.lang, s.source, k.term, COALESCE(c.n, 0) AS n, k.n AS lang_n
+  FROM sources s JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+priced AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (SUM(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+         1 + (1000000000 * (lang_n + 2)) // (total + 2 * v) AS q
+  FROM cells JOIN langs USING (lang)),
+pairs AS (
+  SELECT s.lang, s.source, t.source AS item, COALESCE(f, 0) AS value
+  FROM sources s JOIN sources t ON t.lang = s.lang AND t.source <> s.source
+  LEFT JOIN (SELECT a.lang, a.source AS x, b.source AS y, SUM(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS f
+             FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) z
+  ON z.lang = s.lang AND x = s.source AND y = t.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+  WHERE rank <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked"""
+
+
+@registered
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM (SELECT UNNEST(range(256)) AS b))),
+runs AS (
+  SELECT doc_id, run, COUNT(*) AS k FROM (
+    SELECT doc_id, UNNEST(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           flatten(list_transform(string_split(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c)::BIGINT // 64, 128 + unicode(c)::BIGINT % 64] END))),
+           lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) AS h
+  FROM runs, crc),
+words AS (
+  SELECT word, CAST(SUM(k) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+  WHERE length(word) >= 5 GROUP BY 1 HAVING SUM(k) >= 3),
+less AS (
+  SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS cut
+  FROM (SELECT word, n, UNNEST(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS x, b.word AS y, b.n AS m FROM less a JOIN less b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.cut = b.word),
+best AS (
+  SELECT x, COUNT(*) AS n_near, arg_min(y, ROW(-m, y)) AS y, MAX(m) AS m FROM pairs GROUP BY x),
+formed AS (
+  SELECT word, n, COALESCE(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN y END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN best ON x = word),
+walk(word, stop) AS (
+  SELECT word, word FROM formed UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.stop WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.stop FROM walk w JOIN formed f ON f.word = w.stop WHERE f.form IS NULL)
+SELECT f.word, form, stop AS root, n, n_near, form_n FROM formed f JOIN ends e ON e.word = f.word"""
