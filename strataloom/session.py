@@ -119,3 +119,21 @@ def pin(df: DataFrame, label: str = "pin") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def pin_bucketed(df: DataFrame, by: str, label: str, buckets: int, observed=None) -> DataFrame:
+    """Write ``df`` once, dealt into buckets of ``by``, and read it back.
+
+    Joins and aggregations on ``by`` with as many shuffle partitions need no
+    exchange. Only a catalog knows buckets: the table is named there while it is
+    written and the name is dropped at once, the files are those of ``pin``.
+    ``observed`` is an Observation and its aggregates, filled by the write.
+    """
+    spark = df.sparkSession
+    path, name = scratch_path(spark, label), f"pinned_{uuid.uuid4().hex}"
+    if observed is not None:
+        df = df.observe(observed[0], *observed[1])
+    df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
