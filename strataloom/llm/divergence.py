@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from ..operators.ranking import number_rows
 from ..session import pin
 
-#: After A-Z are lower-cased: runs of ASCII letters and all that is beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Terms are what lies between: runs of ASCII letters and all that is beyond ASCII.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 FEWEST_DOCUMENTS = 10
 TOP_TERMS = 10
 DEPTH = 9
@@ -56,11 +56,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
         F.coalesce("lang", empty).alias("lang"), F.coalesce("source", empty).alias("source"),
         F.translate(F.coalesce("text", empty), ascii_uppercase, ascii_lowercase).alias("text"),
     )
-    ordered = texts.select("lang", "source", F.array_sort(F.regexp_extract_all("text", F.lit(TERM), 0)).alias("terms"))
-    first = lambda x, k: (k == 0) | (x != F.get("terms", k - 1))
-    marked = F.transform("terms", lambda x, k: F.struct(x.alias("term"), F.when(first(x, k), 1).otherwise(0).alias("first")))
-    each = ordered.select("lang", "source", F.explode(marked).alias("t")).select("lang", "source", "t.term", "t.first")
-    return each.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("d"))
+    # in order, a term is new to its document where the one before is another
+    ordered = texts.select("lang", "source", F.sort_array(F.split("text", BETWEEN)).alias("terms"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("terms", F.lit(1), F.size("terms") - 1))
+    each = ordered.select("lang", "source", F.inline(F.arrays_zip("terms", before))).toDF("lang", "source", "term", "before")
+    new = F.when(F.col("term").eqNullSafe(F.col("before")), 0).otherwise(1)
+    return each.filter("term <> ''").groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.sum(new).alias("d"))
 
 
 def price(count: Column, total: Column, terms: Column) -> Column:
