@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ..session import pin
 from .timeline import Cuts, Timeline, find_cuts
@@ -31,8 +32,10 @@ def as_of(
     last version before it, or with ``direction="forward"`` the first one after
     it. A version at the very time of a fact counts unless ``strict``. No pair
     of fact and version is formed, so a key with many facts and many versions
-    stays linear. Versions of a key must not overlap. ``cuts`` may come from a
-    cheaper table, as for ``Timeline``; forward joins find their own.
+    stays linear, and facts at one time may go to several tasks. Versions of a
+    key must not overlap. ``cuts`` may come from a cheaper table, as for
+    ``Timeline``, of which the first order column counts; forward joins find
+    their own.
     """
     if direction not in ("backward", "forward"):
         raise ValueError("direction is backward or forward")
@@ -49,19 +52,25 @@ def as_of(
     carried = [*held, *[c for c in take if c not in held]]
     # at equal times the smaller kind is seen first
     fact_kind, version_kind = (0, 1) if strict else (1, 0)
+    # facts at one time need no order among them, as they have no version to give; a hash deals them out
+    plain = [f.name for f in facts.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
     left = facts.select(
-        *keys, axis(at).alias("_at"), F.lit(fact_kind).alias("_kind"), F.struct(*facts.columns).alias("_fact")
+        *keys, axis(at).alias("_at"), F.lit(fact_kind).alias("_kind"), F.xxhash64(*plain).alias("_tie"),
+        F.struct(*facts.columns).alias("_fact"),
     )
     right = versions.select(
-        *keys, axis(valid_from).alias("_at"), F.lit(version_kind).alias("_kind"), F.struct(*carried).alias("_version")
+        *keys, axis(valid_from).alias("_at"), F.lit(version_kind).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"),
+        F.struct(*carried).alias("_version"),
     )
     line = left.unionByName(right, allowMissingColumns=True)
     if cuts is None:
-        both = left.select(*keys, "_at").unionByName(right.select(*keys, "_at"))
-        cuts = find_cuts(both, keys, "_at", hot_rows)
-    # facts at one time need no order among them: they have no version to give
+        order = ["_at", "_kind", "_tie"]
+        both = left.select(*keys, *order).unionByName(right.select(*keys, *order))
+        cuts = find_cuts(both, keys, order, hot_rows)
+    else:
+        cuts = cuts.prefix(1)
     filled = (
-        Timeline(line, keys, ["_at", "_kind"], cuts=cuts)
+        Timeline(line, keys, ["_at", "_kind", "_tie"], cuts=cuts)
         .latest(_version=F.col("_version"))
         .rows.filter(F.col("_kind") == fact_kind)
     )

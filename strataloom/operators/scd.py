@@ -31,7 +31,7 @@ def changes_only(
     previous = {
         f"_was_{c}": (lambda w, c=c: F.lag(c).over(w)) for c in tracked
     }
-    walked = Timeline(df, keys, order, cuts=cuts).near(
+    walked = Timeline(df, keys, order, cuts=cuts and cuts.prefix(1)).near(
         before=1, _first=lambda w: F.lag(F.lit(1)).over(w).isNull(), **previous
     )
     moved = F.col("_first")
@@ -53,7 +53,7 @@ def build_history(
         return F.lead(valid_from).over(w)
 
     return (
-        Timeline(versions, keys, [valid_from, *tie], cuts=cuts)
+        Timeline(versions, keys, [valid_from, *tie], cuts=cuts and cuts.prefix(1))
         .near(after=1, valid_to=following)
         .rows.withColumn("is_current", F.col("valid_to").isNull())
     )

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -29,27 +30,40 @@ HOT_ROWS = 1_000_000
 _PIECE = "_piece"
 
 
+#: Rows of a hot key that are looked at for each of its pieces.
+SAMPLED = 200
+
+
 @dataclass(frozen=True)
 class Cuts:
-    """Cut points of the hot keys: columns of the key and ``_cuts``; no table if no key is hot."""
+    """Cut points of the hot keys: columns of the key and ``_cuts``, structs of the leading order
+    columns, whose types are ``types``; no table if no key is hot."""
 
     table: DataFrame | None
-    type: DataType | None = None
+    types: tuple[DataType, ...] = ()
 
     def renamed(self, old: str, new: str) -> Cuts:
         """The same cuts for a table that names the key differently."""
-        return Cuts(None if self.table is None else self.table.withColumnRenamed(old, new), self.type)
+        return Cuts(None if self.table is None else self.table.withColumnRenamed(old, new), self.types)
+
+    def prefix(self, depth: int) -> Cuts:
+        """Cuts by the first order columns only, for a table that has no others in common."""
+        if self.table is None or depth >= len(self.types):
+            return self
+        shorter = F.transform("_cuts", lambda c: F.struct(*[c[f"_{k}"].alias(f"_{k}") for k in range(depth)]))
+        return Cuts(self.table.withColumn("_cuts", shorter), self.types[:depth])
 
 
 class Timeline:
     """Rows of ``df`` per ``keys`` in the order of ``order``.
 
-    ``order[0]`` must be numeric, a date or a timestamp; the whole list must
-    order the rows of a key uniquely. Key sizes are counted from ``profile``, a
-    cheaper table with the same keys and order column, such as the plain scan
-    the rows come from; ``cuts`` takes the finished result of ``find_cuts`` so
-    that several timelines over one key share the count. Keys with at most
-    ``hot_rows`` rows are never cut.
+    ``order`` must order the rows of a key uniquely. Keys are cut between any
+    two rows, also where the first order columns agree. Key sizes are counted
+    from ``profile``, a cheaper table with the same keys and order columns, such
+    as the plain scan the rows come from; where it has the first ones only, rows
+    that agree in these stay together. ``cuts`` takes the finished result of
+    ``find_cuts`` so that several timelines over one key share the count. Keys
+    with at most ``hot_rows`` rows are never cut.
     """
 
     def __init__(
@@ -64,14 +78,15 @@ class Timeline:
         self.keys = list(keys)
         self.order = list(order)
         if cuts is None:
-            cuts = find_cuts(df if profile is None else profile, self.keys, self.order[0], hot_rows)
+            cuts = find_cuts(df if profile is None else profile, self.keys, self.order, hot_rows)
+        cuts = cuts.prefix(len(self.order))
         self.split = cuts.table is not None
         if cuts.table is None:
             self._rows = df.withColumn(_PIECE, F.lit(0))
         else:
             # at most one row per shuffle partition
             joined = df.join(F.broadcast(cuts.table), self.keys, "left")
-            self._rows = joined.withColumn(_PIECE, _piece_of(self.order[0], cuts.type)).drop("_cuts")
+            self._rows = joined.withColumn(_PIECE, _piece_of(self.order, cuts.types)).drop("_cuts")
 
     @classmethod
     def _with(cls, base: "Timeline", rows: DataFrame) -> "Timeline":
@@ -208,15 +223,19 @@ class Timeline:
         return self._with(self, out)
 
 
-def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = None) -> Cuts:
-    """Cut points per hot key.
+def find_cuts(
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], hot_rows: int | None = None
+) -> Cuts:
+    """Cut points per hot key, by those leading columns of ``order`` that ``df`` has.
 
     Only the ``width`` largest keys can hold more than 1/width of the rows, so
     looking at these is enough, and the list collected here has at most
     ``width`` entries. The pieces of all keys together number at most
-    ``2 * width``.
+    ``2 * width``, and SAMPLED rows for each are sorted to find the cuts.
+    Results do not depend on which rows these are.
     """
     hot_rows = hot_rows or HOT_ROWS
+    order = [order] if isinstance(order, str) else list(takewhile(lambda c: c in df.columns, order))
     spark = df.sparkSession
     width = shuffle_width(spark)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -225,39 +244,36 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | No
     if not hot:
         return Cuts(None)
     total = sum(r["_n"] for r in hot)
-    pieces = [
-        (*[r[k] for k in keys], max(2, min(-(-r["_n"] // hot_rows), -(-width * r["_n"] // total))))
-        for r in hot
-    ]
-    schema = df.select(*keys).schema.add("_pieces", "integer")
-    hot_df = spark.createDataFrame(pieces, schema)
-    shares = [i / width for i in range(1, width)]
-    quantiles = (
-        df.select(*keys, order)
-        .join(F.broadcast(hot_df), list(keys))
+    pieces = [max(2, min(-(-r["_n"] // hot_rows), -(-width * r["_n"] // total))) for r in hot]
+    found = [(*[r[k] for k in keys], p, min(1.0, SAMPLED * p / r["_n"])) for r, p in zip(hot, pieces, strict=True)]
+    schema = df.select(*keys).schema.add("_pieces", "integer").add("_share", "double")
+    at = F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate(order)])
+    sampled = (
+        df.select(*keys, at.alias("_at"))
+        .join(F.broadcast(spark.createDataFrame(found, schema)), list(keys))
+        .filter(F.rand(17) < F.col("_share"))
         .groupBy(*keys, "_pieces")
-        .agg(F.percentile_approx(order, shares, 100 * width).alias("_all"))
+        .agg(F.array_sort(F.collect_list("_at")).alias("_all"))
     )
     picked = F.transform(
         F.sequence(F.lit(1), F.col("_pieces") - 1),
-        lambda i: F.element_at("_all", F.ceil(i * F.lit(width) / F.col("_pieces")).cast("int")),
+        lambda i: F.element_at("_all", F.greatest(F.lit(1), F.ceil(i * F.size("_all") / F.col("_pieces"))).cast("int")),
     )
-    cut_df = quantiles.select(*keys, picked.alias("_cuts"))
+    cut_df = sampled.select(*keys, picked.alias("_cuts"))
     table = spark.createDataFrame(cut_df.collect(), cut_df.schema)
-    return Cuts(table, df.schema[order].dataType)
+    return Cuts(table, tuple(df.schema[c].dataType for c in order))
 
 
-def _piece_of(order: str, kind: DataType) -> Column:
-    """1 + number of cuts not above the value, by bisection; 0 where the key has no cuts."""
+def _piece_of(order: Sequence[str], types: Sequence[DataType]) -> Column:
+    """1 + number of cuts not above the row, by bisection; 0 where the key has no cuts."""
+    own = F.struct(*[F.col(c).cast(kind).alias(f"_{k}") for k, (c, kind) in enumerate(zip(order, types))])
     steps = F.array(*[F.lit(1 << b) for b in range(20, -1, -1)])
     size = F.size("_cuts")
     found = F.aggregate(
         steps,
         F.lit(0),
         lambda at, step: F.when(
-            (at + step <= size)
-            & (F.element_at("_cuts", F.least(at + step, size)) <= F.col(order).cast(kind)),
-            at + step,
+            (at + step <= size) & (F.element_at("_cuts", F.least(at + step, size)) <= own), at + step
         ).otherwise(at),
     )
     return F.when(F.col("_cuts").isNull(), 0).when(size == 0, 1).otherwise(1 + found)

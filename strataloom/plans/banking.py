@@ -41,7 +41,7 @@ def score_transactions(
         once,
         ["account_id"],
         ["transaction_date", "transaction_id"],
-        profile=transactions.select("account_id", "transaction_date"),
+        profile=transactions.select("account_id", "transaction_date", "transaction_id"),
     ).near(
         before=burst_rows - 1,
         prev_amount=lambda w: F.lag("amount").over(w),

@@ -59,7 +59,8 @@ def smooth_readings(readings: DataFrame, rows: int = 5, sigmas: float = 2.0) ->
         return w.rowsBetween(-(rows - 1), 0)
 
     line = Timeline(
-        readings, ["sensor_id"], ["reading_time", "reading_id"], profile=readings.select("sensor_id", "reading_time")
+        readings, ["sensor_id"], ["reading_time", "reading_id"],
+        profile=readings.select("sensor_id", "reading_time", "reading_id"),
     ).near(
         before=rows - 1,
         _sum=lambda w: F.sum(amount("value")).over(frame(w)),
@@ -223,7 +224,9 @@ SELECT reading_id, sensor_id, value, prev_value, next_value FROM x WHERE anomaly
 def _(t: Tables) -> DataFrame:
     line = Timeline(
         smoothed_events(t), ["sensor_id"], ["reading_time", "reading_id"],
-        profile=t.events.select(F.col("user_id").alias("sensor_id"), F.col("ts").alias("reading_time")),
+        profile=t.events.select(
+            F.col("user_id").alias("sensor_id"), F.col("ts").alias("reading_time"), F.col("event_id").alias("reading_id")
+        ),
     ).near(before=1, after=1, prev_value=lambda w: F.lag("value").over(w), next_value=lambda w: F.lead("value").over(w))
     return line.rows.filter("anomaly").select("reading_id", "sensor_id", "value", "prev_value", "next_value")
 

@@ -23,7 +23,8 @@ def clean_admissions(raw: DataFrame, within_days: int = 30) -> DataFrame:
     once = first_row(raw, ["record_id"], [F.col("ingested_at")])
     stays = once.withColumn("los_days", days_between("discharge_date", "admission_date"))
     line = Timeline(
-        stays, ["patient_id"], ["admission_date", "record_id"], profile=raw.select("patient_id", "admission_date")
+        stays, ["patient_id"], ["admission_date", "record_id"],
+        profile=raw.select("patient_id", "admission_date", "record_id"),
     ).near(before=1, prev_discharge=lambda w: F.lag("discharge_date").over(w))
     since = days_between("admission_date", "prev_discharge")
     return line.rows.withColumn("days_since_discharge", since).withColumn(

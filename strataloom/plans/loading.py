@@ -98,7 +98,7 @@ def _(t: Tables) -> DataFrame:
     both = rows_of_touched(stored, arrived, ["user_id"]).withColumn("is_new", F.lit(False)).unionByName(
         arrived.withColumn("is_new", F.lit(True))
     )
-    line = Timeline(both, ["user_id"], ["ts", "event_id"], profile=t.events.select("user_id", "ts"))
+    line = Timeline(both, ["user_id"], ["ts", "event_id"], profile=t.events.select("user_id", "ts", "event_id"))
     rows = line.near(before=1, prev=lambda w: F.lag("ts").over(w)).rows.filter("is_new")
     return rows.select("event_id", "user_id", rounded(seconds_between("ts", "prev"), 3).alias("seconds_since_prev"))
 

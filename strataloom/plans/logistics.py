@@ -17,7 +17,7 @@ from .sqltext import d, m, n, pct, r, ratio as sql_ratio, sec
 def shipment_timelines(events: DataFrame) -> DataFrame:
     """Latest and previous status, hours in the last stage and in total, per shipment."""
     line = Timeline(
-        events, ["shipment_id"], ["event_time", "event_id"], profile=events.select("shipment_id", "event_time")
+        events, ["shipment_id"], ["event_time", "event_id"], profile=events.select("shipment_id", "event_time", "event_id")
     ).near(
         before=1, _status=lambda w: F.lag("event_type").over(w), _time=lambda w: F.lag("event_time").over(w)
     )

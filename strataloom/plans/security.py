@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import flag_sum, percent, ratio
 from ..functions.temporal import micros, truncated
-from ..operators.aggregates import share_of_total, top_category
+from ..operators.aggregates import flag_first, share_of_total, top_category
 from ..operators.ranking import surrogate_keys
 from ..operators.sessions import first_per_bucket, number_sessions
 from ..session import pin
@@ -61,15 +61,24 @@ def correlate_incidents(
     numbered = number_sessions(
         alerts, ["source_ip"], "detected_at", gap_minutes * 60, ["alert_id"], name="incident_no", profile=profile
     )
-    worst = F.struct(-F.col("severity_score"), F.col("detected_at"), F.col("alert_id"))
-    grouped = numbered.groupBy("source_ip", "incident_no").agg(
-        F.min_by(F.struct("target_host", "rule_id", "severity"), worst).alias("_worst"),
-        F.min("detected_at").alias("first_detected_at"),
-        F.max("detected_at").alias("last_detected_at"),
-        F.max("severity_score").alias("max_severity_score"),
-        F.count(F.lit(1)).alias("alert_count"),
-        F.count_distinct("target_host").alias("distinct_targets"),
-        F.count_distinct("rule_id").alias("distinct_rules"),
+    key, seen = ["source_ip", "incident_no"], ["target_host", "rule_id"]
+    rank = F.struct((-F.col("severity_score")).alias("s"), "detected_at", "alert_id", "severity")
+    pairs = numbered.groupBy(*key, *seen).agg(
+        F.min(rank).alias("_rank"),
+        F.min("detected_at").alias("_first"),
+        F.max("detected_at").alias("_last"),
+        F.max("severity_score").alias("_score"),
+        F.count(F.lit(1)).alias("_alerts"),
+    )
+    flagged = flag_first(pairs, key, {"_target": "target_host", "_rule": "rule_id"}, seen)
+    grouped = flagged.groupBy(*key).agg(
+        F.min_by(F.struct("target_host", "rule_id", "_rank.severity"), F.col("_rank")).alias("_worst"),
+        F.min("_first").alias("first_detected_at"),
+        F.max("_last").alias("last_detected_at"),
+        F.max("_score").alias("max_severity_score"),
+        F.sum("_alerts").alias("alert_count"),
+        F.sum("_target").alias("distinct_targets"),
+        F.sum("_rule").alias("distinct_rules"),
     )
     minutes = F.floor((micros("last_detected_at") - micros("first_detected_at")) / F.lit(60000000))
     return grouped.select(
@@ -101,9 +110,7 @@ def incident_status(score: Column, known_bad: Column) -> Column:
 def enrich_incidents(incidents: DataFrame, intel: DataFrame, rules: DataFrame) -> DataFrame:
     """Threat score of the address, technique of the rule, combined risk and status."""
     joined = incidents.join(intel, incidents["source_ip"] == intel["ip_address"], "left").join(
-        F.broadcast(rules.select("rule_id", "technique", "tactic")),  # twelve fixed rows
-        F.col("primary_rule_id") == F.col("rule_id"),
-        "left",
+        rules.select("rule_id", "technique", "tactic"), F.col("primary_rule_id") == F.col("rule_id"), "left"
     )
     threat = F.coalesce("threat_score", F.lit(0))
     bad = F.coalesce("is_known_bad", F.lit(False))
@@ -174,7 +181,7 @@ def host_dim(alerts: DataFrame) -> DataFrame:
 
 def rule_dim(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     used = alerts.select("rule_id").distinct().join(
-        F.broadcast(rules.select("rule_id", "rule_name", "category")), "rule_id", "left"
+        rules.select("rule_id", "rule_name", "category"), "rule_id", "left"
     )
     named = used.select(
         "rule_id",
@@ -243,7 +250,9 @@ def customer_intel(t: Tables) -> DataFrame:
 
 
 def event_incidents(t: Tables) -> DataFrame:
-    scan = t.events.select(address("user_id").alias("source_ip"), F.col("ts").alias("detected_at"))
+    scan = t.events.select(
+        address("user_id").alias("source_ip"), F.col("ts").alias("detected_at"), F.col("event_id").alias("alert_id")
+    )
     return correlate_incidents(dedupe_alerts(event_alerts(t)), gap_minutes=720, profile=scan)
 
 

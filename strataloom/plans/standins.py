@@ -18,8 +18,9 @@ TIERS = ("basic", "plus", "prime")
 
 
 def account_cuts(t: Tables, key: str = "account_id") -> Cuts:
-    """Cuts of customers with very many orders, counted on two columns of the orders."""
-    return find_cuts(t.orders.select(F.col("o_custkey").alias(key), "o_orderdate"), [key], "o_orderdate")
+    """Cuts of customers with very many orders, by date and number of the order."""
+    orders = t.orders.select(F.col("o_custkey").alias(key), "o_orderdate", "o_orderkey")
+    return find_cuts(orders, [key], ["o_orderdate", "o_orderkey"])
 
 
 def tier_steps(t: Tables, cuts: Cuts | None = None) -> DataFrame:

@@ -69,6 +69,28 @@ def shipment_tracking(events: DataFrame) -> DataFrame:
     return marks.withColumn("transit_hours", rounded(hours, 2))
 
 
+def lifecycle(orders: DataFrame, movements: DataFrame, references: DataFrame, tracking: DataFrame) -> DataFrame:
+    """Purchase orders with the first shipment that left their warehouse after the receipt, and how that fared.
+
+    ``references`` leads from the order of a shipment's movement to the shipment
+    and its carrier. Of several movements at one time the smallest order counts.
+    """
+    ships = movements.filter("movement_type = 'ship'").groupBy("warehouse_id", "sku", F.col("moved_at").alias("next_ship")).agg(
+        F.min("l_orderkey").alias("shipment_order")
+    )
+    placed = as_of(
+        orders, ships, ["warehouse_id", "sku"], "received_at", "next_ship", None, ["next_ship", "shipment_order"], how="left",
+        direction="forward", strict=True,
+    )
+    fared = tracking.select("shipment_id", "current_status", "transit_hours", "has_exception")
+    joined = placed.join(references, F.col("shipment_order") == F.col("reference"), "left").join(fared, "shipment_id", "left")
+    return joined.select(
+        "l_orderkey", "l_suppkey", "sku", "fill_rate", "on_time", "received_at", "next_ship",
+        days_between("next_ship", "received_at").alias("days_on_shelf"), "shipment_order", "shipment_id", "carrier_id",
+        F.col("current_status").alias("shipment_status"), "transit_hours", F.col("has_exception").alias("shipment_exception"),
+    )
+
+
 def demand_signals(sales: DataFrame, store_map: DataFrame, stock: DataFrame) -> DataFrame:
     """Net demand, moving average over seven rows and stock-out risk at the nearest warehouse.
 
@@ -436,13 +458,20 @@ def tracking_events(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "tracking_pivot",
-    f"""WITH e AS (SELECT event_id, user_id, ts, CASE event_type WHEN 'signup' THEN 'dispatched' WHEN 'purchase' THEN 'delivered' WHEN 'error' THEN 'exception' WHEN 'click' THEN 'customs_hold' ELSE 'in_transit' END AS k FROM events),
+def order_references(t: Tables) -> DataFrame:
+    """The shipment that carries an order: one per customer, by the carrier of its priority."""
+    return t.orders.select(
+        F.col("o_orderkey").alias("reference"), F.col("o_custkey").alias("shipment_id"), F.col("o_orderpriority").alias("carrier_id")
+    )
+
+
+TRACK_SQL = f"""e AS (SELECT event_id, user_id, ts, CASE event_type WHEN 'signup' THEN 'dispatched' WHEN 'purchase' THEN 'delivered' WHEN 'error' THEN 'exception' WHEN 'click' THEN 'customs_hold' ELSE 'in_transit' END AS k FROM events),
 a AS (SELECT user_id AS shipment_id, arg_max(k, ROW(ts, event_id)) AS current_status, COUNT(*) AS total_events, bool_or(k = 'exception') AS has_exception, bool_or(k = 'customs_hold') AS has_customs_hold,
-  MIN(CASE WHEN k = 'dispatched' THEN ts END) AS dispatched_at, MAX(CASE WHEN k = 'delivered' THEN ts END) AS delivered_at FROM e GROUP BY 1)
-SELECT *, {r(sec('delivered_at', 'dispatched_at') + ' / 3600', 2)} AS transit_hours FROM a""",
-)
+  MIN(CASE WHEN k = 'dispatched' THEN ts END) AS dispatched_at, MAX(CASE WHEN k = 'delivered' THEN ts END) AS delivered_at FROM e GROUP BY 1),
+track AS (SELECT *, {r(sec('delivered_at', 'dispatched_at') + ' / 3600', 2)} AS transit_hours FROM a)"""
+
+
+@query("tracking_pivot", f"WITH {TRACK_SQL} SELECT * FROM track")
 def _(t: Tables) -> DataFrame:
     return shipment_tracking(tracking_events(t))
 
@@ -450,23 +479,17 @@ def _(t: Tables) -> DataFrame:
 @query(
     "lifecycle_fact",
     f"""WITH {PO_SQL},
-g AS (SELECT DISTINCT warehouse_id, sku, l_shipdate FROM moves WHERE kind = 'ship'),
-x AS (SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, MIN(g.l_shipdate) AS next_ship FROM ful JOIN g ON g.warehouse_id = ful.warehouse_id AND g.sku = ful.sku AND g.l_shipdate > ful.received_at GROUP BY 1, 2, 3)
-SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, fill_rate, on_time, received_at, next_ship, {n("date_diff('day', received_at, next_ship)")} AS days_on_shelf FROM ful LEFT JOIN x USING (l_orderkey, l_suppkey, sku)""",
+g AS (SELECT warehouse_id, sku, l_shipdate, MIN(l_orderkey) AS ok FROM moves WHERE kind = 'ship' GROUP BY 1, 2, 3),
+x AS (SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, MIN(g.l_shipdate) AS next_ship, arg_min(g.ok, g.l_shipdate) AS ok
+  FROM ful JOIN g ON g.warehouse_id = ful.warehouse_id AND g.sku = ful.sku AND g.l_shipdate > ful.received_at GROUP BY 1, 2, 3),
+{TRACK_SQL}
+SELECT ful.l_orderkey, ful.l_suppkey, ful.sku, fill_rate, on_time, received_at, next_ship, {n("date_diff('day', received_at, next_ship)")} AS days_on_shelf,
+  ok AS shipment_order, o_custkey AS shipment_id, o_orderpriority AS carrier_id, current_status AS shipment_status, transit_hours, has_exception AS shipment_exception
+FROM ful LEFT JOIN x USING (l_orderkey, l_suppkey, sku) LEFT JOIN orders o ON o.o_orderkey = ok LEFT JOIN track ON track.shipment_id = o_custkey""",
 )
 def _(t: Tables) -> DataFrame:
-    """Purchase orders with the first shipment that left their warehouse after the receipt."""
-    ships = (
-        stock_movements(stock_lines(t)).filter("movement_type = 'ship'")
-        .select("warehouse_id", "sku", F.col("moved_at").alias("next_ship")).distinct()
-    )
-    placed = as_of(
-        fulfilled(purchase_lines(t)), ships, ["warehouse_id", "sku"], "received_at", "next_ship", None, ["next_ship"], how="left",
-        direction="forward", strict=True,
-    )
-    return placed.select(
-        "l_orderkey", "l_suppkey", "sku", "fill_rate", "on_time", "received_at", "next_ship",
-        days_between("next_ship", "received_at").alias("days_on_shelf"),
+    return lifecycle(
+        fulfilled(purchase_lines(t)), stock_movements(stock_lines(t)), order_references(t), shipment_tracking(tracking_events(t))
     )
 
 

@@ -20,7 +20,8 @@ AS_OF = "2024-02-01"
 def compensation_events(events: DataFrame, positions: DataFrame) -> DataFrame:
     """Total pay, change against the previous event and pay against the grade midpoint."""
     line = Timeline(
-        events, ["employee_id"], ["event_date", "event_id"], profile=events.select("employee_id", "event_date")
+        events, ["employee_id"], ["event_date", "event_id"],
+        profile=events.select("employee_id", "event_date", "event_id"),
     ).near(before=1, prev_salary=lambda w: F.lag("base_salary").over(w))
     joined = line.rows.join(positions.select("position_id", "grade_min", "grade_max"), "position_id")
     change = percent(F.col("base_salary") - F.col("prev_salary"), "prev_salary", default=0)

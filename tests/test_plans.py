@@ -33,3 +33,9 @@ def test_numbering_moves_rows_once(spark):
     moved = re.findall(r"Exchange hashpartitioning\(_part[^)]*\).*", text)
     # only the sums of the ranges, one row per range and task, go by range number
     assert all("ENSURE_REQUIREMENTS" in m for m in moved) and len(moved) <= 1
+
+
+def test_distinct_counts_repeat_no_rows(spark):
+    """Hosts and rules of an incident are counted without a row for each of both."""
+    df = QUERIES["incident_correlation"](spark, ROOT)
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()

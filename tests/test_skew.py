@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strataloom.operators import aggregates
 from strataloom.operators.aggregates import percentiles
 from strataloom.operators.joins import as_of, either_key
 from strataloom.operators.ranking import number_rows, ntile, rank_values
@@ -69,7 +70,7 @@ def test_running_and_latest(events, hot_rows):
 
 
 def test_cut_inside_equal_times(events):
-    """All rows of the hot key share few times: ties stay together, results stay right."""
+    """All rows of the hot key share few times."""
     coarse = events.withColumn("ts", F.date_trunc("week", "ts").cast("timestamp_ntz"))
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     line = Timeline(coarse, ["user_id"], ["ts", "event_id"], hot_rows=20)
@@ -77,6 +78,24 @@ def test_cut_inside_equal_times(events):
     same(got, plain(coarse, prev=F.lag("event_id").over(w)))
 
 
+def test_one_time_is_cut_evenly(events):
+    """All rows at one time: keys are cut by the next order column, facts of a join by a hash."""
+    once = events.withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    line = Timeline(once, ["user_id"], ["ts", "event_id"], hot_rows=40)
+    sizes = [r["count"] for r in line._rows.filter("user_id = 7").groupBy("_piece").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    got = line.near(before=2, prev=lambda w: F.lag("cents", 2).over(w)).running(total=F.col("cents")).rows
+    same(
+        got.select("event_id", "prev", "total"),
+        plain(once, prev=F.lag("cents", 2).over(w), total=F.sum("cents").over(w.rowsBetween(Window.unboundedPreceding, 0))),
+    )
+    versions = events.groupBy("user_id").agg(F.max("cents").alias("level")).withColumn("since", F.lit("2023-01-01").cast("timestamp"))
+    facts = once.select("event_id", "user_id", "ts")
+    found = as_of(facts, versions, ["user_id"], "ts", "since", None, ["level"], hot_rows=40)
+    same(found, facts.join(versions, "user_id").select("event_id", "user_id", "ts", "level"))
+
+
 def test_pieces_are_balanced(events):
     line = Timeline(events, ["user_id"], ["ts", "event_id"], hot_rows=40)
     sizes = [r["count"] for r in line._rows.filter("user_id = 7").groupBy("_piece").count().collect()]
@@ -125,8 +144,13 @@ def test_strictly_later(spark):
     assert {r["id"]: str(r["s"])[11:21] for r in back.collect()} == {1: "", 2: "10:00:00.5", 3: ""}
 
 
-@pytest.mark.parametrize("hot_rows", [None, 25])
-def test_percentiles(events, hot_rows):
+@pytest.mark.parametrize("hot_rows,margin", [(None, 2), (25, 2), (25, 0), (25, 900)])
+def test_percentiles(events, monkeypatch, hot_rows, margin):
+    """Sorted, bracketed, with brackets that miss some ranks, and with wide ones."""
+    monkeypatch.setattr(aggregates, "_MARGIN", margin)
+    events = events.withColumn("user_id", F.when(F.col("user_id") != 3, F.col("user_id"))).withColumn(
+        "cents", F.when(F.col("event_id") % 5 != 0, F.col("cents"))
+    )
     got = percentiles(events, ["user_id"], "cents", {"mid": 0.5, "high": 0.9}, hot_rows=hot_rows)
     expected = events.groupBy("user_id").agg(
         F.expr("percentile(cents, 0.5)").alias("mid"), F.expr("percentile(cents, 0.9)").alias("high")
@@ -137,6 +161,21 @@ def test_percentiles(events, hot_rows):
     )
 
 
+def test_brackets_leave_most_values_uncounted(spark):
+    """Of a large group only the values around the percentiles are kept apart."""
+    rows = spark.range(300_000).select(F.lit(1).alias("k"), F.pmod(F.col("id") * 7919, F.lit(300_007)).alias("_v"), F.lit(300_000).cast("long").alias("_size"))
+    seen = []
+    walked = aggregates._walked
+    try:
+        aggregates._walked = lambda counted, *rest: seen.append(counted.count()) or walked(counted, *rest)
+        got = aggregates._bracketed_percentiles(rows, ["k"], {"mid": 0.5, "high": 0.9}, 1000).first()
+    finally:
+        aggregates._walked = walked
+    want = rows.select(F.expr("percentile(_v, 0.5)"), F.expr("percentile(_v, 0.9)")).first()
+    assert (got["mid"], got["high"]) == pytest.approx(tuple(want)) and not got["_missed"]
+    assert seen[0] < 2000
+
+
 @pytest.mark.parametrize("buckets", [1, 4, 7, 100, 5000])
 def test_ntile(events, buckets):
     rows = events.select("event_id", "cents")
@@ -192,6 +231,7 @@ def test_queries_with_cut_keys(spark, monkeypatch, name):
     from strataloom.operators import timeline
 
     monkeypatch.setattr(timeline, "HOT_ROWS", 25)
+    monkeypatch.setattr(aggregates, "LARGE_GROUP", 25)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{ROOT}/{t}.parquet'")
