@@ -21,23 +21,29 @@ def shipment_timelines(events: DataFrame) -> DataFrame:
     ).near(
         before=1, _status=lambda w: F.lag("event_type").over(w), _time=lambda w: F.lag("event_time").over(w)
     )
-    last = F.max_by(
-        F.struct("event_type", "_status", "_time", "event_time"), F.struct("event_time", "event_id")
+    latest = F.struct(
+        F.col("event_type").alias("latest_status"), F.col("_status").alias("previous_status"),
+        F.col("event_time").alias("latest_at"), F.col("_time").alias("previous_at"),
     )
     grouped = line.rows.groupBy("shipment_id").agg(
-        last.alias("_last"),
+        F.max_by(latest, F.struct("event_time", "event_id")).alias("_last"),
         F.count(F.lit(1)).alias("event_count"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
         F.max("delivered_at").alias("delivered_at"),
         F.min("promised_at").alias("promised_at"),
     )
+    return timeline_columns(grouped.select("*", "_last.*"))
+
+
+def timeline_columns(grouped: DataFrame) -> DataFrame:
+    """Timelines from the last two events of a shipment and its first, last, promised and delivery times."""
     return grouped.select(
         "shipment_id",
-        F.col("_last.event_type").alias("latest_status"),
-        F.col("_last._status").alias("previous_status"),
+        "latest_status",
+        "previous_status",
         "event_count",
-        rounded(seconds_between("_last.event_time", "_last._time") / 3600, 2).alias("hours_in_last_stage"),
+        rounded(seconds_between("latest_at", "previous_at") / 3600, 2).alias("hours_in_last_stage"),
         rounded(seconds_between("last_event", "first_event") / 3600, 2).alias("total_hours"),
         (F.col("delivered_at") <= F.col("promised_at")).alias("on_time"),
     )
@@ -57,10 +63,10 @@ def sla_violations(shipments: DataFrame, contracts: DataFrame) -> DataFrame:
 # stand-ins
 
 
-def tracking(t: Tables) -> DataFrame:
-    """Events as shipment events of a user, arriving twice and deduplicated on their key."""
+def shipment_events(events: DataFrame) -> DataFrame:
+    """Events as shipment events of a user."""
     kind = F.col("event_type")
-    events = t.events.select(
+    return events.select(
         "event_id",
         F.col("user_id").alias("shipment_id"),
         kind,
@@ -68,18 +74,23 @@ def tracking(t: Tables) -> DataFrame:
         F.when(kind == "purchase", F.col("ts")).alias("delivered_at"),
         (F.col("ts") + F.make_dt_interval(F.lit(29))).alias("promised_at"),
     )
+
+
+def tracking(t: Tables) -> DataFrame:
+    """Shipment events, arriving twice and deduplicated on their key."""
+    events = shipment_events(t.events)
     empty = events.filter("event_id IS NULL")
     return insert_absent(empty, events.unionByName(events), ["shipment_id", "event_type", "event_time"])
 
 
-@query(
-    "timeline_status",
-    f"""WITH g AS (SELECT *, LAG(event_type) OVER w AS ps, LAG(ts) OVER w AS pt, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn,
+TIMELINE_SQL = f"""WITH g AS (SELECT *, LAG(event_type) OVER w AS ps, LAG(ts) OVER w AS pt, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn,
   COUNT(*) OVER (PARTITION BY user_id) AS k, MIN(ts) OVER (PARTITION BY user_id) AS f, MAX(ts) OVER (PARTITION BY user_id) AS l,
   MAX(CASE WHEN event_type = 'purchase' THEN ts END) OVER (PARTITION BY user_id) AS del FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT user_id AS shipment_id, event_type AS latest_status, ps AS previous_status, k AS event_count, {r(sec('ts', 'pt') + ' / 3600', 2)} AS hours_in_last_stage,
-  {r(sec('l', 'f') + ' / 3600', 2)} AS total_hours, del <= f + INTERVAL 29 DAY AS on_time FROM g WHERE rn = 1""",
-)
+  {r(sec('l', 'f') + ' / 3600', 2)} AS total_hours, del <= f + INTERVAL 29 DAY AS on_time FROM g WHERE rn = 1"""
+
+
+@query("timeline_status", TIMELINE_SQL)
 def _(t: Tables) -> DataFrame:
     return shipment_timelines(tracking(t))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import amount
 from ..sources.tables import Tables
 from ..streaming import events as S
+from ..streaming.state import keep_latest, keep_once
+from .logistics import TIMELINE_SQL, shipment_events, timeline_columns
 from .registry import query
 from .sqltext import d, m
 
@@ -34,8 +36,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Two feeds that carry the same events, deduplicated on the event key."""
     rows = stream(t).select("event_id", "user_id", "event_type", "ts")
-    once = S.dedup_within(S.unite(rows, rows), ["event_id"], "ts", "31 days")
-    return S.run_append(once, "stream-dedup")
+    return keep_once(S.unite(rows, rows), ["event_id"], "ts", "stream-dedup")
 
 
 @query(
@@ -69,8 +70,18 @@ def _(t: Tables) -> DataFrame:
     "SELECT user_id, arg_max(event_type, ROW(ts, event_id)) AS latest_status, COUNT(*) AS event_count, MIN(ts) AS first_event, MAX(ts) AS last_event FROM events GROUP BY 1",
 )
 def _(t: Tables) -> DataFrame:
-    state = S.latest_status(stream(t), ["user_id"], "ts", "event_id", "event_type")
-    return S.run_update(state, ["user_id"], "stream-status")
+    found = keep_latest(stream(t), ["user_id"], "ts", "event_id", "event_type", "stream-status")
+    return found.select("user_id", "latest_status", "event_count", "first_event", "last_event")
+
+
+@query("stream_timeline_status", TIMELINE_SQL)
+def _(t: Tables) -> DataFrame:
+    """The shipment timelines of the batch form, kept up to date by a stream."""
+    events = shipment_events(stream(t))
+    found = keep_latest(
+        events, ["shipment_id"], "event_time", "event_id", "event_type", "stream-timeline", ["delivered_at"], ["promised_at"]
+    )
+    return timeline_columns(found)
 
 
 @query(

@@ -37,5 +37,4 @@ def test_numbering_moves_rows_once(spark):
 
 def test_distinct_counts_repeat_no_rows(spark):
     """Hosts and rules of an incident are counted without a row for each of both."""
-    df = QUERIES["incident_correlation"](spark, ROOT)
-    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan(spark, "incident_correlation")
