@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -31,10 +30,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .textscan import runs
+from .pieces import Known, encode_run
+from .textscan import Run, runs
 
 RUN_BYTES = 2 << 20
-KNOWN_WORDS = 80_000
+KNOWN_PIECES = 500_000
 KNOWN_PAIRS = 200_000
 #: Fixed value: how byte-level vocabularies of this kind cut texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -72,15 +72,15 @@ class Coder:
         self.edge_of: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.special = {}
         for t in spec.get("added_tokens") or []:
-            if t.get("single_word") or t.get("lstrip") or t.get("rstrip"):
+            if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or " " in t["content"]:
                 raise ValueError("special tokens with conditions are not supported")
             self.special[t["content"]] = t["id"]
         by_length = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
         self.words_of = regex.compile(PATTERN).findall
         self.bytes_of = {i: w for w, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.marks = [m.encode() for m in self.special]
+        self.known = Known(KNOWN_PIECES)
         self.pairs: dict[int, bool] = {}
 
     def edges(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -154,27 +154,23 @@ class Coder:
         parts = self.cut.split(text)
         return list(chain.from_iterable([p] if k % 2 else self.words_of(p) for k, p in enumerate(parts)))
 
+    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[tuple[int, ...]]:
+        """Ids of each piece; all words of the pieces go down the trie together."""
+        cut = [[p.decode()] if word else self.cut_words(p.decode()) for p, word in zip(pieces, words, strict=True)]
+        new = set().union(*cut).difference(self.special)
+        known = {s: (i,) for s, i in self.special.items()}
+        known |= {word.decode(): ids for word, ids in self.walk(w.encode() for w in new)}
+        return [known[c[0]] if len(c) == 1 else tuple(chain.from_iterable(known[w] for w in c)) for c in cut]
+
+    def encode_run(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a run of texts in a row, and the number of ids of each text."""
+        return encode_run(run, True, self.marks, self.known, self.ids_of)
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the number of ids of each text."""
-        cut = [self.cut_words(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = set().union(*cut).difference(known)
-        for word in new & older.keys():
-            known[word] = older[word]
-        new.difference_update(known)
-        for s, i in self.special.items():
-            if s in new:
-                known[s] = (i,)
-                new.discard(s)
-        for word, ids in self.walk(w.encode() for w in new):
-            known[word.decode()] = ids
-        flat, ends = array("i"), [0]
-        for words in cut:
-            flat.extend(chain.from_iterable(map(known.__getitem__, words)))
-            ends.append(len(flat))
-        return np.frombuffer(flat, np.int32), np.diff(ends)
+        """The same for texts that are at hand."""
+        batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+        done = [self.encode_run(run) for run in runs(batch, size=RUN_BYTES)]
+        return tuple(np.concatenate([d[k] for d in done]) for k in (0, 1)) if done else (np.empty(0, np.int64),) * 2
 
 
 _coders: dict[str, Coder] = {}
@@ -226,11 +222,10 @@ def encode(
         coder = coder_of(held.value)
         for batch in batches:
             for run in runs(batch, column, RUN_BYTES):
-                part = batch.slice(run.lo, run.hi - run.lo)
-                texts = part.column(part.schema.get_field_index(column)).to_pylist()
-                flat, counts = coder.encode(texts)
+                flat, counts = coder.encode_run(run)
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield _with(part, name, gone, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+                yield _with(batch.slice(run.lo, run.hi - run.lo), name, gone, ids)
 
     return docs.mapInArrow(task, _out(docs, name, gone, T.ArrayType(T.IntegerType())))
 

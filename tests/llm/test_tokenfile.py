@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from strataloom.llm import tokenfile as tf
-from strataloom.llm import textscan
+from strataloom.llm import pieces, textscan
 from strataloom.llm.queries import QUERIES
 from strataloom.session import scratch_path
 
@@ -93,7 +93,7 @@ def test_equal_hashes_do_not_mix_pieces(monkeypatch, library):
     import pyarrow as pa
 
     texts = ["the cat the dog the end", "dog cat", "", "tac the act"]
-    monkeypatch.setattr(tf, "mixed", lambda h: h & np.uint64(1))
+    monkeypatch.setattr(pieces, "mixed", lambda h: h & np.uint64(1))
     coder = tf.Encoder(open(PATH, "rb").read())
     batch = pa.record_batch({"text": pa.array(texts)})
     (run,) = textscan.runs(batch)
