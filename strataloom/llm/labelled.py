@@ -10,8 +10,11 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, teach: Column
     """text and y of about ``per_class`` documents with label 0 and as many with label 1.
 
     Chosen by a hash of the id among the rows where ``teach`` holds. Labels
-    other than 0 and 1, and rows without an id or a text, are not used. The
-    table has at most 4 * per_class rows.
+    other than 0 and 1, and rows without an id or a text, are not used. An id
+    labelled both ways counts as 1; all rows of a chosen id are in the sample.
+    Where ids repeat so often that these are more than 4 * per_class, those
+    with the smallest hashes of id and text are taken, so the sample of a table
+    is always the same.
     """
     known = labels.filter(teach & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y")
@@ -22,4 +25,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, teach: Column
     # about 2 * per_class rows
     chosen = known.filter(drawn < share).limit(3 * per_class)
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(F.broadcast(chosen), "doc_id").select("y", "text").limit(4 * per_class)
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    order = [F.xxhash64("doc_id"), F.xxhash64("text"), F.col("y")]
+    return found.orderBy(*order).limit(4 * per_class).select("y", "text")

@@ -8,12 +8,14 @@ confidence below which an answer is rejected.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text where nothing could be learnt. Rows without a language or an
-id teach nothing. Repeated rows get equal answers. Input columns other than
-text, lang and doc_id are not looked at.
+id teach nothing. Very long texts are read whole. Repeated rows get equal
+answers; an empty table gives an empty one. Input columns other than text, lang
+and doc_id are not looked at; result columns replace those of the same name.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,30 +49,22 @@ class Model:
 
 def sample(docs: DataFrame, teach: Column, per_language: int, languages: int) -> DataFrame:
     """text and lang of about ``per_language`` rows of each language."""
-    known = docs.filter(teach & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = docs.filter(teach & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_size"))
     n = sizes.count()
     if not n:
         return known.select("text", "lang").limit(0)
     rows = max(min(per_language, per_language * languages // n), 20)
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # one row per language
-    each = known.join(F.broadcast(sizes), F.col("lang") == F.col("_lang"))
+    each = known.join(sizes, F.col("lang") == F.col("_lang"))
     return each.filter(drawn < F.lit(float(rows)) / F.col("_size")).select("text", "lang").limit(2 * rows * n)
 
 
-def fit(
-    docs: DataFrame, teach: Column, per_language: int = 1500, languages: int = 400, dim: int = 16,
-    precision: float = 0.99,
-) -> Model | None:
-    """Learn from the rows where ``teach`` holds; None where there is nothing to learn from."""
-    rows = sample(docs, teach, per_language, languages).toArrow()
-    if rows.num_rows == 0:
-        return None
-    rows = rows.sort_by([("lang", "ascending"), ("text", "ascending")]).combine_chunks()
-    names, classes = np.unique(np.array(rows.column("lang").to_pylist()), return_inverse=True)
-    texts = rows.column("text").combine_chunks()
-    features = GRAMS.histograms(texts)
+def learnt(
+    features: list[tuple[np.ndarray, np.ndarray]], said: list[str], dim: int, precision: float
+) -> Model:
+    """The model of a sample whose rows are in a fixed order."""
+    names, classes = np.unique(np.array(said), return_inverse=True)
     test = np.arange(len(classes)) % 5 == 4
     learn = np.flatnonzero(~test)
     share = np.bincount(classes[learn], minlength=len(names))
@@ -91,6 +85,30 @@ def fit(
     return Model(names.tolist(), table, bias, heat, floor)
 
 
+def fit(
+    docs: DataFrame, teach: Column, per_language: int = 1500, languages: int = 400, dim: int = 16,
+    precision: float = 0.99,
+) -> Model | None:
+    """Learn from the rows where ``teach`` holds; None where there is nothing to learn from.
+
+    A sample is learnt in one task: its texts stay in the executors, and only
+    the weights reach the driver.
+    """
+
+    def task(batches):
+        features, said = [], []
+        for batch in batches:
+            features += GRAMS.histograms(batch.column(0))
+            said += batch.column(1).to_pylist()
+        if said:
+            model = learnt(features, said, dim, precision)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    rows = sample(docs, teach, per_language, languages).repartition(1).sortWithinPartitions("lang", "text")
+    found = rows.mapInArrow(task, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
+
+
 def _letters(data: np.ndarray) -> bool:
     low = data | 32
     if ((low >= 97) & (low <= 122) & (data < 128)).any():

@@ -6,9 +6,9 @@ model is fitted on a bounded sample, about ``per_class`` labelled documents of
 each label; a fifth of it is kept to calibrate the probabilities.
 
 Defined cases: a null or empty text, or any text where nothing could be learnt,
-gets the score that the bias alone gives; repeated rows get equal scores; rows
-without an id teach nothing. Result columns replace input columns of the same
-name.
+gets the score that the bias alone gives; very long texts are scored whole;
+repeated rows get equal scores; rows without an id teach nothing; an empty table
+gives an empty one. Result columns replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -34,13 +34,10 @@ class Model:
     heat: float
 
 
-def fit(docs: DataFrame, labels: DataFrame, teach: Column, label: str = "toxic", per_class: int = 3000) -> Model:
-    rows = labelled_texts(docs, labels, label, teach, per_class).toArrow()
-    rows = rows.sort_by([("y", "ascending"), ("text", "ascending")]).combine_chunks()
-    y = np.array(rows.column("y").to_pylist(), np.int64)
+def learnt(features: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Model:
+    """The model of a sample whose rows are in a fixed order."""
     if len(set(y.tolist())) < 2:
         return Model(np.zeros((1 << GRAMS.bits, 1), np.float32), -2.0 if not y.sum() else 2.0, 1.0)
-    features = GRAMS.histograms(rows.column("text").combine_chunks())
     test = np.arange(len(y)) % 5 == 4
     learn = np.flatnonzero(~test)
     # small samples need more rounds to take as many steps
@@ -54,6 +51,25 @@ def fit(docs: DataFrame, labels: DataFrame, teach: Column, label: str = "toxic",
     return Model(weight[:, None], shift, heat)
 
 
+def fit(docs: DataFrame, labels: DataFrame, teach: Column, label: str = "toxic", per_class: int = 3000) -> Model:
+    """Learn from a sample in one task: its texts stay in the executors, and only the weights reach the driver."""
+
+    def task(batches):
+        features, y = [], []
+        for batch in batches:
+            features += GRAMS.histograms(batch.column(1))
+            y += batch.column(0).to_pylist()
+        model = learnt(features, np.array(y, np.int64))
+        columns = [pa.array([model.weight.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias]), pa.array([model.heat])]
+        yield pa.RecordBatch.from_arrays(columns, names=["weight", "bias", "heat"])
+
+    rows = labelled_texts(docs, labels, label, teach, per_class).repartition(1).sortWithinPartitions("y", "text")
+    found = rows.mapInArrow(task, "weight binary, bias double, heat double").collect()
+    if not found:
+        return learnt([], np.empty(0, np.int64))
+    return Model(np.frombuffer(found[0]["weight"], np.float32)[:, None], found[0]["bias"], found[0]["heat"])
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """All rows with score (probability of the label 1) and predicted (1 from ``threshold`` on)."""
     names = ["score", "predicted"]
