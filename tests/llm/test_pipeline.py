@@ -90,6 +90,39 @@ def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_odd_rows_and_names_in_every_stage(spark, tmp_path):
+    """Columns named like results, names with dots, nulls, repeated ids and long texts go through all stages."""
+    plain = " ".join(f"word{k}" for k in range(60))
+    texts = [(1, plain), (1, plain), (2, None), (3, ""), (None, plain), (4, "mail me at jo@ex.org " + plain[::-1]), (4, "another text"),
+             (5, " ".join(f"long{k}" for k in range(60_000))), (6, "a b"), (6, "a b")]
+    extra = {"score": 0.25, "predicted": 7, "a.b": "dot", "copies": 9, "target": None, "kind": "own", "c": "see", "t": 1, "ids": "no", "v": -1}
+    schema = (
+        "doc_id long, text string, lang string, source string, n_chars long, score double, predicted int, `a.b` string, copies int, "
+        "target string, kind string, c string, t int, ids string, v int"
+    )
+    rows = [(i, t, "en", None if i == 3 else "s", None if t is None else len(t), *extra.values()) for i, t in texts]
+    docs = spark.createDataFrame(rows, schema)
+    columns = docs.columns
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {(r["doc_id"], r["text"]) for r in docs.collect()}
+        docs = pin(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == columns
+        got = docs.collect()
+        for r in got:
+            assert {c: r[c] for c in extra} == extra and r["lang"] == "en" and r["source"] == (None if r["doc_id"] == 3 else "s")
+            assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
+            assert name == "personal_data" or (r["doc_id"], r["text"]) in before
+        if name == "toxicity":
+            assert len(got) == len(rows)
+        if name == "near_duplicates":
+            assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == [(False, k) for k in (1, 2, 3, 4, 4, 5, 6)] + [(True, 0)]
+        if name == "personal_data":
+            assert [r["text"][:18] for r in got if r["doc_id"] == 4 and "mail" in r["text"]] == ["mail me at [EMAIL]"]
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in last) == sorted((r["doc_id"] or 0, r["text"] or "") for r in docs.collect())
+
+
 def test_mixing_of_odd_rows(spark):
     rows = [(1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x"), (3, "", None), (None, "q r", None), (4, "a " * 50_000, "y"), (5, " ", "z")]
     docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, source string, size int")
