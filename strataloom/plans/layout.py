@@ -15,11 +15,16 @@ from .registry import query
 
 @query("compact", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t: Tables) -> DataFrame:
-    """Many small files into one even set."""
-    scattered = scratch_path(t.spark, "scattered")
-    t.events.repartition(shuffle_width(t.spark) * 2).write.parquet(scattered)
-    packed = W.compact(t.spark, scattered, scratch_path(t.spark, "packed"), shuffle_width(t.spark))
-    return packed.select("event_id", "user_id", "event_type", "value")
+    """Small files in each part of a table joined to larger ones; what is large enough stays."""
+    path = scratch_path(t.spark, "scattered")
+    rows = t.events.select("event_id", "user_id", "event_type", "value")
+    early = F.col("event_id") % 2 == 0
+    W.append(rows.filter(early).coalesce(1), path, ["event_type"])
+    for late in (1, 3):
+        W.append(rows.filter(F.col("event_id") % 4 == late).repartition(shuffle_width(t.spark)), path, ["event_type"])
+    largest = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.max("length")).first()[0]
+    W.compact(t.spark, path, largest)
+    return t.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
 @query("zorder_layout", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")

@@ -14,7 +14,7 @@ from ..operators.incremental import (
 )
 from ..operators.timeline import Timeline
 from ..operators.upsert import insert_absent
-from ..sources.tables import Tables
+from ..sources.tables import Tables, read_ranges
 from .registry import query
 from .sqltext import d, m, n, r, sec
 
@@ -33,6 +33,20 @@ stored AS (SELECT * FROM events WHERE ts < TIMESTAMP '{LOADED}'
            AND NOT (event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-18'))"""
 
 
+@query(
+    "range_split_read",
+    f"""WITH b AS (SELECT MIN(o_orderkey) AS lo, (MAX(o_orderkey) - MIN(o_orderkey) + 8) // 8 AS step FROM orders)
+SELECT {n("(o_orderkey - lo) // step")} AS part, COUNT(*) AS orders, {d('SUM(' + m('o_totalprice') + ')')} AS total, MIN(o_orderkey) AS first_key, MAX(o_orderkey) AS last_key
+FROM orders CROSS JOIN b GROUP BY 1""",
+)
+def _(t: Tables) -> DataFrame:
+    """Orders read in eight ranges of their key, as a table of a database would be."""
+    return read_ranges(t.spark, f"{t.root}/orders.parquet", "o_orderkey", 8).groupBy("part").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(amount("o_totalprice")).alias("total"),
+        F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"),
+    )
+
+
 @query("incremental_watermark", f"WITH {LOADED_SQL} SELECT event_id, ts FROM events WHERE ts > (SELECT MAX(ts) FROM stored)")
 def _(t: Tables) -> DataFrame:
     return newer_than(t.events, loaded_events(t), "ts").select("event_id", "ts")

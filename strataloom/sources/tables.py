@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +32,37 @@ def read_database(
     partitions: int = 64,
     **options,
 ) -> DataFrame:
-    """Table of an external database, read in parallel ranges of ``key``."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if key is not None:
-        reader = (
-            reader.option("partitionColumn", key)
-            .option("lowerBound", lower)
-            .option("upperBound", upper)
-            .option("numPartitions", partitions)
-        )
-    return reader.options(**options).load()
+    """Table of an external database, read in parallel ranges of ``key`` from ``lower`` to ``upper``."""
+    if key is None:
+        return spark.read.jdbc(url, table, properties=options)
+    return spark.read.jdbc(url, table, predicates=key_ranges(key, lower, upper, partitions), properties=options)
+
+
+def key_ranges(key: str, lower: int, upper: int, parts: int) -> list[str]:
+    """Conditions that split ``lower``..``upper`` evenly; values outside and NULL belong to the outer ranges.
+
+    They serve as ``predicates`` of a database read and as filters of a file read.
+    """
+    step = max(1, -(-(upper - lower + 1) // parts))
+    edges = list(range(lower + step, upper + 1, step))
+    if not edges:
+        return ["true"]
+    inner = [f"`{key}` >= {a} AND `{key}` < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"`{key}` < {edges[0]} OR `{key}` IS NULL", *inner, f"`{key}` >= {edges[-1]}"]
+
+
+def read_ranges(spark: SparkSession, path: str, key: str, parts: int, name: str = "part") -> DataFrame:
+    """A table of Parquet files read as a database is: one scan per range of ``key``, numbered from 0.
+
+    The ends come from the files' statistics. Each scan gets its range as a
+    pushed filter, so row groups of other ranges are skipped.
+    """
+    rows = spark.read.parquet(path)
+    lower, upper = rows.agg(F.min(key), F.max(key)).first()
+    if lower is None:
+        return rows.withColumn(name, F.lit(0))
+    scans = [rows.filter(c).withColumn(name, F.lit(k)) for k, c in enumerate(key_ranges(key, lower, upper, parts))]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import first_row
-from ..session import pin, shuffle_width
+from ..session import pin, scratch_path, shuffle_width
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -18,7 +18,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     The new table is complete beside the old one before the two change places,
     so a refresh that fails leaves the old table as it was. If the change itself
     is broken off, the new table lies at ``path`` plus ``.new-…`` and the old one
-    at ``.old-…``.
+    at ``.old-…``. Between the two renames readers find no table.
     """
     spark, mark = df.sparkSession, uuid.uuid4().hex
     fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
@@ -67,10 +67,100 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
-def compact(spark: SparkSession, source: str, target: str, files: int) -> DataFrame:
-    """Rewrite many small files as ``files`` even ones; rows unchanged."""
-    spark.read.parquet(source).repartition(files).write.parquet(target)
-    return spark.read.parquet(target)
+TARGET_BYTES = 128 << 20
+
+
+def small_files(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """folder, bin, place, path of the files below the target that share a bin with others.
+
+    Files of a folder are taken in order of their names; a bin is full when its
+    sizes reach the target. Only names and sizes are read.
+    """
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+        .filter((F.col("length") < target_bytes))
+        .select(F.col("_metadata.file_path").alias("place"), "path", "length")
+    )
+    located = files.withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+    before = Window.partitionBy("folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("length").over(before), F.lit(0))
+    binned = located.withColumn("bin", F.floor(filled / F.lit(target_bytes)))
+    several = F.count(F.lit(1)).over(Window.partitionBy("folder", "bin")) > 1
+    return binned.withColumn("_several", several).filter("_several").select("folder", "bin", "place", "path")
+
+
+def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES) -> int:
+    """Small files of a table joined to files of about the target size; returns how many went.
+
+    Files that reach the target are neither read nor moved. All bins are written
+    by one job beside the table, and then each takes the place of its files. A
+    note in the folder lists these first, so a run that breaks off there is
+    finished by the next one. Readers miss the rows of a bin for the moment
+    between the two. Only the names of small files come to the driver.
+    """
+    _finish_swaps(spark, path)
+    listed = pin(small_files(spark, path, target_bytes), "small-files")
+    bins: dict[tuple[str, int], list[str]] = {}
+    for r in listed.orderBy("folder", "bin", "path").collect():
+        bins.setdefault((r["folder"], r["bin"]), []).append(r["path"])
+    if not bins:
+        return 0
+    number = {key: k for k, key in enumerate(bins)}
+    schema = "folder string, bin bigint, _bin int"
+    numbered = spark.createDataFrame([(*key, k) for key, k in number.items()], schema)
+    of_file = listed.join(numbered, ["folder", "bin"]).select("place", "_bin")
+    rows = spark.read.option("mergeSchema", "true").parquet(*[p for paths in bins.values() for p in paths])
+    dealt = (
+        rows.withColumn("_place", F.col("_metadata.file_path"))
+        .join(of_file, F.col("_place") == F.col("place")).drop("_place", "place")
+        .repartitionByRange(len(bins), "_bin")
+    )
+    staged = scratch_path(spark, "compacted")
+    dealt.write.partitionBy("_bin").parquet(staged)
+    hadoop, system = _files(spark, path)
+    for (folder, _), k in number.items():
+        (made,) = [f.getPath() for f in system.listStatus(hadoop.Path(f"{staged}/_bin={k}")) if f.getPath().getName().startswith("part-")]
+        mark = uuid.uuid4().hex
+        note = system.create(hadoop.Path(f"{folder}/_swap-{mark}"))
+        note.write(bytearray("\n".join(bins[folder, _]).encode()))
+        note.close()
+        if not system.rename(made, hadoop.Path(f"{folder}/.swap-{mark}.parquet")):
+            raise OSError(f"{made} could not be moved to {folder}")
+        _finish_swap(spark, folder, mark)
+    spark.catalog.refreshByPath(path)
+    return sum(map(len, bins.values()))
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop, hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _finish_swap(spark: SparkSession, folder: str, mark: str) -> None:
+    """The files named in the note go if the file that holds their rows is there; else they stay."""
+    hadoop, system = _files(spark, folder)
+    note, hidden = hadoop.Path(f"{folder}/_swap-{mark}"), hadoop.Path(f"{folder}/.swap-{mark}.parquet")
+    if system.exists(hidden):
+        stream = system.open(note)
+        names = spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
+        stream.close()
+        for old in names.split("\n"):
+            system.delete(hadoop.Path(old), False)
+        if not system.rename(hidden, hadoop.Path(f"{folder}/compacted-{mark}.parquet")):
+            raise OSError(f"{hidden} could not be renamed")
+    system.delete(note, False)
+
+
+def _finish_swaps(spark: SparkSession, path: str) -> None:
+    hadoop, system = _files(spark, path)
+    open_ = [hadoop.Path(path)]
+    while open_:
+        for f in system.listStatus(open_.pop()):
+            name = f.getPath().getName()
+            if f.isDirectory():
+                open_.append(f.getPath())
+            elif name.startswith("_swap-"):
+                _finish_swap(spark, str(f.getPath().getParent()), name.removeprefix("_swap-"))
 
 
 def interleaved_key(columns: Sequence[Column], bits: int = 16) -> Column:

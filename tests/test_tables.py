@@ -1,6 +1,7 @@
 """Merge, history, change-feed, quality, privacy and layout behaviour on small rows."""
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from strataloom.operators.evolve import add_columns, unify
 from strataloom.session import scratch_path
 from strataloom.sources import tables as T
 from strataloom.sources import writers as W
+from strataloom.sources.tables import key_ranges, read_ranges
 
 
 def rows(df, *columns):
@@ -251,3 +253,58 @@ def test_zorder_box_needs_few_files(spark):
 def test_zorder_key_interleaves(spark):
     df = spark.createDataFrame([(0b101, 0b010)], "a long, b long")
     assert df.select(W.interleaved_key([F.col("a"), F.col("b")], 3).alias("z")).first()["z"] == 0b011001
+
+
+def _names(path):
+    return {str(f.relative_to(path)): f.stat().st_size for f in Path(path).rglob("*.parquet") if not f.name.startswith(".")}
+
+
+def test_compaction_leaves_large_files_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), (F.col("id") % 2).alias("k:ey"))
+    rows.filter("id < 40000").coalesce(1).write.partitionBy("k:ey").parquet(path)
+    large = _names(path)
+    rows.filter("id >= 40000 and id < 59000").repartition(9).write.mode("append").partitionBy("k:ey").parquet(path)
+    rows.filter("id >= 59000").coalesce(1).withColumn("more", F.lit("new")).write.mode("append").partitionBy("k:ey").parquet(path)
+    before, target = _names(path), min(large.values())
+    want = sorted(r["id"] for r in spark.read.parquet(path).select("id").collect())
+    gone = W.compact(spark, path, target)
+    after = _names(path)
+    assert gone == len(before) - len(large) and {n: after[n] for n in large} == large
+    assert len(after) < len(before) / 2 and all(n in large or "/compacted-" in n for n in after)
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    assert sorted(r["id"] for r in table.select("id").collect()) == want == list(range(60_000))
+    assert table.filter("more = 'new'").count() == 1000 and table.filter("id % 2 <> `k:ey`").count() == 0
+    assert W.compact(spark, path, 1) == 0 and _names(path) == after
+
+
+def test_a_broken_swap_is_finished(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(100).repartition(4).write.parquet(path)
+    old = sorted(Path(path).glob("part-*.parquet"))
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "made"))
+    (made,) = (tmp_path / "made").glob("part-*.parquet")
+    made.rename(Path(path) / ".swap-x.parquet")
+    (Path(path) / "_swap-x").write_text("\n".join(f"file:{f}" for f in old))
+    (Path(path) / "_swap-y").write_text(f"file:{old[0]}")  # nothing was put in the place of this one
+    old[0].unlink()
+    assert W.compact(spark, path, 1) == 0
+    assert list(_names(path)) == ["compacted-x.parquet"] and spark.read.parquet(path).count() == 100
+    assert not list(Path(path).glob("_swap-*"))
+
+
+def test_key_ranges_cover_everything_once(spark):
+    rows = spark.createDataFrame([(k,) for k in [*range(-5, 40), None]], "k long")
+    for lower, upper, parts in ((-5, 39, 4), (0, 10, 3), (7, 7, 8), (0, 1, 50)):
+        found = [r["k"] for c in key_ranges("k", lower, upper, parts) for r in rows.filter(c).collect()]
+        assert len(found) == 46 and set(found) == {*range(-5, 40), None}
+
+
+def test_ranges_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    df = read_ranges(spark, path, "id", 4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: [") == 4 and "GreaterThanOrEqual(id,750)" in plan
+    assert {(r["part"], r["count"]) for r in df.groupBy("part").count().collect()} == {(k, 250) for k in range(4)}
+    assert read_ranges(spark, path, "id", 1).count() == 1000
