@@ -62,10 +62,11 @@ def merge(
         marks = [F.col(k).alias(f"_{name}{i}") for i, k in enumerate([*keys, "_lost"])]
         return df.select(*marks, F.struct(*columns).alias(name))
 
-    # a repeated key is an error, not a choice; the window shares its shuffle with the join
+    # a repeated key is an error, not a choice; the window shares its shuffle and its order with the
+    # join, and numbers rows as they pass, so a key of many rows is not held in memory to say so
     marked = source.withColumn("_lost", spread(source))
-    same_key = Window.partitionBy(*keys, "_lost")
-    copies = F.when(F.col("_lost") == 0, F.count(F.lit(1)).over(same_key)).otherwise(1)
+    same_key = Window.partitionBy(*keys, "_lost").orderBy(*keys)
+    copies = F.when(F.col("_lost") == 0, F.row_number().over(same_key)).otherwise(1)
     t = side_of(target.withColumn("_lost", spread(target)), target.columns, "t")
     s = side_of(marked.withColumn("_copies", copies), [*source.columns, "_copies"], "s")
     on = F.lit(True)

@@ -115,7 +115,7 @@ def sales_dashboard(lines: DataFrame) -> DataFrame:
     """
     by = ["report_month", "channel"]
     kept = ~F.col("is_deleted")
-    # one row per order, read three times below
+    # one row per order, read twice below
     orders = pin(
         lines.groupBy("order_id").agg(
             F.min(month_start("order_date")).alias("report_month"),
@@ -128,18 +128,19 @@ def sales_dashboard(lines: DataFrame) -> DataFrame:
         "orders",
     )
     bought = orders.filter("kept")
-    repeat = bought.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+    # a customer has at most as many places as there are months and channels
+    customers = bought.groupBy("customer_id").agg(
+        (F.count(F.lit(1)) > 1).alias("_repeat"), F.collect_set(F.struct(*by)).alias("_places")
+    )
     sums = orders.groupBy(*by).agg(
         F.sum("revenue").alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
         flag_sum(F.col("cancelled")).alias("cancelled_orders"),
     )
     buyers = (
-        bought.select(*by, "customer_id")
-        .distinct()
-        .join(repeat.select("customer_id", F.lit(True).alias("_repeat")), "customer_id", "left")
+        customers.select("customer_id", "_repeat", F.explode("_places").alias("_p")).select("customer_id", "_repeat", "_p.*")
         .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("unique_customers"), flag_sum(F.col("_repeat")).alias("repeat_customers"))
+        .agg(F.count(F.lit(1)).alias("unique_customers"), flag_sum(F.col("_repeat") & F.col("customer_id").isNotNull()).alias("repeat_customers"))
     )
     zero = F.lit(0)
     agg = sums.join(buyers, by, "left").withColumns(
