@@ -1,18 +1,20 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
 A sketch keeps every hash of a five-word shingle that lies in the lowest
-``1 / scale`` of the hash range. Which hashes stay depends on the hash alone, so
-sketches of unequal documents can be compared and merged: the union of two
-sketches is the sketch of both texts' shingles, and the share of a sketch found
-in another estimates containment however unequal the sizes are. Only DataFrame
-functions are used.
+``1 / scale`` of the hash range, and where these are fewer than LEAST, the LEAST
+lowest hashes. So a sketch holds all hashes of its text below a limit, which the
+sketch itself tells: that of the range, or its own last hash, or none where it
+holds everything. Sketches of unequal documents are compared below the lower of
+both limits, and the share of one found in the other estimates containment
+however unequal the sizes are. The sketch of two texts together follows from
+both sketches exactly. Only DataFrame functions are used.
 
 Defined cases: a null text counts as empty; a text without words has an empty
-sketch; with fewer than five words the whole sequence is the only shingle; if
-no hash lies below the threshold the smallest one is kept, so that every text
-with words has a sketch. Two empty sketches are alike (1.0), an empty and a
+sketch; with fewer than five words the whole sequence is the only shingle; very
+long texts are read whole. Two empty sketches are alike (1.0), an empty and a
 full one are not (0.0). Rows with equal ids follow each other in the order of
-their texts; rows without an id come last. Columns of the input other than
+their texts, repeated rows are each other's next; rows without an id come last;
+an empty table gives an empty result. Columns of the input other than
 doc_id and text are not looked at by ``compare_edited``; ``with_sketch``
 replaces a column of the same name.
 """
@@ -29,12 +31,18 @@ SHINGLE = 5
 SCALE = 8
 #: Bits of a hash that a sketch keeps.
 KEPT_BITS = 48
+#: Hashes that a sketch has at least, if the text has as many.
+LEAST = 32
 
 
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+def _threshold(scale: int) -> Column:
+    return F.lit((1 << KEPT_BITS) // scale)
+
+
 def with_sketch(docs: DataFrame, text: str = "text", name: str = "sketch", scale: int = SCALE) -> DataFrame:
     """All rows with the sorted distinct hashes of the sketch (each ``KEPT_BITS`` bits)."""
     h, s = fresh("words"), fresh("shingles")
@@ -48,13 +56,11 @@ def with_sketch(docs: DataFrame, text: str = "text", name: str = "sketch", scale
         .when(F.size(word) > 0, F.array(F.xxhash64(word)))
         .otherwise(F.array().cast("array<bigint>"))
     )
-    low = F.lit((1 << 63) // scale)
     # shifted so that the order of signed numbers is that of the hashes
-    half = lambda x: F.shiftrightunsigned(x, 1)
-    below = F.filter(F.col(s), lambda x: half(x) < low)
-    least = F.array_min(F.transform(F.col(s), half))
-    kept = F.when(F.size(below) > 0, F.transform(below, half)).when(F.size(s) > 0, F.array(least)).otherwise(F.col(s))
-    sketch = F.array_sort(F.array_distinct(F.transform(kept, lambda x: F.shiftright(x, 63 - KEPT_BITS))))
+    short = F.transform(F.col(s), lambda x: F.shiftrightunsigned(x, 64 - KEPT_BITS))
+    below = F.array_distinct(F.filter(short, lambda x: x < _threshold(scale)))
+    lowest = F.slice(F.sort_array(F.array_distinct(short)), 1, LEAST)
+    sketch = F.when(F.size(below) >= LEAST, F.sort_array(below)).otherwise(lowest)
     return (
         docs.withColumn(h, F.transform(_words(F.col(text)), lambda w: F.xxhash64(w)))
         .withColumn(s, shingles)
@@ -69,20 +75,38 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(x), width, "0"))), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
+def limit(sketch: Column, scale: int = SCALE) -> Column:
+    """Below this, a sketch holds all hashes of its text."""
+    last = F.greatest(_threshold(scale), F.element_at(sketch, -1) + 1)
+    return F.when(F.size(sketch) < LEAST, F.lit(1 << KEPT_BITS)).otherwise(last)
+
+
+def _comparable(a: Column, b: Column, scale: int) -> tuple[Column, Column]:
+    """Both sketches below the lower of their limits."""
+    top = F.least(limit(a, scale), limit(b, scale))
+    return F.filter(a, lambda x: x < top), F.filter(b, lambda x: x < top)
+
+
+def likeness(a: Column, b: Column, scale: int = SCALE) -> Column:
     """Estimated share of all shingles of both texts that both have."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    x, y = _comparable(a, b, scale)
+    both = F.size(F.array_intersect(x, y))
+    union = F.size(x) + F.size(y) - both
+    return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).when(union == 0, F.lit(0.0)).otherwise(both / union)
 
 
-def containment(a: Column, b: Column) -> Column:
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
     """Estimated share of a's shingles that b has too."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    x, y = _comparable(a, b, scale)
+    part = F.size(F.array_intersect(x, y)) / F.nullif(F.size(x), F.lit(0))
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.coalesce(part, F.lit(0.0)))
 
 
-def merged(a: Column, b: Column) -> Column:
-    """The sketch of both texts together."""
-    return F.array_sort(F.array_union(a, b))
+def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """The sketch of both texts together: that of the union of their shingles."""
+    all_ = F.sort_array(F.array_union(a, b))
+    below = F.filter(all_, lambda x: x < _threshold(scale))
+    return F.when(F.size(below) >= LEAST, below).otherwise(F.slice(all_, 1, LEAST))
 
 
 def _range_number(docs: DataFrame, ranges: int) -> Column:
