@@ -212,7 +212,8 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def confirmed(sets: list[np.ndarray], percent: int, least: int) -> list[tuple[int, int]]:
     """Links that span the components of all links between the sets.
 
-    Likely pairs come first; a pair whose ends are already joined is skipped.
+    Likely pairs come first, by how far their signatures agree; a pair whose
+    ends are already joined is skipped. Every other pair is decided on the sets.
     """
     n = len(sets)
     if n == 2:
@@ -222,8 +223,8 @@ def confirmed(sets: list[np.ndarray], percent: int, least: int) -> list[tuple[in
     root = np.arange(n)
     out = []
     top = SIZE + 1
-    while top > least:
-        low = max(least, top - 6)
+    while top > 0:
+        low = max(least, top - 6) if top > least else 0
         for i in range(n - 1):
             rest = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
             if len(rest) == 0:
