@@ -166,18 +166,26 @@ def at_least(table: DataFrame, limit: float) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], counts[order]
 
 
+#: Least steepness of the line through the counts of counts; any above one keeps the discounts between 0 and 1.
+LEAST_FALL = 1.05
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
-    """Good-Turing discount of counts 0..TOP + 1 from counts of counts; the last stands for all larger counts."""
+    """Good-Turing discount of counts 0..TOP + 1 from counts of counts; the last stands for all larger counts.
+
+    The counts of counts are smoothed as in simple Good-Turing: a line through
+    their logarithms, n(r) = A r^-b. Then r* / r = (1 + 1/r)^(1 - b), and Katz's
+    correction, with which counts above TOP stay as they are, needs no A. So the
+    discounts are Good-Turing's for every corpus; where there are too few counts
+    for a line, b is 2.
+    """
+    r = np.flatnonzero(np.asarray(n[1 : TOP + 2]) > 0) + 1
+    fall = -np.polyfit(np.log(r), np.log(np.asarray(n, float)[r]), 1)[0] if len(r) > 1 else 2.0
+    power = 1 - max(fall, LEAST_FALL)
+    beyond = float(TOP + 1) ** power
     d = np.ones(TOP + 2)
     r = np.arange(1, TOP + 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        beyond = (TOP + 1) * n[TOP + 1] / n[1]
-        found = ((r + 1) * n[r + 1] / (r * n[r]) - beyond) / (1 - beyond)
-    if np.isfinite(found).all() and ((found > 0) & (found < 1)).all():
-        d[1:-1] = found
-    else:
-        off = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-        d[1:-1] = (r - min(max(off, 0.1), 0.9)) / r
+    d[1:-1] = ((1 + 1 / r) ** power - beyond) / (1 - beyond)
     return d
 
 

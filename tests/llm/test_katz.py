@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import statistics
 import zlib
 from collections import Counter, defaultdict
 
@@ -22,19 +23,23 @@ def tokens(text):
 
 
 def good_turing(counts):
-    n = Counter(counts.values())
-    top = katz.TOP
-    try:
-        beyond = (top + 1) * n[top + 1] / n[1]
-        d = {r: ((r + 1) * n[r + 1] / (r * n[r]) - beyond) / (1 - beyond) for r in range(1, top + 1)}
-    except ZeroDivisionError:
-        d = {}
-    if len(d) < top or not all(0 < x < 1 for x in d.values()):
-        off = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-        d = {r: (r - min(max(off, 0.1), 0.9)) / r for r in range(1, top + 1)}
+    n, top = Counter(counts.values()), katz.TOP
+    seen = [r for r in range(1, top + 2) if n[r]]
+    slope = -2.0
+    if len(seen) > 1:
+        slope = statistics.linear_regression([math.log(r) for r in seen], [math.log(n[r]) for r in seen]).slope
+    smooth = lambda r: r ** min(slope, -katz.LEAST_FALL)
+    beyond = (top + 1) * smooth(top + 1) / smooth(1)
+    d = {r: ((r + 1) * smooth(r + 1) / (r * smooth(r)) - beyond) / (1 - beyond) for r in range(1, top + 1)}
     return lambda c: d.get(c, 1.0)
 
 
+def test_discounts_are_good_turing_for_any_counts():
+    for n in ([0, 900, 300, 150, 80, 120, 60, 30], [0, 5, 9, 20, 40, 80, 160, 320], [0, 0, 0, 7, 0, 0, 0, 0], [0] * 8, [0, 1, 0, 0, 0, 0, 0, 0]):
+        d = katz.discounts(np.array((n + [0] * katz.TOP)[: katz.TOP + 2], float))
+        assert d[0] == d[-1] == 1.0 and (0 < d[1:-1]).all() and (np.diff(d[1:]) > 0).all()
+
+
 class Plain:
     def __init__(self, texts, share):
         seqs = [tokens(t) for t in texts]
