@@ -26,14 +26,14 @@ def rebuilt(rows, fewest=10, top=10):
 
         def prices(count, kept=kept):
             total = sum(count[t] for t in kept)
-            return {t: 1 + 10**9 * (count[t] + 2) // (total + 2 * len(kept)) for t in kept}
+            return np.array([1 + 10**9 * (count[t] + 2) // (total + 2 * len(kept)) for t in kept], np.int64)
 
         p = {s: prices(counts[lang, s]) for s in sources}
         q = prices(sum((counts[lang, s] for s in sources), Counter()))
         f = lambda a, b: (a - b) ** 2 // (a + b)
         for s in sources:
-            pairs = [(sum(f(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s]
-            terms = [(f(p[s][t], q[t]), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            pairs = [(int(f(p[s], p[o]).sum()), o) for o in sources if o != s]
+            terms = [(int(f(a, b)), t) for t, a, b in zip(kept, p[s], q) if counts[lang, s][t] and a > b]
             for part, found, most in (("pair", pairs, None), ("term", terms, top)):
                 order = sorted(found, key=lambda r: (-r[0], r[1].encode()))[:most]
                 out |= {(lang, s, part, item, value, k) for k, (value, item) in enumerate(order, 1)}
