@@ -102,6 +102,18 @@ def either_key(left: DataFrame, right: DataFrame, key: str, first: str, second:
     return left.join(by_participant(right, key, first, second), key)
 
 
+def left_if_named(rows: DataFrame, other: DataFrame, key: str, other_key: str, unique: Sequence[str]) -> DataFrame:
+    """``rows LEFT JOIN other ON key = other_key`` where ``key`` is often NULL.
+
+    Rows without a key meet nothing. They are dealt out by their ``unique``
+    columns, as one task would get all of them otherwise.
+    """
+    apart = F.concat(F.lit("none "), F.xxhash64(*unique).cast("string"))
+    named = rows.withColumn("_named", F.coalesce(F.concat(F.lit("key "), F.col(key).cast("string")), apart))
+    met = other.withColumn("_named", F.concat(F.lit("key "), F.col(other_key).cast("string")))
+    return named.join(met, "_named", "left").drop("_named")
+
+
 def through_history(facts: DataFrame, history: DataFrame, key: str, target: str) -> DataFrame:
     """Facts with the ``target`` that their key has had in the history.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import amount, flag_sum, percent, ratio, rounded
 from ..functions.temporal import days_between, month_start, seconds_between
-from ..operators.joins import as_of, through_history
+from ..operators.joins import as_of, left_if_named, through_history
 from ..session import pin
 from ..sources.tables import Tables
 from .registry import query
@@ -74,6 +74,7 @@ def lifecycle(orders: DataFrame, movements: DataFrame, references: DataFrame, tr
 
     ``references`` leads from the order of a shipment's movement to the shipment
     and its carrier. Of several movements at one time the smallest order counts.
+    Many orders have no such shipment.
     """
     ships = movements.filter("movement_type = 'ship'").groupBy("warehouse_id", "sku", F.col("moved_at").alias("next_ship")).agg(
         F.min("l_orderkey").alias("shipment_order")
@@ -83,7 +84,8 @@ def lifecycle(orders: DataFrame, movements: DataFrame, references: DataFrame, tr
         direction="forward", strict=True,
     )
     fared = tracking.select("shipment_id", "current_status", "transit_hours", "has_exception")
-    joined = placed.join(references, F.col("shipment_order") == F.col("reference"), "left").join(fared, "shipment_id", "left")
+    carried = references.join(fared, "shipment_id", "left")
+    joined = left_if_named(placed, carried, "shipment_order", "reference", ["l_orderkey", "l_suppkey", "sku"])
     return joined.select(
         "l_orderkey", "l_suppkey", "sku", "fill_rate", "on_time", "received_at", "next_ship",
         days_between("next_ship", "received_at").alias("days_on_shelf"), "shipment_order", "shipment_id", "carrier_id",

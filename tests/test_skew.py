@@ -1,15 +1,19 @@
 """Operators give plain-window results when one key holds a third of all rows and is cut."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strataloom import session
 from strataloom.operators import aggregates
 from strataloom.operators.aggregates import percentiles
-from strataloom.operators.joins import as_of, either_key
+from strataloom.operators.joins import as_of, either_key, left_if_named
 from strataloom.operators.ranking import number_rows, ntile, rank_values
 from strataloom.operators.sessions import number_sessions
 from strataloom.operators.timeline import Timeline
+from strataloom.session import prepare
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -239,3 +243,36 @@ def test_queries_with_cut_keys(spark, monkeypatch, name):
     found = con.execute(QUERIES[name].sql)
     names = [c[0] for c in found.description]
     assert table([tuple(r) for r in df.collect()], df.columns, sorted(names)) == table(found.fetchall(), names, sorted(names))
+
+
+def test_what_a_task_takes_is_bounded(spark):
+    """Joined small partitions and splits of files do not grow with the tables; smaller settings stay."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for given, most in (("128MB", 32 << 20), ("1g", 32 << 20), ("134217728b", 32 << 20), ("16k", 16 << 10)):
+            for n in names:
+                spark.conf.set(n, given)
+            prepare(spark)
+            assert all(session._bytes(spark.conf.get(n)) <= most for n in names)
+        assert all(spark.conf.get(n) == "16k" for n in names)
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    rows = spark.range(600).select(F.col("id").alias("row"), F.when(F.col("id") % 100 == 0, F.col("id")).alias("key"))
+    other = spark.createDataFrame([(0, "a"), (100, "b"), (100, "c"), (None, "d")], "of long, name string")
+    held = {n: spark.conf.get(n) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = left_if_named(rows, other, "key", "of", ["row"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for n, value in held.items():
+            spark.conf.set(n, value)
+    assert sorted((r["row"], r["name"]) for r in got if r["name"]) == [(0, "a"), (100, "b"), (100, "c")]
+    assert len(got) == 601
+    sizes = Counter(r["task"] for r in got)
+    assert len(sizes) > 2 and max(sizes.values()) < 300
