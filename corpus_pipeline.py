@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strataloom.llm import bpe, mixing, neardup, pii, toxicity
 from strataloom.llm.frames import fresh, held_out, text_session
-from strataloom.session import scratch_path, scratch_run
+from strataloom.session import pin, scratch_path, scratch_run
 
 #: Documents this alike (shingles in a hundred of the union) are copies.
 ALIKE = 80
@@ -98,7 +98,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     text_session(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, keep_text=False)
+    # written between the two, so that a task has one Python worker with its tables and not two
+    coded = pin(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, keep_text=False), "coded")
     return bpe.decode(coded, path).select(
         "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.col("decoded").alias("text")
     )

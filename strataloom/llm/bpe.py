@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from .pieces import Known, encode_run
 from .textscan import Run, runs
 
-RUN_BYTES = 2 << 20
+#: The arrays of a run take some fifty times its bytes.
+RUN_BYTES = 1 << 19
 KNOWN_PIECES = 500_000
 KNOWN_PAIRS = 200_000
 #: Fixed value: how byte-level vocabularies of this kind cut texts.

@@ -28,7 +28,7 @@ than doc_id and text pass through ``dedup`` and are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import pin
 from .frames import fresh
 from .groups import components
+from .keyfilter import key_filter
 from .textscan import Run, hash_spans, lowered, mixed, runs, spread, window_hash, words
 
 SHINGLE = 5
@@ -238,8 +239,11 @@ def confirmed(sets: list[np.ndarray], percent: int, least: int) -> list[tuple[in
     return out
 
 
-def _full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """task, c and the sorted set of each class, from the text of the class's document."""
+def _full_sets(docs: DataFrame, members: DataFrame, near: Callable[[Column], Column]) -> DataFrame:
+    """task, c and the sorted set of each class, from the text of the class's document.
+
+    Texts that ``near`` refuses are in no cluster and are not moved.
+    """
 
     def task(batches):
         for batch in batches:
@@ -260,7 +264,7 @@ def _full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                     [at.take(picked), want.take(picked), pa.array(sets, pa.binary())], names=["task", "c", "members"]
                 )
 
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
+    texts = docs.select("doc_id", "text").filter("doc_id is not null").filter(near(F.xxhash64("doc_id")))
     # the members grow with the corpus, so they are never broadcast
     wanted = members.select(F.col("rep").alias("_rep"), "c", "task").hint("merge")
     found = texts.join(wanted, F.col("doc_id") == F.col("_rep"))
@@ -297,7 +301,7 @@ def _links(docs: DataFrame, members: DataFrame, percent: int, least: int) -> Dat
                     names=["a", "b"],
                 )
 
-    sets = _full_sets(docs, dealt).select(F.explode("task").alias("task"), "c", "members")
+    sets = _full_sets(docs, dealt, key_filter(members.select(F.xxhash64("rep")))).select(F.explode("task").alias("task"), "c", "members")
     placed = sets.repartition("task").sortWithinPartitions("task")
     return placed.mapInArrow(task, "a binary, b binary")
 
@@ -373,9 +377,12 @@ def dedup(
     key, text_hash = fresh("id"), fresh("hash")
     named = lambda df: df.select(F.col("doc_id").alias(key), F.col("t").alias(text_hash))
     same = (F.col("doc_id") == F.col(key)) & (_text_hash() == F.col(text_hash))
-    left = docs.join(named(texts.join(least, stays, "left_anti")), same, "left_anti")
-    again = named(texts.filter("n > 1").join(least, stays, "left_semi"))
+    gone = pin(named(texts.join(least, stays, "left_anti")), "gone")
+    again = pin(named(texts.filter("n > 1").join(least, stays, "left_semi")), "again")
+    # most rows are in neither table and stay where they are; what the filter lets through the joins decide
+    asked = key_filter(gone.unionByName(again).select(F.xxhash64(key, text_hash)))(F.xxhash64("doc_id", _text_hash()))
+    clear, left = docs.filter(~asked), docs.filter(asked).join(gone, same, "left_anti")
     if again.isEmpty():
-        return left
+        return clear.unionByName(left)
     once = left.join(again, same).dropDuplicates([key, text_hash]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return left.join(again, same, "left_anti").unionByName(once)
+    return clear.unionByName(left.join(again, same, "left_anti")).unionByName(once)

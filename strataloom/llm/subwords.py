@@ -16,6 +16,10 @@ import pyarrow as pa
 from .textscan import Run, lowered, runs, spread
 
 
+#: A run's n-grams of all sizes are held at once, 32 bytes and more to a byte of text.
+RUN_BYTES = 1 << 18
+
+
 @dataclass(frozen=True)
 class Grams:
     sizes: tuple[int, ...]
@@ -48,7 +52,7 @@ class Grams:
         """Buckets and their shares of each text."""
         out = []
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        for run in runs(batch, "text"):
+        for run in runs(batch, "text", RUN_BYTES):
             n = run.hi - run.lo
             cells = []
             for bucket, counts, begin in self.of(run):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from .labelled import labelled_texts
-from .subwords import Grams, softmax, temperature, train
+from .subwords import RUN_BYTES, Grams, softmax, temperature, train
 from .textscan import runs
 
 GRAMS = Grams((3, 4, 5, 6), 17, blanks=200)
@@ -79,7 +79,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     def task(batches):
         m = held.value
         for batch in batches:
-            for run in runs(batch):
+            for run in runs(batch, size=RUN_BYTES):
                 part = batch.slice(run.lo, run.hi - run.lo)
                 logit = (GRAMS.means(run, m.weight)[:, 0] + m.bias) / m.heat
                 p = softmax(np.stack([np.zeros_like(logit), logit], axis=1))[:, 1]
