@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
-    bpe, divergence, fingerprints, katz_words, langid, mixing, neardup, pii, quality, rules, spelling, tokenfile, toxicity,
+    bpe, divergence, fingerprints, katz_corpus, langid, mixing, neardup, pii, quality, rules, spelling, tokenfile, toxicity,
 )
 from .frames import held_out, text_session
 
@@ -167,16 +167,8 @@ FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN lowest ON a = d.d
 def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     teach = ~held_out(F.col("doc_id"), 10, 0)
-    model = katz_words.fit(docs, teach)
-    return katz_words.score(docs, teach, model).select(
-        "doc_id",
-        (~F.col("teach")).alias("held_out"),
-        "n_tokens",
-        "n_known",
-        F.lit(model.unigrams.total).cast("bigint").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
+    scored = katz_corpus.score_all(docs, teach)
+    return scored.select("doc_id", (~F.col("teach")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @registered
