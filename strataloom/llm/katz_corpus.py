@@ -10,7 +10,7 @@ scored. Here the texts to score are given with those that teach:
 * A word that is not frequent has a bucket, and so have the pairs that end in it, or begin with it before a frequent
   word. Where both are such words the pair's share in the sums of its context goes on to the context's bucket. Pairs of
   two frequent words are dealt by themselves. So all that is known of a context meets, and no bucket holds a frequent word.
-* The answers meet their block, which finds its pairs again and adds up its texts.
+* The answers go to their block, which stayed where it was stored, finds its pairs again and adds up its texts.
 
 Contexts keep how many words came after them once, twice, up to ``TOP`` times, and the unigram mass of all of them;
 what discounts take and the back-off weight follow from these. Numbers travel in order, as differences where they are
@@ -29,17 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pin, release, shuffle_width
+from ..session import pin, pin_bucketed, release, shuffle_width
 from .katz import TOP, Unigrams, _scored, _taught, _unigrams, blocks, discounts
 from .katz_words import _each, _place, settled
 from .textscan import mixed
 
-#: Tokens of a block, which one task holds, and about as many meet in a bucket.
-BLOCK_TOKENS, BUCKET_TOKENS = 1_000_000, 1_500_000
+#: Tokens of a block, which one task holds, and of those whose pairs meet in a bucket, about, where there are many.
+BLOCK_TOKENS, BUCKET_TOKENS = 1_000_000, 3_000_000
 _CHUNK = 4096
 _MESSAGE = "bucket int, kind int, block string, a binary"
 _WORDS, _PAIRS = 0, 1
-_HEAD, _COUNTS, _BACK, _ASKED, _OWN, _RARE, _FREQUENT, _STATS = range(8)
+_COUNTS, _BACK, _ASKED, _OWN, _RARE, _FREQUENT, _STATS = range(2, 9)
 
 
 def packed(*columns: np.ndarray) -> bytes:
@@ -56,13 +56,15 @@ def packed(*columns: np.ndarray) -> bytes:
             small = codec.compress(plane, asbytes=True) if len(plane) > 64 else plane
             body.append(small if len(small) < len(plane) else plane)
             head.append(len(body[-1]))
-    return b"".join([np.array([len(head), *head], np.uint32).tobytes(), *body])
+    kind = np.uint16 if max(head) < 1 << 16 else np.uint32
+    return b"".join([bytes([kind().itemsize]), np.array([len(head), *head], kind).tobytes(), *body])
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
     codec = pa.Codec("zstd")
-    size = 1 + int(np.frombuffer(data, np.uint32, 1)[0])
-    head, at = np.frombuffer(data, np.uint32, size).tolist()[1:], 4 * size
+    kind = np.uint16 if data[0] == 2 else np.uint32
+    size = 1 + int(np.frombuffer(data, kind, 1, 1)[0])
+    head, at = np.frombuffer(data, kind, size, 1).tolist()[1:], 1 + size * data[0]
     out, k = [], 1
     for _ in range(head[0]):
         n, width = head[k : k + 2]
@@ -280,7 +282,8 @@ def _stored(docs: DataFrame, teach: Column) -> DataFrame:
             }
             yield pa.RecordBatch.from_pydict(values)
 
-    return pin(_taught(docs, teach).mapInArrow(store, f"block string, a binary, tokens long, taught long, ids array<{kind}>"), "blocks")
+    found = _taught(docs, teach).mapInArrow(store, f"block string, a binary, tokens long, taught long, ids array<{kind}>")
+    return pin_bucketed(found, "block", "blocks", shuffle_width(docs.sparkSession))
 
 
 def _word_table(stored: DataFrame, buckets: int) -> DataFrame:
@@ -506,27 +509,18 @@ def score_all(docs: DataFrame, teach: Column, share: float = 1e-5) -> DataFrame:
     held = spark.sparkContext.broadcast(model)
 
     def gather(batches):
-        """The head comes first in its block, then the answers of its buckets."""
-        head, answers = None, {}
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            for k, r in enumerate(_each(batch.drop_columns(["ids"]))):
-                if r["kind"] == _HEAD:
-                    if head:
-                        yield scored(*head, answers)
-                    head, answers = (r["a"], lists.slice(k, 1).flatten()), {_COUNTS: {}, _BACK: {}}
-                else:
-                    answers[r["kind"]][r["bucket"]] = r["a"]
-        if head:
-            yield scored(*head, answers)
-
-    def scored(data, ids, answers):
-        block = Stored(data)
-        return _scored(ids, block.teach, _sums_of_texts(block, answers[_COUNTS], answers[_BACK], held.value))
-
-    none = F.lit(None).cast(f"array<{kind}>")
-    answered = _of(counted, _COUNTS).unionByName(_rare_contexts(counted, held)).withColumn("ids", none)
-    heads = stored.select(F.lit(0).alias("bucket"), F.lit(_HEAD).alias("kind"), "block", "a", "ids")
-    met = heads.unionByName(answered).repartition("block").sortWithinPartitions("block", "kind")
+            for k, r in enumerate(_each(batch, ["a", "answers"])):
+                block, answers = Stored(r["a"]), {_COUNTS: {}, _BACK: {}}
+                for x in r["answers"]:
+                    answers[x["kind"]][x["bucket"]] = x["a"]
+                sums = _sums_of_texts(block, answers[_COUNTS], answers[_BACK], held.value)
+                yield _scored(lists.slice(k, 1).flatten(), block.teach, sums)
+
+    # blocks lie in buckets already, so only the answers move
+    answered = _of(counted, _COUNTS).unionByName(_rare_contexts(counted, held))
+    by_block = answered.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "a")).alias("answers"))
+    met = stored.join(by_block.hint("merge"), "block").select("a", "ids", "answers")
     result = f"doc_id {kind}, teach boolean, n_tokens long, n_known long, base_score double, score double"
     return met.mapInArrow(gather, result).withColumn("train_tokens", F.lit(model.unigrams.total).cast("bigint"))

@@ -1,11 +1,14 @@
 """Katz back-off over all words among the texts it is learnt from: same scores as a plain rebuild, and what it moves."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from strataloom.llm import katz_corpus, katz_words
+from strataloom.llm.queries import QUERIES
+from strataloom.session import scratch_run
 from test_katz import Plain, made, tokens
 
 
@@ -46,19 +49,13 @@ def test_packed_numbers_come_back_and_take_few_bytes():
     assert len(katz_corpus.packed(katz_corpus.steps(hashes))) < 7 * len(hashes)
 
 
-def test_a_pair_moves_once_and_packed(spark, monkeypatch):
-    """What is stored and dealt out for a token is a few bytes; the tables of ``katz_words`` alone take 32 for a pair."""
+def test_query_stores_few_bytes_for_a_token(spark, tmp_path):
     rng = np.random.default_rng(5)
     words = np.array([f"w{k}" for k in range(40_000)])
     texts = [" ".join(words[(rng.pareto(0.7, 400) * 20).astype(np.int64) % 40_000]) for _ in range(500)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    sizes = {}
-
-    def pinned(df, label="pin", pin=katz_corpus.pin):
-        out = pin(df, label)
-        sizes[label] = out.agg(F.sum(F.octet_length("a"))).first()[0]
-        return out
-
-    monkeypatch.setattr(katz_corpus, "pin", pinned)
-    assert katz_corpus.score_all(docs, F.col("doc_id") % 10 != 0, 1e-4).count() == 500
-    assert sizes["blocks"] < 6 * 200_000 and sizes["counts"] < 8 * 200_000, sizes
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    with scratch_run(spark) as folder:
+        assert QUERIES["op4_katz"](spark, str(tmp_path)).count() == 500
+        stored = sum(p.stat().st_size for p in Path(folder).rglob("*.parquet"))
+    assert stored < 6 * 200_000, stored
