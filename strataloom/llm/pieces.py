@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from .textscan import Run, mixed, power
 
@@ -33,8 +34,21 @@ def _kind_table() -> np.ndarray:
 _KIND = _kind_table()
 
 
-def certain_cuts(data: np.ndarray, only_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes where the pattern cuts for certain, and the bytes of Latin letters.
+def _kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of the character that each byte belongs to, and the kind of that character."""
+    lead = data.copy()
+    later = np.flatnonzero((data & 0xC0) == 0x80)
+    for _ in range(3 if len(later) else 0):
+        lead[later] = lead[later - 1]
+    kind = _KIND[lead]
+    # the signs of multiplication and division stand among the letters that begin with C3
+    odd = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    kind[odd] = kind[odd + 1] = 0
+    return lead, kind
+
+
+def certain_cuts(data: np.ndarray, only_spaces: bool) -> np.ndarray:
+    """Bytes before which the pattern cuts for certain.
 
     It cuts before a space between two characters that are no white space
     (Unicode has white space below U+0021 and where UTF-8 begins with C2, E1,
@@ -42,14 +56,8 @@ def certain_cuts(data: np.ndarray, only_spaces: bool) -> tuple[np.ndarray, np.nd
     letter after an apostrophe. Strings of special tokens may hold such places,
     so where one occurs only spaces count.
     """
-    own = np.where((data & 0xC0) != 0x80, np.arange(len(data)), 0)
-    own = np.maximum.accumulate(own)
-    lead = data[own]
+    lead, kind = _kinds(data)
     solid = ((lead > 32) & (lead < 127)) | ((lead > 0xC2) & ((lead < 0xE1) | (lead > 0xE3)))
-    kind = _KIND[lead]
-    # the signs of multiplication and division stand among the letters that begin with C3
-    odd = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
-    kind[odd] = kind[odd + 1] = 0
     cut = np.zeros(len(data), bool)
     cut[1:-1] = (data[1:-1] == 32) & solid[:-2] & solid[2:]
     if not only_spaces:
@@ -58,44 +66,53 @@ def certain_cuts(data: np.ndarray, only_spaces: bool) -> tuple[np.ndarray, np.nd
             (before > 0) & (after > 0) & (before != after) & ((before < _SIGN) | (after < _SIGN))
             & ~((before == _APOSTROPHE) & (after == _LETTER))
         )
-    return cut, kind == _LETTER
+    return cut
+
+
+def _steps(length: np.ndarray) -> np.ndarray:
+    """0, 1, … of each span, one after the other."""
+    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
 
 
 @dataclass
 class Spans:
-    """Distinct pieces of a run: their hashes in order, one place of each and the place of every piece among them.
-
-    Pieces whose hash but not whose bytes agree with another one come last and have no hash.
-    """
+    """Pieces side by side: their bytes, where each begins, its length and a hash of it."""
 
-    hashes: np.ndarray
-    chosen: np.ndarray
-    which: np.ndarray
+    data: np.ndarray
     start: np.ndarray
     length: np.ndarray
+    hashes: np.ndarray
 
 
-def _steps(length: np.ndarray) -> np.ndarray:
-    """0, 1, … of each span, one after the other."""
-    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+def _bytes_of(pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of pieces that are not empty, where each begins, and its length."""
+    _, where, body = pieces.buffers()
+    edge = np.frombuffer(where, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    return np.frombuffer(body, np.uint8)[edge[0] : edge[-1]], edge[:-1] - edge[0], np.diff(edge)
+
+
+def distinct(data: np.ndarray, start: np.ndarray) -> tuple[pa.LargeBinaryArray, Spans, np.ndarray]:
+    """Distinct pieces of those that lie side by side over all of ``data``, and the place of every piece among them.
+
+    Arrow tells pieces apart by their bytes; only the distinct ones are hashed.
+    """
+    edge = pa.py_buffer(np.append(start, len(data)).astype(np.int64))
+    whole = pa.Array.from_buffers(pa.large_binary(), len(start), [None, edge, pa.py_buffer(data)])
+    coded = whole.dictionary_encode()
+    body, begin, length = _bytes_of(coded.dictionary)
+    # longer pieces are never kept, so their hash may be a poor one
+    place = np.minimum(_steps(length), LONGEST_KNOWN)
+    cells = (body.astype(np.uint64) + np.uint64(1)) * power(LONGEST_KNOWN + 1)[place]
+    spans = Spans(body, begin, length, mixed(np.add.reduceat(cells, begin)))
+    return coded.dictionary, spans, coded.indices.to_numpy()
 
 
-def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Spans:
-    """Pieces lie side by side over all of ``data``; hashes sort them, bytes decide."""
-    length = end - start
-    place = np.arange(len(data), dtype=np.int32) - np.repeat(start.astype(np.int32), length)
-    cells = (data.astype(np.uint64) + np.uint64(1)) * power(int(length.max()))[place]
-    hashes, chosen, which = np.unique(mixed(np.add.reduceat(cells, start)), return_index=True, return_inverse=True)
-    model = chosen[which]
-    same = length == length[model]
-    there = np.repeat(np.where(same, start[model], 0), length) + place
-    there[~np.repeat(same, length)] = 0
-    same &= np.logical_and.reduceat(data == data[there], start)
-    odd = np.flatnonzero(~same)
-    if len(odd):
-        which[odd] = len(chosen) + np.arange(len(odd))
-        chosen = np.concatenate([chosen, odd])
-    return Spans(hashes, chosen, which, start[chosen], length[chosen])
+def words_only(pieces: pa.LargeBinaryArray) -> np.ndarray:
+    """Which pieces are Latin letters only, or a space and such letters."""
+    body, start, length = _bytes_of(pieces)
+    letter = _kinds(body)[1] == _LETTER
+    letter[start] |= (body[start] == 32) & (length > 1)
+    return np.logical_and.reduceat(letter, start)
 
 
 class Known:
@@ -110,31 +127,34 @@ class Known:
         self.length, self.at, self.n, self.to = (np.empty(0, np.int64) for _ in range(4))
         self.text, self.flat = np.empty(0, np.uint8), np.empty(0, np.int32)
 
-    def find(self, spans: Spans, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, spans: Spans) -> tuple[np.ndarray, np.ndarray]:
         """Row of each distinct piece and whether it is there, byte for byte."""
-        hit = np.zeros(len(spans.chosen), bool)
-        place = np.zeros(len(spans.chosen), np.int64)
-        if len(self.hash):
-            n = len(spans.hashes)
-            place[:n] = np.minimum(np.searchsorted(self.hash, spans.hashes), len(self.hash) - 1)
-            hit[:n] = (self.hash[place[:n]] == spans.hashes) & (self.length[place[:n]] == spans.length[:n])
-            own = np.flatnonzero(hit)
-            if len(own):
-                length = spans.length[own]
-                step = _steps(length)
-                same = data[np.repeat(spans.start[own], length) + step] == self.text[np.repeat(self.at[place[own]], length) + step]
-                hit[own] = np.logical_and.reduceat(same, np.cumsum(length) - length)
+        n = len(spans.start)
+        if len(self.hash) == 0:
+            return np.zeros(n, np.int64), np.zeros(n, bool)
+        place, order = np.empty(n, np.int64), np.argsort(spans.hashes)
+        place[order] = np.minimum(np.searchsorted(self.hash, spans.hashes[order]), len(self.hash) - 1)
+        hit = (self.hash[place] == spans.hashes) & (self.length[place] == spans.length)
+        own = np.flatnonzero(hit)
+        if len(own):
+            length = spans.length[own]
+            step = _steps(length)
+            same = (
+                spans.data[np.repeat(spans.start[own], length) + step]
+                == self.text[np.repeat(self.at[place[own]], length) + step]
+            )
+            hit[own] = np.logical_and.reduceat(same, np.cumsum(length) - length)
         return place, hit
 
-    def add(self, spans: Spans, new: np.ndarray, data: np.ndarray, n_new: np.ndarray, ids: np.ndarray) -> None:
-        fit = (new < len(spans.hashes)) & (spans.length[new] <= LONGEST_KNOWN)
+    def add(self, spans: Spans, new: np.ndarray, n_new: np.ndarray, ids: np.ndarray) -> None:
+        fit = spans.length[new] <= LONGEST_KNOWN
         if not fit.any():
             return
         if len(self.hash) + len(new) > self.most:
             self.__init__(self.most)
         own, begin = new[fit], (np.cumsum(n_new) - n_new)[fit]
         length, n = spans.length[own], n_new[fit]
-        text = data[np.repeat(spans.start[own], length) + _steps(length)]
+        text = spans.data[np.repeat(spans.start[own], length) + _steps(length)]
         flat = ids[np.repeat(begin, n) + _steps(n)]
         columns = {
             "hash": spans.hashes[own], "length": length, "at": len(self.text) + np.cumsum(length) - length,
@@ -158,31 +178,27 @@ def encode_run(
     data, n_rows = run.data, run.hi - run.lo
     if len(data) == 0:
         return np.empty(0, np.int64), np.zeros(n_rows, np.int64)
-    body = data.tobytes()
     first = np.zeros(len(data) + 1, bool)
     first[run.offsets] = True
-    letter = np.zeros(len(data), bool)
     if in_pieces:
-        cut, letter = certain_cuts(data, any(s in body for s in special))
-        first[:-1] |= cut
+        body = data.tobytes()
+        first[:-1] |= certain_cuts(data, any(s in body for s in special))
     start = np.flatnonzero(first[:-1])
-    end = np.append(start[1:], len(data))
-    letter[start] |= (data[start] == 32) & (end - start > 1)
-    word = np.logical_and.reduceat(letter, start)
-    spans = distinct(data, start, end)
-    place, hit = known.find(spans, data)
+    pieces, spans, which = distinct(data, start)
+    place, hit = known.find(spans)
     new = np.flatnonzero(~hit)
-    lo, hi = start[spans.chosen[new]], end[spans.chosen[new]]
-    found = ids_of([body[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], word[spans.chosen[new]].tolist())
+    found = []
+    if len(new):
+        unknown = pieces.take(pa.array(new))
+        found = ids_of(unknown.to_pylist(), words_only(unknown).tolist() if in_pieces else [False] * len(new))
     n_new = np.fromiter(map(len, found), np.int64, len(found))
     new_flat = np.fromiter(chain.from_iterable(found), np.int32, int(n_new.sum()))
-    size, begin, which = np.empty(len(hit), np.int64), np.empty(len(hit), np.int64), spans.which
+    size, begin = np.empty(len(hit), np.int64), np.empty(len(hit), np.int64)
     size[hit], begin[hit] = known.n[place[hit]], known.to[place[hit]]
     size[new], begin[new] = n_new, len(known.flat) + np.cumsum(n_new) - n_new
     flat = np.concatenate([known.flat, new_flat])
-    known.add(spans, new, data, n_new, new_flat)
+    known.add(spans, new, n_new, new_flat)
     each = size[which]
-    at = np.repeat(begin[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
-    row = np.searchsorted(run.offsets, start, side="right") - 1
-    counts = np.bincount(row, weights=each, minlength=n_rows).astype(np.int64)
-    return flat[at], counts
+    stops = np.concatenate([[0], np.cumsum(each)])
+    at = np.repeat(begin[which] - stops[:-1], each) + np.arange(int(stops[-1]))
+    return flat[at], np.diff(stops[np.searchsorted(start, run.offsets)])

@@ -70,29 +70,55 @@ def _widths(far: np.ndarray) -> np.ndarray:
     return np.frexp(far.astype(np.float64))[1].astype(np.int64)
 
 
+def _holder(width: int) -> np.dtype:
+    """The smallest whole number that has ``width`` bits."""
+    return np.dtype("u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
+
+
+def _bits_of(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of numbers as rows of bytes, ``width`` bits a number."""
+    raw = values.astype(_holder(width)).view(np.uint8)
+    if width == 8 * _holder(width).itemsize:
+        return raw
+    bits = np.unpackbits(raw.reshape(*values.shape, -1), axis=2, count=width, bitorder="little")
+    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+
+
+def _from_bits(raw: np.ndarray, width: int) -> np.ndarray:
+    """The numbers of ``_bits_of``."""
+    kind = _holder(width)
+    if width < 8 * kind.itemsize:
+        bits = np.zeros((len(raw), BLOCK, 8 * kind.itemsize), np.uint8)
+        bits[:, :, :width] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(raw), BLOCK, width)
+        raw = np.packbits(bits.reshape(len(raw), -1), axis=1, bitorder="little")
+    return raw.view(kind)
+
+
 def _pack_some(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Smallest ids, widths, numbers of exceptions, sizes and bytes of some blocks."""
     low = blocks.min(1)
     far = blocks - low[:, None]
     order = np.sort(far, 1)
-    best = width = None
+    best = width = patches = None
     for share in PERCENTILES:
         bits = _widths(order[:, int(np.ceil(share * BLOCK)) - 1])
-        size = bits * (BLOCK // 8) + (far >= (1 << bits)[:, None]).sum(1) * _PATCH
-        width = bits if best is None else np.where(size < best, bits, width)
-        best = size if best is None else np.minimum(best, size)
-    beyond = far >= (1 << width)[:, None]
-    patches = beyond.sum(1)
-    size = width * (BLOCK // 8) + patches * _PATCH
+        beyond = np.count_nonzero(far > ((1 << bits) - 1).astype(np.uint32)[:, None], axis=1)
+        size = bits * (BLOCK // 8) + beyond * _PATCH
+        if best is None:
+            best, width, patches = size, bits, beyond
+        else:
+            better = size < best
+            best, width, patches = (np.where(better, *x) for x in ((size, best), (bits, width), (beyond, patches)))
+    size = best
     begin = np.cumsum(size) - size
     body = np.zeros(int(size.sum()), np.uint8)
-    kept = np.where(beyond, 0, far)
-    for w in np.unique(width):
+    beyond = far > ((1 << width) - 1).astype(np.uint32)[:, None]
+    kept = np.where(beyond, np.uint32(0), far)
+    for w in np.unique(width).tolist():
         if w:
             some = np.flatnonzero(width == w)
-            bits = ((kept[some][:, :, None] >> np.arange(w)) & 1).astype(np.uint8)
-            packed = np.packbits(bits.reshape(len(some), -1), axis=1, bitorder="little")
-            body[begin[some][:, None] + np.arange(packed.shape[1])] = packed
+            for at, row in zip(begin[some].tolist(), _bits_of(kept[some], w), strict=True):
+                body[at : at + len(row)] = row
     block, place = np.nonzero(beyond)
     if len(block):
         nth = np.arange(len(block)) - (np.cumsum(patches) - patches)[block]
@@ -106,7 +132,7 @@ def _pack_some(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def packed(ids: np.ndarray, counts: np.ndarray, doc_ids: np.ndarray, absent: np.ndarray) -> bytes:
     """One file: the ids of whole documents in a row."""
     n_blocks = -(-len(ids) // BLOCK)
-    whole = np.zeros(n_blocks * BLOCK, np.int64)
+    whole = np.zeros(n_blocks * BLOCK, np.uint32)
     whole[: len(ids)] = ids
     if len(ids):
         whole[len(ids) :] = ids[-1]
@@ -142,20 +168,21 @@ class TokenFile:
 
         self.doc_ids, self.absent = column("<i8", n_docs), column("u1", n_docs).astype(bool)
         self.counts = column("<u8", n_docs).astype(np.int64)
-        self.low = column("<u4", self.n_blocks).astype(np.int64)
+        self.low = column("<u4", self.n_blocks)
         self.width = column("u1", self.n_blocks).astype(np.int64)
         self.patches = column("<u2", self.n_blocks).astype(np.int64)
         self.begin = column("<u8", self.n_blocks).astype(np.int64)
         self.body = np.frombuffer(content, np.uint8, offset=at)
 
     def _blocks(self, some: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(some), BLOCK), np.int64)
-        for w in np.unique(self.width[some]):
+        out = np.zeros((len(some), BLOCK), np.uint32)
+        for w in np.unique(self.width[some]).tolist():
             if w:
                 own = np.flatnonzero(self.width[some] == w)
-                raw = self.body[self.begin[some[own]][:, None] + np.arange(w * (BLOCK // 8))]
-                bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(own), BLOCK, w)
-                out[own] = bits @ (1 << np.arange(w)).astype(np.int64) if w > 16 else bits @ (1 << np.arange(w)).astype(np.int32)
+                raw = np.empty((len(own), w * (BLOCK // 8)), np.uint8)
+                for row, at in zip(raw, self.begin[some[own]].tolist(), strict=True):
+                    row[:] = self.body[at : at + len(row)]
+                out[own] = _from_bits(raw, w)
         patches = self.patches[some]
         block = np.repeat(np.arange(len(some)), patches)
         if len(block):
@@ -201,22 +228,25 @@ class Encoder:
         self.in_pieces = bool(plain and lone and spec["model"]["type"] == "BPE" and not spec.get("normalizer"))
         self.special = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self.model = self.tokenizer.model
-        self.letters = str.maketrans({chr(b): c for c, b in byte_letters().items()})
+        self.letters = np.zeros(256, "<u4")
+        for letter, byte in byte_letters().items():
+            self.letters[byte] = ord(letter)
         self.known = Known(KNOWN_PIECES)
 
-    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[list[int]]:
+    def ids_of(self, pieces: list[bytes], words: list[bool]) -> list[tuple[int, ...]]:
         """Ids of each piece. Words go to the library's merges directly, as they would be cut as they are."""
-        found: list[list[int]] = [[]] * len(pieces)
-        rest = []
-        for k, (piece, word) in enumerate(zip(pieces, words, strict=True)):
-            if word:
-                found[k] = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
-            else:
-                rest.append(k)
+        found: list[tuple[int, ...]] = [()] * len(pieces)
+        own, rest = ([k for k, w in enumerate(words) if w is kind] for kind in (True, False))
+        spelt = self.letters[np.frombuffer(b"".join([pieces[k] for k in own]), np.uint8)].tobytes().decode("utf-32-le")
+        tokenize, at = self.model.tokenize, 0
+        for k in own:
+            end = at + len(pieces[k])
+            found[k] = tuple([t.id for t in tokenize(spelt[at:end])])
+            at = end
         if rest:
             done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in rest], add_special_tokens=False)
             for k, one in zip(rest, done, strict=True):
-                found[k] = one.ids
+                found[k] = tuple(one.ids)
         return found
 
     def encode(self, run: Run) -> tuple[np.ndarray, np.ndarray]:

@@ -114,3 +114,55 @@ def test_other_vocabularies_get_whole_texts():
     flat, counts = coder.encode(run)
     own = Tokenizer.from_file(path)
     assert flat.tolist() == own.encode("Hello World  x", add_special_tokens=False).ids + own.encode("y", add_special_tokens=False).ids
+
+
+def plain_block(content, one, k):
+    """Ids of one block by the description of the format, with Python's whole numbers."""
+    low, width, patches, at = (int(c[k]) for c in (one.low, one.width, one.patches, one.begin))
+    body = content[len(content) - len(one.body) + at :]
+    bits = int.from_bytes(body[: 32 * width], "little")
+    out = [bits >> width * i & (1 << width) - 1 for i in range(256)]
+    for i in range(patches):
+        value = 32 * width + patches + 4 * i
+        out[body[32 * width + i]] = int.from_bytes(body[value : value + 4], "little")
+    return [low + v for v in out]
+
+
+@pytest.mark.parametrize("width", range(33))
+def test_blocks_of_each_width_by_the_format(width):
+    rng = np.random.default_rng(width)
+    ids = rng.integers(0, 1 << width, 768)
+    ids[:2] = 0, (1 << width) - 1
+    ids[300:305] = (1 << 32) - 1
+    content = tf.packed(ids.astype(np.uint32), np.array([len(ids)]), np.array([4]), np.array([False])) + b"\n"
+    one = tf.TokenFile(content)
+    assert sum((plain_block(content, one, k) for k in range(3)), []) == ids.tolist() == one.ids_at(0, 768).tolist()
+
+
+def run_of(texts):
+    import pyarrow as pa
+
+    (run,) = textscan.runs(pa.record_batch({"text": pa.array(texts)}))
+    return run
+
+
+def test_only_distinct_pieces_are_hashed_and_looked_up(monkeypatch, library):
+    """What is done for each piece of a run bounds the CPU seconds; it was hashed, sorted and compared."""
+    sizes, mixed = [], pieces.mixed
+    monkeypatch.setattr(pieces, "mixed", lambda h: sizes.append(len(h)) or mixed(h))
+    coder = tf.Encoder(open(PATH, "rb").read())
+    texts = ["the cat and the dog " * 500, "", "the dog " * 300]
+    for _ in range(2):
+        flat, counts = coder.encode(run_of(texts))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and flat.tolist() == sum(want, [])
+    assert max(sizes) < 20
+
+
+def test_long_pieces_alike_at_first_do_not_mix(library):
+    coder = tf.Encoder(open(PATH, "rb").read())
+    for end in ["ab", "ba", "ab é×", "é", "×é 漢é", "ba"]:
+        for texts in (["a " + "x" * 70 + end, " " + "x" * 63 + end], [" " + "x" * 70 + end[::-1]]):
+            flat, counts = coder.encode(run_of(texts))
+            want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+            assert counts.tolist() == list(map(len, want)) and flat.tolist() == sum(want, [])
